@@ -1,0 +1,5 @@
+"""Nothing here on purpose.
+
+The source system processes one batch a day and has no streams, watermarks,
+windows or state; a scheduler runs ``starmart.plans.run`` on its cadence.
+"""
