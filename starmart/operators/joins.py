@@ -13,12 +13,15 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 1_000_000
 
 
-def bounded_rows(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``limit`` rows.
+def bounded_rows(df: DataFrame, limit: int | None = None) -> bool:
+    """True when ``df`` has at most ``limit`` rows (default
+    ``MAX_BROADCAST_ROWS``).
 
     Counts at most ``limit + 1`` rows, so the check stays cheap even when the
     table is huge.
     """
+    if limit is None:
+        limit = MAX_BROADCAST_ROWS
     return df.limit(limit + 1).count() <= limit
 
 

@@ -1,0 +1,141 @@
+"""The six-row hand fixture: every expected value worked out by hand."""
+
+from __future__ import annotations
+
+import pytest
+
+from starmart.operators import dims as D
+from starmart.operators import facts as FT
+from starmart.operators import marts as M
+
+
+def _rows(df, *order):
+    return [tuple(r) for r in df.orderBy(*order).collect()]
+
+
+@pytest.fixture(scope="module")
+def star_distinct(hand):
+    return FT.build_star(hand)
+
+
+@pytest.fixture(scope="module")
+def star_per_row(hand):
+    return FT.build_star(hand, grain="per_row")
+
+
+def _facts_per_trip(star):
+    # fare identifies the hand rows uniquely
+    fare_to_r = {10.0: 1, 20.0: 2, 0.0: 3, 8.0: 4, 16.0: 5, 5.0: 6}
+    out = {}
+    for r in star.fact.select("fare_amount").collect():
+        k = fare_to_r[r[0]]
+        out[k] = out.get(k, 0) + 1
+    return out
+
+
+def test_facts_per_trip(star_distinct, star_per_row):
+    assert _facts_per_trip(star_distinct) == {1: 1, 2: 1, 3: 1, 5: 1}
+    assert _facts_per_trip(star_per_row) == {1: 2, 2: 2, 3: 1, 5: 1}
+
+
+def test_half_second_duration_rounds_half_even(star_distinct):
+    r3 = star_distinct.fact.where("fare_amount = 0").select("trip_duration").collect()
+    assert [r[0] for r in r3] == [2]
+
+
+def test_hourly(star_distinct, star_per_row):
+    assert _rows(M.hourly(star_distinct.fact, star_distinct.datetime), "pickup_hour") == [
+        (0, 15.0, 2, 1.0, 16.0), (6, 16.0, 1, 4.0, 20.0), (23, 0.0, 1, 0.0, 0.0)]
+    assert _rows(M.hourly(star_per_row.fact, star_per_row.datetime), "pickup_hour") == [
+        (0, 15.0, 4, 1.0, 16.0), (6, 16.0, 1, 4.0, 20.0), (23, 0.0, 1, 0.0, 0.0)]
+
+
+def test_hourly_narrow(star_distinct):
+    assert _rows(M.hourly(star_distinct.fact, star_distinct.datetime, "narrow"), "pickup_hour") == [
+        (0, 15.0, 2), (6, 16.0, 1), (23, 0.0, 1)]
+
+
+def test_locations(star_distinct, star_per_row):
+    got = _rows(M.popular_locations(star_distinct.fact, star_distinct.location), *M.mart_order("popular_locations"))
+    assert got == [(40.5, -74.0, 3, 10.0, pytest.approx(13 / 6), pytest.approx(1202 / 3)),
+                   (40.25, -74.0, 1, 16.0, 3.0, 900.0)]
+    got = _rows(M.popular_locations(star_per_row.fact, star_per_row.location), *M.mart_order("popular_locations"))
+    assert got == [(40.5, -74.0, 5, 12.0, 2.5, pytest.approx(480.4)), (40.25, -74.0, 1, 16.0, 3.0, 900.0)]
+
+
+def test_payment_and_distribution(star_distinct, star_per_row):
+    got = _rows(M.payment(star_distinct.fact, star_distinct.payment), "payment_name")
+    assert got == [("Cash", 1, 20.0, 0.0, 20.0, 4.0), ("Credit Card", 1, 10.0, 2.0, 12.0, 2.0),
+                   ("No Charge", 1, 0.0, 0.0, 0.0, 0.5), ("Unknown", 1, 16.0, 4.0, 20.0, 3.0)]
+    dist = _rows(M.payment_distribution(star_distinct.fact, star_distinct.payment), "payment_name")
+    assert [(n, c, p) for n, c, p in dist] == [("Cash", 1, 25.0), ("Credit Card", 1, 25.0),
+                                              ("No Charge", 1, 25.0), ("Unknown", 1, 25.0)]
+    dist = _rows(M.payment_distribution(star_per_row.fact, star_per_row.payment), *M.mart_order("payment_distribution"))
+    assert dist == [("Cash", 2, 33.33), ("Credit Card", 2, 33.33), ("No Charge", 1, 16.67), ("Unknown", 1, 16.67)]
+
+
+def test_daily(star_distinct, star_per_row):
+    got = _rows(M.daily(star_distinct.fact, star_distinct.datetime), *M.mart_order("daily"))
+    assert got == [(2024, 1, 7, 3, 10.0, 32.0, pytest.approx(13 / 6), pytest.approx(1202 / 3)),
+                   (2024, 2, 29, 1, 16.0, 20.0, 3.0, 900.0)]
+    got = _rows(M.daily(star_per_row.fact, star_per_row.datetime), *M.mart_order("daily"))
+    assert got == [(2024, 1, 7, 5, 12.0, 64.0, 2.5, pytest.approx(480.4)), (2024, 2, 29, 1, 16.0, 20.0, 3.0, 900.0)]
+
+
+def test_overall(star_distinct, star_per_row):
+    (n, rev, dist, mins), = M.summary(star_distinct.fact).collect()
+    assert (n, rev, dist) == (4, 52.0, 2.375) and mins == pytest.approx(525.5 / 60)
+    (n, rev, dist, mins), = M.summary(star_per_row.fact).collect()
+    assert (n, rev) == (6, 84.0) and dist == pytest.approx(15.5 / 6) and mins == pytest.approx(3302 / 6 / 60)
+
+
+def test_summary_report(star_per_row):
+    (overall, records), = M.summary_report(star_per_row.fact, star_per_row.payment).collect()
+    assert tuple(overall) == (6, 84.0, 2.58, 9.17)
+    assert [tuple(r) for r in records] == [("Cash", 2, 33.33), ("Credit Card", 2, 33.33),
+                                          ("No Charge", 1, 16.67), ("Unknown", 1, 16.67)]
+
+
+def test_weekdays(hand):
+    sun = D.datetime_dim(hand, grain="per_row", week_start="sunday")
+    mon = D.datetime_dim(hand, grain="per_row", week_start="monday")
+    order = ["pickup_datetime", "dropoff_datetime"]
+    assert [r[0] for r in sun.orderBy(*order).select("pickup_weekday").collect()] == [0, 0, 0, 1, 4, 4]
+    assert [r[0] for r in mon.orderBy(*order).select("pickup_weekday").collect()] == [6, 6, 6, 0, 3, 3]
+
+
+def test_location_dim_distinct(hand):
+    loc = D.location_dim(hand)
+    assert loc.count() == 4
+    assert {r[0] for r in loc.select("pickup_location_name").collect()} == {"NYC Area"}
+
+
+def test_payment_dim_decodes_null_and_unknown(hand):
+    rows = _rows(D.payment_dim(hand), "payment_id")
+    assert rows == [(1, None, "Unknown", "Unknown payment type"), (2, "1", "Credit Card", "Payment by credit card"),
+                    (3, "2", "Cash", "Cash payment"), (4, "3", "No Charge", "Free ride"),
+                    (5, "9", "Unknown", "Unknown payment type")]
+
+
+def test_null_match_keeps_every_trip(hand):
+    assert FT.build_star(hand, null_keys="match").fact.count() == 6
+    assert FT.build_star(hand, grain="per_row", null_keys="match").fact.count() == 8
+
+
+def test_zone_star(hand):
+    from pyspark.sql import functions as F
+
+    zones = hand.select(
+        "pickup_datetime", "dropoff_datetime", "passenger_count", "trip_distance",
+        F.lit(1).cast("long").alias("pickup_location_id"), F.lit(2).cast("long").alias("dropoff_location_id"),
+        "payment_type", "fare_amount", "tip_amount", "total_amount",
+    )
+    z = FT.build_zone_star(zones)
+    fact = z.fact.orderBy("trip_id").collect()
+    assert [r.trip_id for r in fact] == [0, 1, 2, 3, 4, 5]
+    assert all(r.trip_id == r.datetime_id for r in fact)
+    assert all(r.payment_id is not None and r.passenger_id is not None for r in fact)
+    r3 = [r for r in fact if r.fare_amount == 0.0][0]
+    assert r3.trip_duration == 2.5
+    assert z.payment.count() == 5 and z.passenger.count() == 4
+    assert sorted(r.payment_id for r in z.payment.collect()) == [0, 1, 2, 3, 4]
