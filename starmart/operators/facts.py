@@ -24,6 +24,7 @@ from starmart.operators import dims as D
 from starmart.operators.joins import lookup_join
 from starmart.operators.keys import dense_key
 from starmart.schema import COORD_COLUMNS, FACT, FACT_ZONE, TRIPS_COORD, TRIPS_ZONE
+from starmart.sources.staging import stage
 
 
 @dataclass
@@ -96,8 +97,14 @@ def build_star(
     week_start: str = "sunday",
     duration_unit: str = "int",
     first_id: int = 1,
+    stage_input: bool = True,
 ) -> Star:
-    """Coordinate lane: four dimensions, then the fact that references them."""
+    """Coordinate lane: four dimensions, then the fact that references them.
+
+    ``stage_input`` writes the trips once first (they are read five times).
+    """
+    if stage_input:
+        trips = stage(trips)
     dt = D.datetime_dim(trips, grain=grain, week_start=week_start, first_id=first_id)
     loc = D.location_dim(trips, first_id=first_id)
     pay = D.payment_dim(trips, first_id=first_id)
@@ -106,11 +113,13 @@ def build_star(
     return Star(dt, loc, pay, pas, fact, "coords")
 
 
-def build_zone_star(trips: DataFrame, first_id: int = 0) -> Star:
+def build_zone_star(trips: DataFrame, first_id: int = 0, stage_input: bool = True) -> Star:
     """Zone lane: one datetime and one location row per trip (their ids are
     the trip id, made once in the same projection), pickup parts only with
     Monday=0, undecoded payment, fractional duration, zone ids kept on the
     fact, and every trip kept (NULL codes find their NULL member)."""
+    if stage_input:
+        trips = stage(trips)
     staging = TRIPS_ZONE.fieldNames()
     keyed = dense_key(trips.select(*staging), staging, name="trip_id", first_id=first_id, unique=False)
     dt = keyed.select(

@@ -11,8 +11,8 @@ partition. ``dense_key`` instead numbers rows the way a distributed
 3. write that once to the shared checkpoint folder, so sampling can never be
    re-run with different bounds (and a lost executor re-reads the files);
 4. count rows per partition (one small column), turn the counts into running
-   offsets (one row per partition, so the table is bounded by the partition
-   count, never by the data) and add ``offset + position``.
+   offsets (one number per partition, so bounded by the partition count,
+   never by the data) and add ``offset + position`` in a plain projection.
 
 When the sort key is not unique a hidden sequence number is appended, so even
 a group of identical rows holding a third of the table is spread over many
@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.checkpoint import materialize
@@ -31,7 +31,6 @@ from starmart.checkpoint import materialize
 _MID = "_sm_mid"
 _SEQ = "_sm_seq"
 _PID = "_sm_pid"
-_START = "_sm_start"
 _POS_BITS = 33
 
 
@@ -66,18 +65,19 @@ def dense_key(
     staged = staged.select(*original, F.monotonically_increasing_id().alias(_MID))
     stored = materialize(staged, "dense-key")
 
+    # Rows per written partition: one small column is scanned, and the result
+    # has one row per partition (bounded by the partition count, never by the
+    # data), so it is brought to the driver and inlined as a literal array.
     pid = F.shiftright(F.col(_MID), _POS_BITS)
-    counts = stored.groupBy(pid.alias(_PID)).agg(F.count(F.lit(1)).alias("n"))
-    # One row per written partition: bounded by the partition count.
-    offsets = counts.select(
-        _PID,
-        F.coalesce(
-            F.sum("n").over(Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        ).alias(_START),
-    )
+    counts = dict(stored.groupBy(pid.alias(_PID)).agg(F.count(F.lit(1)).alias("n")).collect())
+    n_parts = (max(counts) + 1) if counts else 0
+    starts, running = [], first_id
+    for p in range(n_parts):
+        starts.append(running)
+        running += counts.get(p, 0)
     position = F.col(_MID).bitwiseAND(F.lit((1 << _POS_BITS) - 1))
-    keyed = stored.withColumn(_PID, pid).join(F.broadcast(offsets), _PID, "inner")
-    return keyed.select(
-        (F.col(_START) + position + F.lit(first_id)).cast("long").alias(name), *original
-    )
+    if starts:
+        start = F.element_at(F.array(*[F.lit(s).cast("long") for s in starts]), (pid + 1).cast("int"))
+    else:
+        start = F.lit(first_id).cast("long")
+    return stored.select((start + position).cast("long").alias(name), *original)

@@ -20,6 +20,7 @@ from starmart.operators import marts as M
 from starmart.operators import quality as Q
 from starmart.operators.profile import profile
 from starmart.sources.adapter import trips_from_tables, zone_months_from_tables
+from starmart.sources.staging import stage
 from starmart.sources.trips import normalize, union_months
 
 _CACHE: dict[tuple, object] = {}
@@ -33,7 +34,8 @@ def _memo(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], object
 
 
 def _trips(spark: SparkSession, sf_dir: str, variant: str = "coords") -> DataFrame:
-    return trips_from_tables(spark, sf_dir, variant)
+    """The staged trips of ``sf_dir`` (written once, read by every step)."""
+    return _memo(spark, sf_dir, f"trips:{variant}", lambda: stage(trips_from_tables(spark, sf_dir, variant)))
 
 
 def _dt(spark, sf_dir, grain="distinct") -> DataFrame:
@@ -65,7 +67,7 @@ def star(spark: SparkSession, sf_dir: str, grain: str = "distinct", null_keys: s
 
 def zone_star(spark: SparkSession, sf_dir: str) -> FT.Star:
     """The zone star of ``sf_dir``, from the two raw monthly frames."""
-    return _memo(spark, sf_dir, "zstar", lambda: FT.build_zone_star(trips_normalized(spark, sf_dir)))
+    return _memo(spark, sf_dir, "zstar", lambda: FT.build_zone_star(trips_normalized(spark, sf_dir)))  # stages its input
 
 
 def trips_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
