@@ -16,7 +16,9 @@ partition. ``dense_key`` instead numbers rows the way a distributed
 
 When the sort key is not unique a hidden sequence number is appended, so even
 a group of identical rows holding a third of the table is spread over many
-range partitions instead of landing in one task.
+range partitions instead of landing in one task. The number is taken after a
+local sort of each input partition (no shuffle), which makes it the same on
+a task re-run.
 """
 
 from __future__ import annotations
@@ -55,13 +57,19 @@ def dense_key(
     if order_by:
         keys: list[str | Column] = list(order_by)
         if not unique:
-            staged = staged.withColumn(_SEQ, F.monotonically_increasing_id())
+            # Number rows inside each input partition after a local sort by
+            # every column: a re-run task (lost executor) then assigns the
+            # same (row, number) pairs, since equal rows are interchangeable.
+            staged = staged.sortWithinPartitions(*original).withColumn(_SEQ, F.monotonically_increasing_id())
             keys.append(_SEQ)
         staged = (
             staged.repartitionByRange(num_partitions, *keys)
             if num_partitions
             else staged.repartitionByRange(*keys)
         ).sortWithinPartitions(*keys)
+    else:
+        # Positions follow a local sort, so a re-run task numbers alike.
+        staged = staged.sortWithinPartitions(*original)
     staged = staged.select(*original, F.monotonically_increasing_id().alias(_MID))
     stored = materialize(staged, "dense-key")
 

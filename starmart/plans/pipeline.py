@@ -10,7 +10,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from starmart.operators import marts as M
 from starmart.operators import quality as Q
@@ -18,6 +19,7 @@ from starmart.operators.facts import Star, build_star, build_zone_star
 from starmart.operators.profile import profile_json, profiles_json
 from starmart.schema import TRIPS_COORD
 from starmart.sinks.writers import export_all, export_json, save
+from starmart.sources.staging import stage
 from starmart.sources.trips import normalize, read_trips_csv, read_trips_parquet
 
 
@@ -27,11 +29,20 @@ class Extracted:
     row_count: int
 
 
-def extract(spark: SparkSession, paths: str | Sequence[str], source: str = "csv") -> Extracted:
-    """Check the input's columns, read it with a declared schema, count it.
+def extract(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    source: str = "csv",
+    staging_path: str | None = None,
+    mode: str = "overwrite",
+) -> Extracted:
+    """Check the input's columns, read it with a declared schema and write it
+    once as the staging table, counting its rows during that same write.
 
     ``source="csv"``: coordinate trips. ``source="parquet"``: zone trips from
-    one or more monthly files, renamed and selected.
+    one or more monthly files, renamed and selected. ``staging_path`` names
+    the staging table (``mode="ignore"`` keeps an existing one, as a
+    create-if-absent does); without it the table goes to the checkpoint folder.
     """
     if source == "csv":
         trips = read_trips_csv(spark, paths, TRIPS_COORD)
@@ -39,7 +50,17 @@ def extract(spark: SparkSession, paths: str | Sequence[str], source: str = "csv"
         trips = normalize(read_trips_parquet(spark, paths))
     else:
         raise ValueError(f"source must be 'csv' or 'parquet', not {source!r}")
-    return Extracted(trips, trips.count())
+    obs = Observation("staging")
+    observed = trips.observe(obs, F.count(F.lit(1)).alias("rows"))
+    if staging_path is None:
+        staged = stage(observed)
+    else:
+        save(observed, staging_path, mode=mode)
+        staged = spark.read.parquet(staging_path)
+        if mode == "ignore":
+            # The write may have been skipped; the kept table's count is metadata.
+            return Extracted(staged, staged.count())
+    return Extracted(staged, int(obs.get["rows"]))
 
 
 def build(
@@ -49,10 +70,14 @@ def build(
     grain: str = "distinct",
     null_keys: str = "drop",
     check: bool = True,
+    stage_input: bool = True,
 ) -> Star:
     """Build the star; write its tables under ``out_dir`` (overwrite) and
     re-read them; run the lane's checks (raising on failure)."""
-    star = build_star(trips, grain=grain, null_keys=null_keys) if variant == "coords" else build_zone_star(trips)
+    if variant == "coords":
+        star = build_star(trips, grain=grain, null_keys=null_keys, stage_input=stage_input)
+    else:
+        star = build_zone_star(trips, stage_input=stage_input)
     if out_dir:
         spark = trips.sparkSession
         tables = {}
@@ -137,7 +162,8 @@ def run(
     """extract -> build (tables under ``out_dir/star``) -> publish."""
     ex = extract(spark, paths, source)
     variant = "coords" if source == "csv" else "zones"
-    star = build(ex.trips, f"{out_dir}/star", variant=variant, **build_options)
+    # extract already wrote the staging table
+    star = build(ex.trips, f"{out_dir}/star", variant=variant, stage_input=False, **build_options)
     if variant == "zones":
         # The zone star has no coordinates: only its summary is published.
         export_json(M.summary_report(star.fact, star.payment), f"{out_dir}/summary_report.json")

@@ -85,3 +85,35 @@ def test_zone_star_build_writes_and_checks(spark, hand, tmp_path):
     )
     z = build(zones, str(tmp_path / "z"), variant="zones")
     assert isinstance(z, FT.Star) and z.fact.count() == 6
+
+
+def test_extract_counts_during_the_staging_write(spark, hand, tmp_path):
+    from starmart.plans import extract
+
+    src = str(tmp_path / "raw")
+    hand.write.option("header", True).csv(src)
+    ex = extract(spark, src)
+    assert ex.row_count == 6 and ex.trips.count() == 6
+    named = str(tmp_path / "staging")
+    assert extract(spark, src, staging_path=named).row_count == 6
+    # create-if-absent keeps the existing table
+    again = extract(spark, src, staging_path=named, mode="ignore")
+    assert again.row_count == 6
+
+
+def test_extract_parquet_months(spark, hand, tmp_path):
+    from pyspark.sql import functions as F
+
+    from starmart.plans import extract
+
+    src = hand.select(
+        F.col("pickup_datetime").alias("tpep_pickup_datetime"),
+        F.col("dropoff_datetime").alias("tpep_dropoff_datetime"),
+        "passenger_count", "trip_distance",
+        F.lit(1).cast("long").alias("PULocationID"), F.lit(2).cast("long").alias("DOLocationID"),
+        "payment_type", "fare_amount", "tip_amount", "total_amount",
+    )
+    src.write.parquet(str(tmp_path / "jan"))
+    src.write.parquet(str(tmp_path / "feb"))
+    ex = extract(spark, [str(tmp_path / "jan"), str(tmp_path / "feb")], source="parquet")
+    assert ex.row_count == 12 and ex.trips.columns[4] == "pickup_location_id"
