@@ -285,6 +285,8 @@ def _trip_cols_kinds() -> list[tuple[str, bool]]:
 # tolerance; counts, min, max and median are exact there.
 ORACLE: dict[str, str] = {
     "trips_normalized": _zone_trips_union(),
+    "trips_from_csv": "WITH " + TRIPS + f"\nSELECT {', '.join(STAGING)} FROM trips",
+    "trips_staged": "WITH " + TRIPS + f"\nSELECT {', '.join(STAGING)} FROM trips",
     "dim_datetime_distinct": star_with() + "\nSELECT * FROM dt",
     "dim_datetime_per_row": star_with("per_row") + "\nSELECT * FROM dt",
     "dim_datetime_monday": ZONE_STAR
@@ -315,6 +317,10 @@ ORACLE: dict[str, str] = {
     "summary_overall": star_with() + SUMMARY.format(fact="fact"),
     "summary_overall_per_row": star_with("per_row") + SUMMARY.format(fact="fact"),
     "summary_zones": ZONE_STAR + SUMMARY.format(fact="zfact"),
+    "summary_rounded": star_with() + """
+SELECT total_trips, ROUND(total_revenue, 2) AS total_revenue, ROUND(avg_distance, 2) AS avg_distance,
+       ROUND(avg_duration_minutes, 2) AS avg_duration_minutes
+FROM (""" + SUMMARY.format(fact="fact") + ") s",
     "payment_distribution": star_with() + PAYMENT_DISTRIBUTION,
     "payment_distribution_per_row": star_with("per_row") + PAYMENT_DISTRIBUTION,
     "payment_distribution_null_match": star_with("distinct", "match") + PAYMENT_DISTRIBUTION,

@@ -21,7 +21,7 @@ from starmart.operators import quality as Q
 from starmart.operators.profile import profile
 from starmart.sources.adapter import trips_from_tables, zone_months_from_tables
 from starmart.sources.staging import stage
-from starmart.sources.trips import normalize, union_months
+from starmart.sources.trips import normalize, read_trips_csv, union_months
 
 _CACHE: dict[tuple, object] = {}
 
@@ -75,6 +75,22 @@ def trips_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize(union_months([first, second]))
 
 
+def trips_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The adapter's trips written as CSV with a header, then read back with
+    the declared schema (the CSV lane's reader over data of every size)."""
+    from starmart.checkpoint import checkpoint_root
+    import uuid
+
+    path = f"{checkpoint_root(spark)}/starmart/csv-{uuid.uuid4().hex}"
+    trips_from_tables(spark, sf_dir).write.option("header", True).csv(path)
+    return read_trips_csv(spark, path)
+
+
+def summary_rounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report's overall figures, rounded to 2 places."""
+    return M.summary_report(star(spark, sf_dir).fact, star(spark, sf_dir).payment).select("overall_stats.*")
+
+
 def _mart(fn, grain="distinct", null_keys="drop", dim="datetime", **kw):
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         s = star(spark, sf_dir, grain, null_keys)
@@ -102,6 +118,8 @@ def _check_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # sources
     "trips_normalized": trips_normalized,
+    "trips_from_csv": trips_from_csv,
+    "trips_staged": lambda s, d: _trips(s, d),
     # dimensions
     "dim_datetime_distinct": lambda s, d: _dt(s, d, "distinct"),
     "dim_datetime_per_row": lambda s, d: _dt(s, d, "per_row"),
@@ -135,6 +153,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "summary_overall": lambda s, d: M.summary(star(s, d).fact),
     "summary_overall_per_row": lambda s, d: M.summary(star(s, d, "per_row").fact),
     "summary_zones": lambda s, d: M.summary(zone_star(s, d).fact),
+    "summary_rounded": summary_rounded,
     "payment_distribution": _mart(M.payment_distribution, dim="payment"),
     "payment_distribution_per_row": _mart(M.payment_distribution, grain="per_row", dim="payment"),
     "payment_distribution_null_match": _mart(M.payment_distribution, null_keys="match", dim="payment"),
