@@ -107,3 +107,11 @@ def test_dense_key_matches_brute_force(spark, values, parts):
     ordered = sorted(values, key=lambda v: (v is not None, v if v is not None else 0))
     assert [k for k, _ in got] == list(range(1, len(values) + 1))
     assert [v for _, v in got] == ordered
+
+
+def test_unordered_trip_ids_are_dense_and_facts_equal(spark):
+    trips = stage(trips_from_tables(spark, SF_SMALL))
+    a = FT.build_star(trips, stage_input=False)
+    b = FT.build_star(trips, stage_input=False, order_ids=False)
+    assert b.fact.agg(F.min("trip_id"), F.max("trip_id"), F.countDistinct("trip_id")).first() == (1, 5082, 5082)
+    assert _same(a.fact.drop("trip_id"), b.fact.drop("trip_id"))
