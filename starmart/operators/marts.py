@@ -121,6 +121,52 @@ def daily(fact: DataFrame, dim_datetime: DataFrame) -> DataFrame:
     )
 
 
+_HOUR_SET = ("pickup_hour",)
+_DAY_SET = ("pickup_year", "pickup_month", "pickup_day")
+
+
+def datetime_rollup(fact: DataFrame, dim_datetime: DataFrame) -> DataFrame:
+    """Both datetime marts in one pass: one fact-to-dimension join, then one
+    aggregate over the grouping sets (hour) and (year, month, day).
+
+    Spark expands each joined row once per set *before* the partial
+    aggregate, so a single shuffle of partial aggregates serves both marts;
+    the result has 24 + (number of days) rows.
+    """
+    j = _with_dim(
+        fact,
+        ["fare_amount", "tip_amount", "total_amount", "trip_distance", "trip_duration"],
+        dim_datetime,
+        "datetime_id",
+        [*_HOUR_SET, *_DAY_SET],
+    )
+    keys = [*_HOUR_SET, *_DAY_SET]
+    return j.groupingSets([list(_HOUR_SET), list(_DAY_SET)], *keys).agg(
+        F.grouping_id(*keys).alias("_set"),
+        F.count(F.lit(1)).alias("num_trips"),
+        F.avg("fare_amount").alias("avg_fare"),
+        F.avg("tip_amount").alias("avg_tip"),
+        F.avg("total_amount").alias("avg_total"),
+        F.sum("total_amount").alias("total_revenue"),
+        F.avg("trip_distance").alias("avg_distance"),
+        F.avg("trip_duration").alias("avg_duration"),
+    )
+
+
+def split_datetime_rollup(rollup: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(hourly, daily) marts, wide form, from ``datetime_rollup``."""
+    # grouping_id bits: 1 marks a column rolled away. The hour set rolls away
+    # the three date columns (binary 0111 = 7), the day set the hour (1000 = 8).
+    hourly = rollup.where(F.col("_set") == 7).select(
+        "pickup_hour", "avg_fare", "num_trips", "avg_tip", "avg_total"
+    )
+    daily = rollup.where(F.col("_set") == 8).select(
+        "pickup_year", "pickup_month", "pickup_day", "num_trips", "avg_fare", "total_revenue", "avg_distance",
+        "avg_duration",
+    )
+    return hourly, daily
+
+
 def summary(fact: DataFrame) -> DataFrame:
     """One row: trips, revenue, avg distance, avg duration in minutes.
 

@@ -314,6 +314,8 @@ ORACLE: dict[str, str] = {
     "mart_payment_per_row": star_with("per_row") + MART_PAYMENT,
     "mart_daily_per_row": star_with("per_row") + MART_DAILY,
     "mart_hourly_null_match": star_with("distinct", "match") + MART_HOURLY,
+    "mart_hourly_rollup": star_with() + MART_HOURLY,
+    "mart_daily_rollup": star_with() + MART_DAILY,
     "summary_overall": star_with() + SUMMARY.format(fact="fact"),
     "summary_overall_per_row": star_with("per_row") + SUMMARY.format(fact="fact"),
     "summary_zones": ZONE_STAR + SUMMARY.format(fact="zfact"),

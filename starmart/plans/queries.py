@@ -149,6 +149,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mart_payment_per_row": _mart(M.payment, grain="per_row", dim="payment"),
     "mart_daily_per_row": _mart(M.daily, grain="per_row"),
     "mart_hourly_null_match": _mart(M.hourly, null_keys="match"),
+    "mart_hourly_rollup": lambda s, d: M.split_datetime_rollup(M.datetime_rollup(star(s, d).fact, star(s, d).datetime))[0],
+    "mart_daily_rollup": lambda s, d: M.split_datetime_rollup(M.datetime_rollup(star(s, d).fact, star(s, d).datetime))[1],
     # summary
     "summary_overall": lambda s, d: M.summary(star(s, d).fact),
     "summary_overall_per_row": lambda s, d: M.summary(star(s, d, "per_row").fact),

@@ -39,11 +39,16 @@ def save_table_with_schema(df: DataFrame, path: str, schema: T.StructType, mode:
     save(conform(df, schema), path, mode=mode, fmt=fmt)
 
 
-def _single(df: DataFrame, single_file: bool) -> DataFrame:
-    if not single_file:
+def _single(df: DataFrame, single_file: bool | None) -> DataFrame:
+    """``True``: one file, refused above the row bound. ``None``: one file when
+    the row check passes, else one part per task. ``False``: parts."""
+    if single_file is False:
+        return df
+    small = bounded_rows(df, SINGLE_FILE_MAX_ROWS)
+    if not small:
+        if single_file:
+            raise ValueError(f"single_file export refused: more than {SINGLE_FILE_MAX_ROWS} rows")
         return df
-    if not bounded_rows(df, SINGLE_FILE_MAX_ROWS):
-        raise ValueError(f"single_file export refused: more than {SINGLE_FILE_MAX_ROWS} rows")
     return df.coalesce(1)
 
 
@@ -51,10 +56,11 @@ def export_csv(
     df: DataFrame,
     path: str,
     order_by: Sequence[Column] | None = None,
-    single_file: bool = False,
+    single_file: bool | None = False,
     mode: str = "overwrite",
 ) -> None:
-    """CSV with a header row and no index column, optionally sorted."""
+    """CSV with a header row and no index column, optionally sorted (a sorted
+    multi-part export keeps the order across part files)."""
     out = df.orderBy(*order_by) if order_by else df
     _single(out, single_file).write.mode(mode).option("header", True).csv(path)
 
@@ -77,7 +83,7 @@ def export_all(
     out_dir: str,
     order: Mapping[str, Sequence[Column]] | None = None,
     on_error: str = "raise",
-    single_file: bool = False,
+    single_file: bool | None = None,
 ) -> dict[str, str]:
     """Export every mart to ``out_dir/<name>.csv``; returns status per mart.
 
