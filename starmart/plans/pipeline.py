@@ -120,16 +120,16 @@ def publish(
 ) -> dict[str, str]:
     """Marts to CSV (sorted), a profile of each mart to JSON, and the summary
     report to JSON. ``profile_layout="per_mart"`` writes one JSON per mart,
-    ``"combined"`` one JSON keyed by mart name."""
+    ``"combined"`` one JSON keyed by mart name. A zone star has no
+    coordinates, so its location mart is reported as skipped."""
     # Hourly and daily come from one join and one grouping-sets aggregate.
     rollup = M.datetime_rollup(star.fact, star.datetime).persist()
     hourly, daily = M.split_datetime_rollup(rollup)
-    views = {
-        "vw_hourly_fares": hourly,
-        "vw_popular_locations": M.popular_locations(star.fact, star.location),
-        "vw_payment_analysis": M.payment(star.fact, star.payment),
-        "vw_daily_stats": daily,
-    }
+    views = {"vw_hourly_fares": hourly}
+    if star.variant == "coords":
+        views["vw_popular_locations"] = M.popular_locations(star.fact, star.location)
+    views["vw_payment_analysis"] = M.payment(star.fact, star.payment)
+    views["vw_daily_stats"] = daily
     order_names = {
         "vw_hourly_fares": "hourly",
         "vw_popular_locations": "popular_locations",
@@ -142,6 +142,8 @@ def publish(
         status = export_all(
             cached, out_dir, {k: M.mart_order(order_names[k]) for k in cached}, on_error, single_file
         )
+        if star.variant == "zones":
+            status["vw_popular_locations"] = "skipped: the zone star has no coordinates"
         ok = {k: v for k, v in cached.items() if status.get(k) == "ok"}
         if profile_layout == "per_mart":
             for name, df in ok.items():
@@ -169,9 +171,9 @@ def run(
     # extract already wrote the staging table
     star = build(ex.trips, f"{out_dir}/star", variant=variant, stage_input=False, **build_options)
     if variant == "zones":
-        # The zone star has no coordinates: only its summary is published.
-        export_json(M.summary_report(star.fact, star.payment), f"{out_dir}/summary_report.json")
-        return {"summary_report": "ok"}
+        # As the zone lane does: failing marts are reported and skipped, and
+        # the profiles go to one JSON keyed by mart.
+        return publish(star, f"{out_dir}/processed", on_error="skip", profile_layout="combined")
     return publish(star, f"{out_dir}/processed")
 
 

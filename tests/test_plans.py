@@ -117,3 +117,29 @@ def test_extract_parquet_months(spark, hand, tmp_path):
     src.write.parquet(str(tmp_path / "feb"))
     ex = extract(spark, [str(tmp_path / "jan"), str(tmp_path / "feb")], source="parquet")
     assert ex.row_count == 12 and ex.trips.columns[4] == "pickup_location_id"
+
+
+def test_zone_lane_run_publishes_combined_profile(spark, hand, tmp_path):
+    import json
+    import os
+
+    from pyspark.sql import functions as F
+
+    from starmart.plans import run
+
+    src = hand.select(
+        F.col("pickup_datetime").alias("tpep_pickup_datetime"),
+        F.col("dropoff_datetime").alias("tpep_dropoff_datetime"),
+        "passenger_count", "trip_distance",
+        F.lit(1).cast("long").alias("PULocationID"), F.lit(2).cast("long").alias("DOLocationID"),
+        "payment_type", "fare_amount", "tip_amount", "total_amount",
+    )
+    src.write.parquet(str(tmp_path / "jan"))
+    out = str(tmp_path / "out")
+    status = run(spark, [str(tmp_path / "jan")], out, source="parquet")
+    assert status["vw_hourly_fares"] == "ok" and status["vw_daily_stats"] == "ok"
+    assert status["vw_popular_locations"].startswith("skipped")
+    d = f"{out}/processed/analytics_stats.json"
+    doc = json.loads("".join(open(os.path.join(d, f)).read() for f in os.listdir(d) if f.startswith("part-")))
+    assert set(doc) == {"vw_hourly_fares", "vw_payment_analysis", "vw_daily_stats"}
+    assert doc["vw_hourly_fares"]["row_count"] == 4  # hours 0, 6, 12, 23 (the zone lane keeps every trip)
