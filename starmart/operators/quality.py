@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starmart.operators.joins import lookup_join
 from starmart.sources.trips import require_columns  # noqa: F401  (re-exported)
 
 # The key fields and non-negative measures the zone lane checks.
@@ -83,13 +84,16 @@ def check_orphans(fact: DataFrame, dims: Mapping[str, DataFrame], foreign_keys:
     """Facts whose non-NULL foreign key has no row in its dimension.
 
     The fact's keys are first counted per distinct value (a map-side
-    pre-aggregate), and only those distinct values are anti-joined.
+    pre-aggregate), and only those distinct values are anti-joined; a
+    dimension proven small (row check) is broadcast.
     """
     parts = []
     for fk, dim_name in foreign_keys.items():
         per_value = fact.where(F.col(fk).isNotNull()).groupBy(fk).agg(F.count(F.lit(1)).alias("_n"))
         ids = dims[dim_name].select(F.col(fk).alias("_k_id"))
-        orphans = per_value.join(ids, per_value[fk] == ids["_k_id"], "left_anti")
+        # A dimension proven small is broadcast; a big one is shuffled once
+        # by key, and the fact side reuses the pre-aggregate's partitioning.
+        orphans = lookup_join(per_value, ids, [(fk, "_k_id")], "left_anti")
         parts.append(
             orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("failures")).select(
                 F.lit("orphans").alias("check"), F.lit(f"{fk}->{dim_name}").alias("column"), "failures"
