@@ -324,6 +324,10 @@ SELECT total_trips, ROUND(total_revenue, 2) AS total_revenue, ROUND(avg_distance
        ROUND(avg_duration_minutes, 2) AS avg_duration_minutes
 FROM (""" + SUMMARY.format(fact="fact") + ") s",
     "payment_distribution": star_with() + PAYMENT_DISTRIBUTION,
+    "summary_report_records": star_with() + ", d AS (" + PAYMENT_DISTRIBUTION + """)
+SELECT CAST(ROW_NUMBER() OVER (ORDER BY trip_count DESC, payment_name NULLS FIRST) - 1 AS BIGINT) AS pos,
+       payment_name, trip_count, percentage
+FROM d""",
     "payment_distribution_per_row": star_with("per_row") + PAYMENT_DISTRIBUTION,
     "payment_distribution_null_match": star_with("distinct", "match") + PAYMENT_DISTRIBUTION,
     "check_not_null": ZONE_STAR + "\n" + _not_null("zfact", [(c, False) for c in

@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starmart.operators import dims as D
 from starmart.operators import facts as FT
@@ -91,6 +92,15 @@ def summary_rounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.summary_report(star(spark, sf_dir).fact, star(spark, sf_dir).payment).select("overall_stats.*")
 
 
+def summary_report_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report's payment records with their position in the array."""
+    s = star(spark, sf_dir)
+    report = M.summary_report(s.fact, s.payment)
+    return report.select(F.posexplode("payment_distribution").alias("pos", "r")).select(
+        F.col("pos").cast("long").alias("pos"), "r.payment_name", "r.trip_count", "r.percentage"
+    )
+
+
 def _mart(fn, grain="distinct", null_keys="drop", dim="datetime", **kw):
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         s = star(spark, sf_dir, grain, null_keys)
@@ -156,6 +166,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "summary_overall_per_row": lambda s, d: M.summary(star(s, d, "per_row").fact),
     "summary_zones": lambda s, d: M.summary(zone_star(s, d).fact),
     "summary_rounded": summary_rounded,
+    "summary_report_records": summary_report_records,
     "payment_distribution": _mart(M.payment_distribution, dim="payment"),
     "payment_distribution_per_row": _mart(M.payment_distribution, grain="per_row", dim="payment"),
     "payment_distribution_null_match": _mart(M.payment_distribution, null_keys="match", dim="payment"),
