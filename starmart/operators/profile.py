@@ -6,6 +6,9 @@ interpolated median without gathering a column into one task: values of all
 numeric columns are ranked together by ``dense_key`` (a range-partitioned
 sort), and only the one or two middle ranks per column are kept.
 ``median="approx"`` uses ``percentile_approx`` instead (one pass, no sort).
+A table proven small by a row check (at most ``MEDIAN_BUFFER_ROWS``) gets its
+exact median inside the profiling aggregate instead: each column's values are
+gathered and sorted in one bounded buffer, with no extra job.
 """
 
 from __future__ import annotations
@@ -16,10 +19,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starmart.operators.joins import bounded_rows
 from starmart.operators.keys import dense_key
 
 PROFILE_COLUMNS = ["column", "ordinal", "row_count", "null_count", "min", "max", "mean", "median"]
 
+# Tables with at most this many rows take the single-aggregate exact median.
+MEDIAN_BUFFER_ROWS = 1_000_000
+
 
 def _is_numeric(t: T.DataType) -> bool:
     return isinstance(t, T.NumericType)
@@ -40,6 +47,7 @@ def profile(df: DataFrame, median: str = "exact", accuracy: int = 10_000) -> Dat
         raise ValueError(f"median must be 'exact' or 'approx', not {median!r}")
     fields = df.schema.fields
     numeric = [f.name for f in fields if _is_numeric(f.dataType)]
+    buffered = median == "exact" and bool(numeric) and bounded_rows(df, MEDIAN_BUFFER_ROWS)
 
     # One pass: every count and every min/max/mean in a single aggregate.
     aggs = [F.count(F.lit(1)).alias("_rows")]
@@ -53,6 +61,8 @@ def profile(df: DataFrame, median: str = "exact", accuracy: int = 10_000) -> Dat
             aggs += [F.min(v).alias(f"_min{i}"), F.max(v).alias(f"_max{i}"), F.avg(v).alias(f"_mean{i}")]
             if median == "approx":
                 aggs.append(F.percentile_approx(v, 0.5, accuracy).cast("double").alias(f"_med{i}"))
+            elif buffered:
+                aggs.append(_buffered_median(v).alias(f"_med{i}"))
     wide = df.agg(*aggs)
 
     def entry(i: int, f: T.StructField) -> Column:
@@ -66,11 +76,11 @@ def profile(df: DataFrame, median: str = "exact", accuracy: int = 10_000) -> Dat
             (F.col(f"_min{i}") if num else none).alias("min"),
             (F.col(f"_max{i}") if num else none).alias("max"),
             (F.col(f"_mean{i}") if num else none).alias("mean"),
-            (F.col(f"_med{i}") if num and median == "approx" else none).alias("median"),
+            (F.col(f"_med{i}") if num and (median == "approx" or buffered) else none).alias("median"),
         )
 
     long = wide.select(F.inline(F.array(*[entry(i, f) for i, f in enumerate(fields)])))
-    if median == "approx" or not numeric:
+    if median == "approx" or buffered or not numeric:
         return long
     med = exact_medians(df, numeric)
     return (
@@ -80,6 +90,16 @@ def profile(df: DataFrame, median: str = "exact", accuracy: int = 10_000) -> Dat
     )
 
 
+def _buffered_median(v: Column) -> Column:
+    """Interpolated median of a bounded group: sort the non-NULL values and
+    average the one or two middle ones (as ``(a + b) / 2``)."""
+    arr = F.array_sort(F.collect_list(v))
+    n = F.size(arr)
+    lo = F.element_at(arr, ((n + 1) / 2).cast("int"))
+    hi = F.element_at(arr, ((n + 2) / 2).cast("int"))
+    return F.when(n > 0, (lo + hi) / 2)
+
+
 def exact_medians(df: DataFrame, columns: list[str]) -> DataFrame:
     """``(column, median)``: interpolated median of each column, NaN/NULL
     skipped, computed by a distributed rank (no per-column buffer)."""

@@ -79,3 +79,16 @@ def test_nan_codes_become_null_members(spark):
     )
     (r,) = normalize(df).collect()
     assert r.passenger_count is None and r.payment_type is None
+
+
+def test_both_exact_median_paths_agree(spark, monkeypatch):
+    import starmart.operators.profile as P
+
+    df = spark.range(0, 2000).select(((F.col("id") * 7919) % 1000).cast("double").alias("x"),
+                                     (F.col("id") % 7).alias("k"))
+    buffered = {r["column"]: r.median for r in P.profile(df).collect()}
+    monkeypatch.setattr(P, "MEDIAN_BUFFER_ROWS", 10)
+    ranked = {r["column"]: r.median for r in P.profile(df).collect()}
+    assert buffered == ranked
+    pdf = df.toPandas()  # small, test only
+    assert buffered == {c: float(pdf[c].median()) for c in pdf.columns}
