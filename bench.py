@@ -77,10 +77,10 @@ def main() -> None:
     timed("check_unique", lambda: Q.check_unique(star.fact, "trip_id").collect())
     timed("profile_daily", lambda: profile(M.daily(star.fact, star.datetime)).collect())
 
-    from starmart.checkpoint import checkpoint_root
+    from starmart.checkpoint import app_root
     from starmart.plans.pipeline import publish
 
-    out = f"{checkpoint_root(spark)}/starmart/bench-publish-{int(time.time() * 1000)}"
+    out = f"{app_root(spark)}/bench-publish"
     timed("publish", lambda: publish(star, out))
 
     sf = os.path.basename(sf_dir).replace("sf", "")

@@ -8,6 +8,8 @@ range partitioning, for instance). The folder is the one the cluster names in
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,6 +23,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_SCOPES: list[str] = []
+
+
+def app_root(spark: SparkSession) -> str:
+    """The folder new intermediate tables go to: this application's folder,
+    or the innermost ``scratch_scope`` inside it."""
+    base = f"{checkpoint_root(spark)}/starmart/{spark.sparkContext.applicationId}"
+    return f"{base}/{_SCOPES[-1]}" if _SCOPES else base
+
+
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` as Parquet under the checkpoint folder and read it back.
 
@@ -28,7 +40,29 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     re-reads them instead of recomputing (and possibly re-sampling) the plan.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_root(spark)}/starmart/{label}-{uuid.uuid4().hex}"
+    path = f"{app_root(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     # The schema is known: no job is needed to read it back from the footers.
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _delete(spark: SparkSession, folder: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(path, True))
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession, release: bool = True) -> Iterator[str]:
+    """Intermediate tables made inside the block go to their own folder,
+    deleted when the block ends (``release``). Only DataFrames made inside the
+    block read those files, so use them there."""
+    _SCOPES.append(f"run-{uuid.uuid4().hex}")
+    folder = app_root(spark)
+    try:
+        yield folder
+    finally:
+        _SCOPES.pop()
+        if release:
+            _delete(spark, folder)

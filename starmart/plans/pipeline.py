@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from starmart.checkpoint import scratch_scope
 from starmart.operators import marts as M
 from starmart.operators import quality as Q
 from starmart.operators.facts import Star, build_star, build_zone_star
@@ -163,9 +164,19 @@ def run(
     paths: str | Sequence[str],
     out_dir: str,
     source: str = "csv",
+    release_intermediates: bool = True,
     **build_options,
 ) -> dict[str, str]:
-    """extract -> build (tables under ``out_dir/star``) -> publish."""
+    """extract -> build (tables under ``out_dir/star``) -> publish.
+
+    Intermediate tables under the checkpoint folder are deleted at the end
+    (``release_intermediates``); the star and the exports stay in ``out_dir``.
+    """
+    with scratch_scope(spark, release=release_intermediates):
+        return _run(spark, paths, out_dir, source, **build_options)
+
+
+def _run(spark, paths, out_dir, source, **build_options) -> dict[str, str]:
     ex = extract(spark, paths, source)
     variant = "coords" if source == "csv" else "zones"
     # extract already wrote the staging table

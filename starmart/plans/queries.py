@@ -79,10 +79,11 @@ def trips_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
 def trips_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The adapter's trips written as CSV with a header, then read back with
     the declared schema (the CSV lane's reader over data of every size)."""
-    from starmart.checkpoint import checkpoint_root
     import uuid
 
-    path = f"{checkpoint_root(spark)}/starmart/csv-{uuid.uuid4().hex}"
+    from starmart.checkpoint import app_root
+
+    path = f"{app_root(spark)}/csv-{uuid.uuid4().hex}"
     trips_from_tables(spark, sf_dir).write.option("header", True).csv(path)
     return read_trips_csv(spark, path)
 

@@ -143,3 +143,18 @@ def test_zone_lane_run_publishes_combined_profile(spark, hand, tmp_path):
     doc = json.loads("".join(open(os.path.join(d, f)).read() for f in os.listdir(d) if f.startswith("part-")))
     assert set(doc) == {"vw_hourly_fares", "vw_payment_analysis", "vw_daily_stats"}
     assert doc["vw_hourly_fares"]["row_count"] == 4  # hours 0, 6, 12, 23 (the zone lane keeps every trip)
+
+
+def test_run_releases_only_its_own_intermediates(spark, hand, tmp_path):
+    from starmart.checkpoint import app_root, materialize
+    from starmart.plans import run
+
+    keep = materialize(hand, "keep")  # made outside the run: must survive it
+    src = str(tmp_path / "raw")
+    hand.write.option("header", True).csv(src)
+    run(spark, src, str(tmp_path / "out"))
+    assert keep.count() == 6
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(app_root(spark))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    assert not [s for s in fs.listStatus(path) if s.getPath().getName().startswith("run-")]
