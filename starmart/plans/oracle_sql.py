@@ -123,8 +123,11 @@ fact AS (
 )"""
 
 
-def star_with(grain: str = "distinct", null_keys: str = "drop") -> str:
-    return "WITH " + ",".join([TRIPS, _dt(grain), LOC, PAY, PAS, _fact(null_keys)])
+def star_with(grain: str = "distinct", null_keys: str = "drop", trips_table: str | None = None) -> str:
+    """The star as CTEs; ``trips_table`` replaces the adapter with a table of
+    coordinate trips (used by the randomised tests)."""
+    trips = TRIPS if trips_table is None else f"\ntrips AS (SELECT * FROM {trips_table})"
+    return "WITH " + ",".join([trips, _dt(grain), LOC, PAY, PAS, _fact(null_keys)])
 
 
 ZONE_STAR = "WITH " + ",".join([
