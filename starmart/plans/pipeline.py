@@ -19,7 +19,7 @@ from starmart.operators import quality as Q
 from starmart.operators.facts import Star, build_star, build_zone_star
 from starmart.operators.profile import profile_json, profiles_json
 from starmart.schema import TRIPS_COORD
-from starmart.sinks.writers import export_all, export_json, save
+from starmart.sinks.writers import export_all, export_json, save, save_bucketed
 from starmart.sources.staging import stage
 from starmart.sources.trips import normalize, read_trips_csv, read_trips_parquet
 
@@ -72,9 +72,17 @@ def build(
     null_keys: str = "drop",
     check: bool = True,
     stage_input: bool = True,
+    buckets: int | None = None,
+    table_prefix: str = "starmart_",
 ) -> Star:
     """Build the star; write its tables under ``out_dir`` (overwrite) and
-    re-read them; run the lane's checks (raising on failure)."""
+    re-read them; run the lane's checks (raising on failure).
+
+    With ``buckets``, the fact and the datetime dimension are written as
+    catalog tables (``table_prefix`` + name) bucketed and sorted by
+    ``datetime_id``, so the marts and checks that join them on that key
+    later shuffle neither side.
+    """
     if variant == "coords":
         star = build_star(trips, grain=grain, null_keys=null_keys, stage_input=stage_input)
     else:
@@ -83,8 +91,12 @@ def build(
         spark = trips.sparkSession
         tables = {}
         for name, df in star.tables().items():
-            save(df, f"{out_dir}/{name}")
-            tables[name] = spark.read.parquet(f"{out_dir}/{name}")
+            if buckets and name in ("fact_trips", "dim_datetime"):
+                save_bucketed(df, f"{table_prefix}{name}", f"{out_dir}/{name}", "datetime_id", buckets)
+                tables[name] = spark.table(f"{table_prefix}{name}")
+            else:
+                save(df, f"{out_dir}/{name}")
+                tables[name] = spark.read.parquet(f"{out_dir}/{name}")
         star = Star(
             tables["dim_datetime"], tables["dim_location"], tables["dim_payment"],
             tables["dim_passenger"], tables["fact_trips"], star.variant,

@@ -158,3 +158,29 @@ def test_run_releases_only_its_own_intermediates(spark, hand, tmp_path):
     path = jvm.org.apache.hadoop.fs.Path(app_root(spark))
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     assert not [s for s in fs.listStatus(path) if s.getPath().getName().startswith("run-")]
+
+
+def test_bucketed_star_joins_without_shuffle(spark, hand, tmp_path, monkeypatch):
+    import starmart.operators.joins as J
+    from starmart.operators import quality as Q
+    from starmart.plans import build
+
+    star = build(hand, str(tmp_path / "star"), buckets=4, table_prefix="t_bucketed_")
+    monkeypatch.setattr(J, "MAX_BROADCAST_ROWS", 0)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        mart = M.hourly(star.fact, star.datetime)
+        assert sorted(tuple(r) for r in mart.collect()) == [(0, 15.0, 2, 1.0, 16.0), (6, 16.0, 1, 4.0, 20.0),
+                                                             (23, 0.0, 1, 0.0, 0.0)]
+        plan = mart._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan
+        # the only exchange is the (partial) aggregate's, by pickup_hour
+        assert "hashpartitioning(datetime_id" not in plan and "hashpartitioning(_k_id" not in plan
+        orphans = Q.check_orphans(star.fact, star.tables(), {"datetime_id": "dim_datetime"})
+        assert [r.failures for r in orphans.collect()] == [0]
+        assert "hashpartitioning(datetime_id" not in orphans._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
