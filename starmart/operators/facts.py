@@ -95,6 +95,23 @@ def build(
     return keyed.select(*FACT.fieldNames())
 
 
+class FanOutError(ValueError):
+    """Raised when the per-row grain would multiply the facts beyond the
+    allowed ratio (equal timestamp pairs meet each other: k trips -> k*k)."""
+
+
+def per_row_fanout(trips: DataFrame) -> tuple[int, int]:
+    """(facts the per-row grain produces before NULL-key drops, trips):
+    the sum over timestamp pairs of the pair's size squared. Counted from
+    per-pair counts (a map-side pre-aggregate), never by emitting pairs."""
+    sizes = trips.groupBy("pickup_datetime", "dropoff_datetime").agg(F.count(F.lit(1)).alias("k"))
+    row = sizes.agg(
+        F.coalesce(F.sum(F.col("k") * F.col("k")), F.lit(0)).alias("facts"),
+        F.coalesce(F.sum("k"), F.lit(0)).alias("trips"),
+    ).first()
+    return int(row["facts"]), int(row["trips"])
+
+
 def build_star(
     trips: DataFrame,
     grain: str = "distinct",
@@ -104,13 +121,24 @@ def build_star(
     first_id: int = 1,
     stage_input: bool = True,
     order_ids: bool = True,
+    max_fanout: float | None = 10.0,
 ) -> Star:
     """Coordinate lane: four dimensions, then the fact that references them.
 
     ``stage_input`` writes the trips once first (they are read five times).
+    With ``grain="per_row"`` the build first checks the fan-out (see
+    ``per_row_fanout``) and raises ``FanOutError`` when it would exceed
+    ``max_fanout`` facts per trip; ``max_fanout=None`` skips the check.
     """
     if stage_input:
         trips = stage(trips)
+    if grain == "per_row" and max_fanout is not None:
+        facts, n = per_row_fanout(trips)
+        if n and facts > max_fanout * n:
+            raise FanOutError(
+                f"per-row grain would make {facts} facts from {n} trips (more than {max_fanout} per trip): "
+                "a timestamp pair is very frequent; use grain='distinct' or raise max_fanout"
+            )
     dt = D.datetime_dim(trips, grain=grain, week_start=week_start, first_id=first_id)
     loc = D.location_dim(trips, first_id=first_id)
     pay = D.payment_dim(trips, first_id=first_id)

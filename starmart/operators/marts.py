@@ -12,7 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.operators.joins import lookup_join
+from starmart.operators.joins import bounded_rows, lookup_join
+
+# Upper bound on the payment records gathered into the summary report.
+MAX_REPORT_RECORDS = 10_000
 
 # Sink order of each mart as (column, descending); ties broken by the keys.
 MART_ORDER: dict[str, list[tuple[str, bool]]] = {
@@ -200,9 +203,11 @@ def summary_report(fact: DataFrame, dim_payment: DataFrame, ndigits: int = 2) ->
     """One row: ``overall_stats`` (rounded) and the ``payment_distribution``
     records, sorted by count descending then name.
 
-    The records array holds one element per payment name (a handful), so
-    gathering it into one row is bounded.
+    The records array holds one element per payment name; the payment
+    dimension's row count is checked first, so the gathered array is bounded.
     """
+    if not bounded_rows(dim_payment, MAX_REPORT_RECORDS):
+        raise ValueError(f"payment dimension has more than {MAX_REPORT_RECORDS} rows: too many report records")
     s = summary(fact)
     overall = F.struct(
         F.col("total_trips"),

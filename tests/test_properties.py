@@ -115,3 +115,16 @@ def test_unordered_trip_ids_are_dense_and_facts_equal(spark):
     b = FT.build_star(trips, stage_input=False, order_ids=False)
     assert b.fact.agg(F.min("trip_id"), F.max("trip_id"), F.countDistinct("trip_id")).first() == (1, 5082, 5082)
     assert _same(a.fact.drop("trip_id"), b.fact.drop("trip_id"))
+
+
+def test_per_row_fanout_guard(spark):
+    from starmart.operators.facts import FanOutError, per_row_fanout
+
+    trips = stage(trips_from_tables(spark, SF_SMALL))
+    assert per_row_fanout(trips) == (9368, 6000)  # FIXTURES: sum of k^2 over pairs at sf0.001
+    hot = trips.withColumn("pickup_datetime", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")).withColumn(
+        "dropoff_datetime", F.lit("2024-01-01 00:10:00").cast("timestamp_ntz"))
+    import pytest
+
+    with pytest.raises(FanOutError):
+        FT.build_star(hot, grain="per_row", stage_input=False)
