@@ -125,6 +125,16 @@ def profile_json(df: DataFrame, median: str = "exact") -> DataFrame:
     )
 
 
+def profile_docs(tables: Mapping[str, DataFrame], median: str = "exact") -> DataFrame:
+    """One row per table: ``mart`` (its name) and ``json`` (its profile), all
+    computed by one job; at most one row per table."""
+    out = None
+    for name, t in tables.items():
+        doc = profile_json(t, median).select(F.lit(name).alias("mart"), "json")
+        out = doc if out is None else out.unionByName(doc)
+    return out
+
+
 def profiles_json(tables: Mapping[str, DataFrame], median: str = "exact") -> DataFrame:
     """One row, one string column ``json``: every table's profile keyed by name."""
     parts = []

@@ -17,7 +17,7 @@ from starmart.checkpoint import scratch_scope
 from starmart.operators import marts as M
 from starmart.operators import quality as Q
 from starmart.operators.facts import Star, build_star, build_zone_star
-from starmart.operators.profile import profile_json, profiles_json
+from starmart.operators.profile import profile_docs, profiles_json
 from starmart.schema import TRIPS_COORD
 from starmart.sinks.writers import export_all, export_json, save, save_bucketed
 from starmart.sources.staging import stage
@@ -132,8 +132,9 @@ def publish(
     single_file: bool | None = None,
 ) -> dict[str, str]:
     """Marts to CSV (sorted), a profile of each mart to JSON, and the summary
-    report to JSON. ``profile_layout="per_mart"`` writes one JSON per mart,
-    ``"combined"`` one JSON keyed by mart name. A zone star has no
+    report to JSON. ``profile_layout="per_mart"`` writes one JSON per mart
+    (``profiles/mart=<name>/``, one job for all), ``"combined"`` one JSON keyed
+    by mart name. A zone star has no
     coordinates, so its location mart is reported as skipped."""
     # Hourly and daily come from one join and one grouping-sets aggregate.
     rollup = M.datetime_rollup(star.fact, star.datetime).persist()
@@ -158,12 +159,13 @@ def publish(
         if star.variant == "zones":
             status["vw_popular_locations"] = "skipped: the zone star has no coordinates"
         ok = {k: v for k, v in cached.items() if status.get(k) == "ok"}
-        if profile_layout == "per_mart":
-            for name, df in ok.items():
-                export_json(profile_json(df), f"{out_dir}/{name}_stats.json")
+        if profile_layout == "per_mart" and ok:
+            # One JSON per mart under profiles/mart=<name>/, written by one job.
+            export_json(profile_docs(ok), f"{out_dir}/profiles", one_row=False, single_file=False,
+                        partition_by=["mart"])
         elif ok:
-            export_json(profiles_json(ok), f"{out_dir}/analytics_stats.json")
-        export_json(M.summary_report(star.fact, star.payment), f"{out_dir}/summary_report.json")
+            export_json(profiles_json(ok), f"{out_dir}/analytics_stats.json", one_row=True)
+        export_json(M.summary_report(star.fact, star.payment), f"{out_dir}/summary_report.json", one_row=True)
     finally:
         for v in cached.values():
             v.unpersist()

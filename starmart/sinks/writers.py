@@ -83,17 +83,31 @@ def export_csv(
     _single(out, single_file).write.mode(mode).option("header", True).csv(path)
 
 
-def export_json(df: DataFrame, path: str, single_file: bool = True, mode: str = "overwrite") -> None:
+def export_json(
+    df: DataFrame,
+    path: str,
+    single_file: bool | None = True,
+    mode: str = "overwrite",
+    one_row: bool = False,
+    partition_by: Sequence[str] | None = None,
+) -> None:
     """JSON lines, NULL fields written as ``null`` (not dropped).
 
-    A DataFrame with a single string column ``json`` (as built by the profile
-    and report functions) is written as that text.
+    A DataFrame whose only data column is a string ``json`` (as built by the
+    profile and report functions) is written as that text. ``one_row=True``
+    states that ``df`` is a global aggregate (one row by construction), so no
+    row check is needed for a single file. ``partition_by`` writes one folder
+    per value (one document per mart, say) in a single job.
     """
-    out = _single(df, single_file)
-    if out.columns == ["json"] and isinstance(out.schema["json"].dataType, T.StringType):
-        out.write.mode(mode).text(path)
+    out = df.coalesce(1) if one_row else _single(df, single_file)
+    data_cols = [c for c in out.columns if c not in (partition_by or [])]
+    w = out.write.mode(mode)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    if data_cols == ["json"] and isinstance(out.schema["json"].dataType, T.StringType):
+        w.text(path)
     else:
-        out.write.mode(mode).option("ignoreNullFields", False).json(path)
+        w.option("ignoreNullFields", False).json(path)
 
 
 def export_all(

@@ -65,7 +65,12 @@ def test_pipeline_run_end_to_end(spark, hand, tmp_path):
     assert status == {k: "ok" for k in ["vw_hourly_fares", "vw_popular_locations", "vw_payment_analysis", "vw_daily_stats"]}
     processed = f"{out}/processed"
     names = set(os.listdir(processed))
-    assert {"vw_hourly_fares.csv", "vw_hourly_fares_stats.json", "summary_report.json"} <= names
+    assert {"vw_hourly_fares.csv", "profiles", "summary_report.json"} <= names
+    prof_dir = f"{processed}/profiles/mart=vw_daily_stats"
+    prof = json.loads("".join(open(os.path.join(prof_dir, f)).read() for f in os.listdir(prof_dir) if f.startswith("part-")))
+    assert prof["row_count"] == 2 and prof["columns"][:3] == ["pickup_year", "pickup_month", "pickup_day"]
+    assert sorted(d for d in os.listdir(f"{processed}/profiles") if d.startswith("mart=")) == sorted(
+        ["mart=vw_daily_stats", "mart=vw_hourly_fares", "mart=vw_payment_analysis", "mart=vw_popular_locations"])
     rep_dir = f"{processed}/summary_report.json"
     txt = "".join(open(os.path.join(rep_dir, f)).read() for f in os.listdir(rep_dir) if f.startswith("part-"))
     assert json.loads(txt)["overall_stats"]["total_trips"] == 4
