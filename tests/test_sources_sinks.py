@@ -149,3 +149,18 @@ def test_export_all_policies(spark, hand):
     assert status["hourly"] == "ok" and status["daily"] == "ok" and status["bad"].startswith("error")
     with pytest.raises(AnalysisException):
         export_all(marts, _scratch(), on_error="raise")
+
+
+def test_stage_spreads_only_small_inputs(spark, hand):
+    from starmart.sources.staging import stage
+
+    d = _scratch()
+    hand.coalesce(1).write.parquet(f"{d}/one")
+    one = spark.read.parquet(f"{d}/one")
+    assert len(stage(one).inputFiles()) > 1  # small, one file: spread over the task slots
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "16")  # now "large" for this cluster
+        assert len(stage(one).inputFiles()) == 1  # written as it is, no shuffle
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
