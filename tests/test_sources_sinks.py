@@ -161,6 +161,7 @@ def test_stage_spreads_only_small_inputs(spark, hand):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     try:
         spark.conf.set("spark.sql.files.maxPartitionBytes", "16")  # now "large" for this cluster
-        assert len(stage(one).inputFiles()) == 1  # written as it is, no shuffle
+        # written as it is (no round-robin shuffle over the task slots)
+        assert len(stage(one).inputFiles()) < spark.sparkContext.defaultParallelism
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
