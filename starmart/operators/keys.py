@@ -53,24 +53,7 @@ def dense_key(
     The new column comes first.
     """
     original = df.columns
-    staged = df
-    if order_by:
-        keys: list[str | Column] = list(order_by)
-        if not unique:
-            # Number rows inside each input partition after a local sort by
-            # every column: a re-run task (lost executor) then assigns the
-            # same (row, number) pairs, since equal rows are interchangeable.
-            staged = staged.sortWithinPartitions(*original).withColumn(_SEQ, F.monotonically_increasing_id())
-            keys.append(_SEQ)
-        staged = (
-            staged.repartitionByRange(num_partitions, *keys)
-            if num_partitions
-            else staged.repartitionByRange(*keys)
-        ).sortWithinPartitions(*keys)
-    else:
-        # Positions follow a local sort, so a re-run task numbers alike.
-        staged = staged.sortWithinPartitions(*original)
-    staged = staged.select(*original, F.monotonically_increasing_id().alias(_MID))
+    staged = numbered(df, order_by, unique, num_partitions)
     stored = materialize(staged, "dense-key")
 
     # Rows per written partition: one small column is scanned, and the result
@@ -89,3 +72,34 @@ def dense_key(
     else:
         start = F.lit(first_id).cast("long")
     return stored.select((start + position).cast("long").alias(name), *original)
+
+
+def numbered(
+    df: DataFrame,
+    order_by: Sequence[str | Column] | None,
+    unique: bool = True,
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """The rows of ``df`` in key order across partitions, each tagged with
+    ``monotonically_increasing_id()`` (partition index, position): what
+    ``dense_key`` writes once before turning the tags into ids."""
+    original = df.columns
+    staged = df
+    if order_by:
+        keys: list[str | Column] = list(order_by)
+        if not unique:
+            # Number rows inside each input partition after a local sort by
+            # every column: a re-run task (lost executor) then assigns the
+            # same (row, number) pairs, since equal rows are interchangeable.
+            staged = staged.sortWithinPartitions(*original).withColumn(_SEQ, F.monotonically_increasing_id())
+            keys.append(_SEQ)
+        staged = (
+            staged.repartitionByRange(num_partitions, *keys)
+            if num_partitions
+            else staged.repartitionByRange(*keys)
+        ).sortWithinPartitions(*keys)
+    else:
+        # Positions follow a local sort, so a re-run task numbers alike.
+        staged = staged.sortWithinPartitions(*original)
+    staged = staged.select(*original, F.monotonically_increasing_id().alias(_MID))
+    return staged

@@ -61,8 +61,14 @@ def main() -> None:
     FT.dense_key = spy
     FT.build(trips, s.datetime, s.location, s.payment, s.passenger)
     FT.dense_key = original
+    from starmart.operators.keys import numbered
+    from starmart.schema import TRIPS_COORD
+
+    fact_order = [*TRIPS_COORD.fieldNames(), "datetime_id"]
     at_scale = {
         "at scale: fact build joins (datetime by sort-merge)": captured["pre_key_fact"],
+        "at scale: trip-id numbering written by dense_key (range exchange, local sorts)":
+            numbered(captured["pre_key_fact"], fact_order, unique=False),
         "at scale: hourly + daily by grouping sets": M.datetime_rollup(s.fact, s.datetime),
         "at scale: check orphans": Q.check_orphans(s.fact, s.tables()),
     }
