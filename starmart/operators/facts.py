@@ -14,6 +14,8 @@ dimension is big (AQE splits a skewed pair's partition).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -27,6 +29,14 @@ from starmart.schema import COORD_COLUMNS, FACT, FACT_ZONE, TRIPS_COORD, TRIPS_Z
 from starmart.sources.staging import stage
 
 
+def concurrently(*builders: Callable[[], DataFrame]) -> list[DataFrame]:
+    """Run independent builders (each ending in its own Spark jobs) from a
+    few driver threads, so their small jobs share the task slots instead of
+    queueing one after another. Results come back in argument order."""
+    with ThreadPoolExecutor(max_workers=len(builders)) as pool:
+        return [f.result() for f in [pool.submit(b) for b in builders]]
+
+
 @dataclass
 class Star:
     """The five tables of a star (DataFrames; ids already fixed)."""
@@ -139,10 +149,12 @@ def build_star(
                 f"per-row grain would make {facts} facts from {n} trips (more than {max_fanout} per trip): "
                 "a timestamp pair is very frequent; use grain='distinct' or raise max_fanout"
             )
-    dt = D.datetime_dim(trips, grain=grain, week_start=week_start, first_id=first_id)
-    loc = D.location_dim(trips, first_id=first_id)
-    pay = D.payment_dim(trips, first_id=first_id)
-    pas = D.passenger_dim(trips, first_id=first_id)
+    dt, loc, pay, pas = concurrently(
+        lambda: D.datetime_dim(trips, grain=grain, week_start=week_start, first_id=first_id),
+        lambda: D.location_dim(trips, first_id=first_id),
+        lambda: D.payment_dim(trips, first_id=first_id),
+        lambda: D.passenger_dim(trips, first_id=first_id),
+    )
     fact = build(
         trips, dt, loc, pay, pas, null_keys=null_keys, duration_unit=duration_unit, first_id=first_id, order_ids=order_ids
     )
@@ -157,8 +169,12 @@ def build_zone_star(trips: DataFrame, first_id: int = 0, stage_input: bool = Tru
     if stage_input:
         trips = stage(trips)
     staging = TRIPS_ZONE.fieldNames()
-    keyed = dense_key(
-        trips.select(*staging), staging if order_ids else None, name="trip_id", first_id=first_id, unique=False
+    keyed, pay, pas = concurrently(
+        lambda: dense_key(
+            trips.select(*staging), staging if order_ids else None, name="trip_id", first_id=first_id, unique=False
+        ),
+        lambda: D.payment_dim(trips, decode=False, first_id=first_id),
+        lambda: D.passenger_dim(trips, first_id=first_id),
     )
     dt = keyed.select(
         F.col("trip_id").alias("datetime_id"),
@@ -166,8 +182,6 @@ def build_zone_star(trips: DataFrame, first_id: int = 0, stage_input: bool = Tru
         *datetime_parts("pickup_datetime", "pickup", "monday"),
     )
     loc = keyed.select(F.col("trip_id").alias("location_id"), "pickup_location_id", "dropoff_location_id")
-    pay = D.payment_dim(trips, decode=False, first_id=first_id)
-    pas = D.passenger_dim(trips, first_id=first_id)
 
     x = keyed.select(
         *keyed.columns,

@@ -59,7 +59,11 @@ def star(spark: SparkSession, sf_dir: str, grain: str = "distinct", null_keys: s
     """The coordinate star of ``sf_dir`` (built once per session)."""
 
     def make() -> FT.Star:
-        dt, loc, pay, pas = _dt(spark, sf_dir, grain), _loc(spark, sf_dir), _pay(spark, sf_dir), _pas(spark, sf_dir)
+        _trips(spark, sf_dir)  # staged once, before the dimensions read it concurrently
+        dt, loc, pay, pas = FT.concurrently(
+            lambda: _dt(spark, sf_dir, grain), lambda: _loc(spark, sf_dir),
+            lambda: _pay(spark, sf_dir), lambda: _pas(spark, sf_dir),
+        )
         fact = FT.build(_trips(spark, sf_dir), dt, loc, pay, pas, null_keys=null_keys)
         return FT.Star(dt, loc, pay, pas, fact, "coords")
 
