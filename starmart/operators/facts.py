@@ -29,7 +29,7 @@ from starmart.schema import COORD_COLUMNS, FACT, FACT_ZONE, TRIPS_COORD, TRIPS_Z
 from starmart.sources.staging import stage
 
 
-def concurrently(*builders: Callable[[], DataFrame]) -> list[DataFrame]:
+def concurrently(*builders: Callable[[], object]) -> list:
     """Run independent builders (each ending in its own Spark jobs) from a
     few driver threads, so their small jobs share the task slots instead of
     queueing one after another. Results come back in argument order."""

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from starmart.checkpoint import scratch_scope
 from starmart.operators import marts as M
 from starmart.operators import quality as Q
-from starmart.operators.facts import Star, build_star, build_zone_star
+from starmart.operators.facts import Star, build_star, build_zone_star, concurrently
 from starmart.operators.profile import profile_docs, profiles_json
 from starmart.schema import TRIPS_COORD
 from starmart.sinks.writers import export_all, export_json, save, save_bucketed
@@ -159,13 +159,18 @@ def publish(
         if star.variant == "zones":
             status["vw_popular_locations"] = "skipped: the zone star has no coordinates"
         ok = {k: v for k, v in cached.items() if status.get(k) == "ok"}
-        if profile_layout == "per_mart" and ok:
-            # One JSON per mart under profiles/mart=<name>/, written by one job.
-            export_json(profile_docs(ok), f"{out_dir}/profiles", one_row=False, single_file=False,
-                        partition_by=["mart"])
-        elif ok:
-            export_json(profiles_json(ok), f"{out_dir}/analytics_stats.json", one_row=True)
-        export_json(M.summary_report(star.fact, star.payment), f"{out_dir}/summary_report.json", one_row=True)
+
+        def profiles() -> None:
+            if profile_layout == "per_mart" and ok:
+                # One JSON per mart under profiles/mart=<name>/, written by one job.
+                export_json(profile_docs(ok), f"{out_dir}/profiles", single_file=False, partition_by=["mart"])
+            elif ok:
+                export_json(profiles_json(ok), f"{out_dir}/analytics_stats.json", one_row=True)
+
+        def report() -> None:
+            export_json(M.summary_report(star.fact, star.payment), f"{out_dir}/summary_report.json", one_row=True)
+
+        concurrently(profiles, report)
     finally:
         for v in cached.values():
             v.unpersist()
