@@ -14,14 +14,13 @@ dimension is big (AQE splits a skewed pair's partition).
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.functions.dates import datetime_parts, duration_seconds
+from starmart.jobs import concurrently
 from starmart.operators import dims as D
 from starmart.operators.joins import lookup_join
 from starmart.operators.keys import dense_key
@@ -29,14 +28,6 @@ from starmart.schema import COORD_COLUMNS, FACT, FACT_ZONE, TRIPS_COORD, TRIPS_Z
 from starmart.sources.staging import stage
 
 
-def concurrently(*builders: Callable[[], object]) -> list:
-    """Run independent builders (each ending in its own Spark jobs) from a
-    few driver threads, so their small jobs share the task slots instead of
-    queueing one after another. Results come back in argument order."""
-    with ThreadPoolExecutor(max_workers=len(builders)) as pool:
-        return [f.result() for f in [pool.submit(b) for b in builders]]
-
-
 @dataclass
 class Star:
     """The five tables of a star (DataFrames; ids already fixed)."""

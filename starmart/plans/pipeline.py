@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from starmart.checkpoint import scratch_scope
 from starmart.operators import marts as M
 from starmart.operators import quality as Q
-from starmart.operators.facts import Star, build_star, build_zone_star, concurrently
+from starmart.jobs import concurrently
+from starmart.operators.facts import Star, build_star, build_zone_star
 from starmart.operators.profile import profile_docs, profiles_json
 from starmart.schema import TRIPS_COORD
 from starmart.sinks.writers import export_all, export_json, save, save_bucketed

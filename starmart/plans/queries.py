@@ -15,6 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starmart.jobs import concurrently
 from starmart.operators import dims as D
 from starmart.operators import facts as FT
 from starmart.operators import marts as M
@@ -60,7 +61,7 @@ def star(spark: SparkSession, sf_dir: str, grain: str = "distinct", null_keys: s
 
     def make() -> FT.Star:
         _trips(spark, sf_dir)  # staged once, before the dimensions read it concurrently
-        dt, loc, pay, pas = FT.concurrently(
+        dt, loc, pay, pas = concurrently(
             lambda: _dt(spark, sf_dir, grain), lambda: _loc(spark, sf_dir),
             lambda: _pay(spark, sf_dir), lambda: _pas(spark, sf_dir),
         )

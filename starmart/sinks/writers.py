@@ -13,6 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
 
+from starmart.jobs import inheriting
 from starmart.operators.joins import bounded_rows
 from starmart.schema import conform
 
@@ -133,7 +134,7 @@ def export_all(
 
     # Independent exports run as concurrent Spark jobs from a few threads.
     with ThreadPoolExecutor(max_workers=max(1, min(8, len(marts)))) as pool:
-        futures = {name: pool.submit(one, name, mart) for name, mart in marts.items()}
+        futures = {name: pool.submit(inheriting(one), name, mart) for name, mart in marts.items()}
         status: dict[str, str] = {}
         for name, fut in futures.items():  # mart order, so the first failure is the first mart's
             exc = fut.exception()
