@@ -7,6 +7,8 @@ Ordered numbers use ``NULLS FIRST`` everywhere (Spark's ascending default).
 
 from __future__ import annotations
 
+from starmart.functions.payment import LOCATION_NAME, PAYMENT_CODES, UNKNOWN_DESCRIPTION, UNKNOWN_NAME
+
 COORDS = ["pickup_latitude", "pickup_longitude", "dropoff_latitude", "dropoff_longitude"]
 STAGING = ["pickup_datetime", "dropoff_datetime", *COORDS, "passenger_count", "trip_distance",
            "fare_amount", "tip_amount", "total_amount", "payment_type"]
@@ -74,18 +76,21 @@ LOC = f"""
 loc AS (
   SELECT CAST(ROW_NUMBER() OVER (ORDER BY {_ord(COORDS)}) AS BIGINT) AS location_id,
          {', '.join(COORDS)},
-         'NYC Area' AS pickup_location_name, 'NYC Area' AS dropoff_location_name
+         '{LOCATION_NAME}' AS pickup_location_name, '{LOCATION_NAME}' AS dropoff_location_name
   FROM (SELECT DISTINCT {', '.join(COORDS)} FROM trips) x
 )"""
 
-PAY = """
+def _case(pick: int, fallback: str) -> str:
+    whens = " ".join(f"WHEN {code} THEN '{labels[pick]}'" for code, labels in PAYMENT_CODES.items())
+    return f"CASE payment_type {whens} ELSE '{fallback}' END"
+
+
+PAY = f"""
 pay AS (
   SELECT CAST(ROW_NUMBER() OVER (ORDER BY payment_type NULLS FIRST) AS BIGINT) AS payment_id,
          CAST(payment_type AS VARCHAR) AS payment_type,
-         CASE payment_type WHEN 1 THEN 'Credit Card' WHEN 2 THEN 'Cash' WHEN 3 THEN 'No Charge'
-              WHEN 4 THEN 'Dispute' ELSE 'Unknown' END AS payment_name,
-         CASE payment_type WHEN 1 THEN 'Payment by credit card' WHEN 2 THEN 'Cash payment'
-              WHEN 3 THEN 'Free ride' WHEN 4 THEN 'Disputed charge' ELSE 'Unknown payment type' END AS payment_description
+         {_case(0, UNKNOWN_NAME)} AS payment_name,
+         {_case(1, UNKNOWN_DESCRIPTION)} AS payment_description
   FROM (SELECT DISTINCT payment_type FROM trips) x
 )"""
 
