@@ -1,5 +1,5 @@
 """Composed entry points: extract, build_star, publish, run."""
 
-from starmart.plans.pipeline import build, extract, publish, run
+from starmart.plans.pipeline import build, extract, load_star, publish, run
 
-__all__ = ["build", "extract", "publish", "run"]
+__all__ = ["build", "extract", "load_star", "publish", "run"]

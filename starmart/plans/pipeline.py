@@ -107,6 +107,13 @@ def build(
     return star
 
 
+def load_star(spark: SparkSession, star_dir: str, variant: str = "coords") -> Star:
+    """Read a star written by ``build`` (Parquet folders under ``star_dir``)."""
+    t = {name: spark.read.parquet(f"{star_dir}/{name}") for name in
+         ("dim_datetime", "dim_location", "dim_payment", "dim_passenger", "fact_trips")}
+    return Star(t["dim_datetime"], t["dim_location"], t["dim_payment"], t["dim_passenger"], t["fact_trips"], variant)
+
+
 def checks(star: Star) -> list[DataFrame]:
     """The checks of each lane: key uniqueness and orphans for the coordinate
     star; NULL keys and negative measures for the zone star."""

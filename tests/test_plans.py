@@ -189,3 +189,16 @@ def test_bucketed_star_joins_without_shuffle(spark, hand, tmp_path, monkeypatch)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_command_line_steps(spark, hand, tmp_path):
+    from starmart.__main__ import main
+
+    src = str(tmp_path / "raw")
+    hand.write.option("header", True).csv(src)
+    staging, star_dir, out = str(tmp_path / "staging"), str(tmp_path / "star"), str(tmp_path / "processed")
+    assert main(["extract", "--input", src, "--staging", staging], spark) == {"staging": staging, "rows": 6}
+    main(["build", "--input", staging, "--source", "staged", "--star", star_dir], spark)
+    status = main(["publish", "--star", star_dir, "--out", out], spark)
+    assert set(status.values()) == {"ok"}
+    assert spark.read.option("header", True).csv(f"{out}/vw_daily_stats.csv").count() == 2
