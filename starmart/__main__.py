@@ -23,9 +23,10 @@ def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="starmart")
     sub = p.add_subparsers(dest="command", required=True)
 
-    def common(sp, star_options=True):
+    def common(sp, star_options=True, sources=("csv", "parquet")):
         sp.add_argument("--input", action="append", required=True, help="input path (repeat for several files)")
-        sp.add_argument("--source", choices=["csv", "parquet", "staged"], default="csv")
+        sp.add_argument("--source", choices=list(sources), default="csv",
+                        help="csv (coordinates), parquet (zone-id months) or staged (a staging table)")
         if star_options:
             sp.add_argument("--grain", choices=["distinct", "per_row"], default="distinct")
             sp.add_argument("--null-keys", choices=["drop", "match"], default="drop")
@@ -37,7 +38,7 @@ def _parser() -> argparse.ArgumentParser:
     ex.add_argument("--mode", choices=["overwrite", "ignore", "error"], default="overwrite")
 
     bd = sub.add_parser("build", help="dimensions and fact to --star, then the checks")
-    common(bd)
+    common(bd, sources=("csv", "parquet", "staged"))
     bd.add_argument("--star", required=True)
     bd.add_argument("--variant", choices=["coords", "zones"], default="coords")
 
