@@ -40,7 +40,8 @@ def _parser() -> argparse.ArgumentParser:
     bd = sub.add_parser("build", help="dimensions and fact to --star, then the checks")
     common(bd, sources=("csv", "parquet", "staged"))
     bd.add_argument("--star", required=True)
-    bd.add_argument("--variant", choices=["coords", "zones"], default="coords")
+    bd.add_argument("--variant", choices=["coords", "zones"], default=None,
+                    help="default: zones for parquet months, coords for csv; a staged table by its columns")
 
     pb = sub.add_parser("publish", help="marts, profiles and report from a built star")
     pb.add_argument("--star", required=True)
@@ -65,7 +66,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         result = {"staging": args.staging, "rows": ex.row_count}
     elif args.command == "build":
         trips = spark.read.parquet(*args.input) if args.source == "staged" else P.extract(spark, args.input, args.source).trips
-        P.build(trips, args.star, variant=args.variant, grain=args.grain, null_keys=args.null_keys,
+        variant = args.variant or ("coords" if "pickup_latitude" in trips.columns else "zones")
+        P.build(trips, args.star, variant=variant, grain=args.grain, null_keys=args.null_keys,
                 stage_input=False, buckets=args.buckets)
         result = {"star": args.star}
     elif args.command == "publish":
