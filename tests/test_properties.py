@@ -25,10 +25,13 @@ def test_fact_ids_do_not_depend_on_shuffle_partitions(spark):
     try:
         spark.conf.set("spark.sql.shuffle.partitions", "3")
         a = FT.build_star(trips, stage_input=False).fact
+        # and without adaptive execution (no coalescing, no runtime re-plans)
         spark.conf.set("spark.sql.shuffle.partitions", "17")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
         b = FT.build_star(trips, stage_input=False).fact
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert _same(a, b)
     assert a.agg(F.min("trip_id"), F.max("trip_id"), F.count("*")).first() == (1, 5082, 5082)
 
