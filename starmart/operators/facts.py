@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from starmart.functions.dates import datetime_parts, duration_seconds
 from starmart.jobs import concurrently
 from starmart.operators import dims as D
-from starmart.operators.joins import lookup_join
+from starmart.operators.joins import bounded_rows, lookup_join
 from starmart.operators.keys import dense_key
 from starmart.schema import COORD_COLUMNS, FACT, FACT_ZONE, TRIPS_COORD, TRIPS_ZONE
 from starmart.sources.staging import stage
@@ -80,15 +80,19 @@ def build(
     x = trips.select(*staging, duration_seconds("pickup_datetime", "dropoff_datetime", duration_unit).alias("trip_duration"))
 
     pay = dim_payment.select("payment_id", F.col("payment_type").cast("long").alias("_k_payment"))
-    x = lookup_join(x, pay, [("payment_type", "_k_payment")], how, null_safe)
     pas = dim_passenger.select("passenger_id", F.col("passenger_count").alias("_k_passenger"))
-    x = lookup_join(x, pas, [("passenger_count", "_k_passenger")], how, null_safe)
     loc = dim_location.select("location_id", *[F.col(c).alias(f"_k_{c}") for c in COORD_COLUMNS])
-    x = lookup_join(x, loc, [(c, f"_k_{c}") for c in COORD_COLUMNS], how, null_safe)
     dt = dim_datetime.select(
         "datetime_id", F.col("pickup_datetime").alias("_k_pickup"), F.col("dropoff_datetime").alias("_k_dropoff")
     )
-    x = lookup_join(x, dt, [("pickup_datetime", "_k_pickup"), ("dropoff_datetime", "_k_dropoff")], how, null_safe)
+    # The four size checks are independent small jobs: run them side by side.
+    small = concurrently(*[lambda d=d: bounded_rows(d) for d in (pay, pas, loc, dt)])
+    x = lookup_join(x, pay, [("payment_type", "_k_payment")], how, null_safe, broadcast=small[0])
+    x = lookup_join(x, pas, [("passenger_count", "_k_passenger")], how, null_safe, broadcast=small[1])
+    x = lookup_join(x, loc, [(c, f"_k_{c}") for c in COORD_COLUMNS], how, null_safe, broadcast=small[2])
+    x = lookup_join(
+        x, dt, [("pickup_datetime", "_k_pickup"), ("dropoff_datetime", "_k_dropoff")], how, null_safe, broadcast=small[3]
+    )
 
     x = x.select(*staging, "datetime_id", "location_id", "payment_id", "passenger_id", "trip_duration")
     order = [*staging, "datetime_id"] if order_ids else None
