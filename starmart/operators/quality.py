@@ -1,7 +1,8 @@
 """Data-quality checks as queries returning ``(check, column, failures)``.
 
-Every check is a single distributed aggregate; only its few result rows are
-brought to the driver, and only by ``run_checks``.
+Every check is a distributed query (an aggregate, a grouped aggregate, or an
+anti join after a pre-aggregate) whose result has one row per checked column;
+only those rows are brought to the driver, and only by ``run_checks``.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from starmart.sources.trips import require_columns  # noqa: F401  (re-exported)
 ZONE_KEY_FIELDS = ["trip_id", "datetime_id", "pickup_location_id", "dropoff_location_id", "payment_id", "passenger_id"]
 NON_NEGATIVE_FIELDS = ["trip_distance", "trip_duration", "fare_amount"]
 
-# Fact foreign key -> (dimension name, dimension key) of the coordinate star.
+# Fact foreign key -> the dimension it references (whose key has the same name).
 STAR_FOREIGN_KEYS = {
     "datetime_id": "dim_datetime",
     "location_id": "dim_location",
