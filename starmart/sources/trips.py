@@ -35,13 +35,20 @@ def read_trips_csv(spark: SparkSession, path: str | list[str], schema: T.StructT
     """CSV with a header row, read with an explicit schema (never inferred).
 
     The header is checked against ``schema`` first, from the file's first line
-    only; a missing path raises ``PATH_NOT_FOUND`` before any work.
+    only; a missing path raises ``PATH_NOT_FOUND`` before any work; a value
+    that does not parse (a malformed timestamp, say) fails the read.
     """
     header = spark.read.option("header", True).csv(path).columns
     require_columns(header, schema.fieldNames())
-    raw = spark.read.option("header", True).option("enforceSchema", False).schema(
-        _csv_read_schema(header, schema)
-    ).csv(path)
+    # FAILFAST: a value that does not parse as its declared type is an error,
+    # not a silent NULL.
+    raw = (
+        spark.read.option("header", True)
+        .option("enforceSchema", False)
+        .option("mode", "FAILFAST")
+        .schema(_csv_read_schema(header, schema))
+        .csv(path)
+    )
     return raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 

@@ -92,3 +92,16 @@ def test_both_exact_median_paths_agree(spark, monkeypatch):
     assert buffered == ranked
     pdf = df.toPandas()  # small, test only
     assert buffered == {c: float(pdf[c].median()) for c in pdf.columns}
+
+
+def test_csv_malformed_value_fails_the_read(spark, hand):
+    # P4 for the CSV lane: no silent NULLs from unparsable values.
+    from starmart.sources.trips import read_trips_csv
+
+    d = tempfile.mkdtemp(prefix="starmart-test-")
+    bad = hand.withColumn("pickup_datetime", F.when(F.col("fare_amount") == 10, F.lit("not a time"))
+                          .otherwise(F.col("pickup_datetime").cast("string")))
+    bad.write.option("header", True).csv(f"{d}/t")
+    with pytest.raises(Exception) as e:
+        read_trips_csv(spark, f"{d}/t").collect()
+    assert "MALFORMED" in str(e.value).upper() or "FAILFAST" in str(e.value).upper() or "PARSE" in str(e.value).upper()
