@@ -135,6 +135,11 @@ def star_with(grain: str = "distinct", null_keys: str = "drop", trips_table: str
     return "WITH " + ",".join([trips, _dt(grain), LOC, PAY, PAS, _fact(null_keys)])
 
 
+def _zone_mart(sql: str) -> str:
+    """A mart statement pointed at the zone star's tables."""
+    return sql.replace("FROM fact f", "FROM zfact f").replace("JOIN dt d", "JOIN zdt d").replace("JOIN pay p", "JOIN zpay p")
+
+
 ZONE_STAR = "WITH " + ",".join([
     TRIPS,
     f"""
@@ -143,6 +148,8 @@ ztrips AS (SELECT {', '.join(ZONE)} FROM trips)""",
 zkeyed AS (
   SELECT CAST(ROW_NUMBER() OVER (ORDER BY {_ord(ZONE)}) - 1 AS BIGINT) AS trip_id, {', '.join(ZONE)} FROM ztrips
 )""",
+    f"""
+zdt AS (SELECT trip_id AS datetime_id, pickup_datetime, {_parts('pickup_datetime', 'pickup', 'monday')} FROM zkeyed)""",
     """
 zpay AS (
   SELECT CAST(ROW_NUMBER() OVER (ORDER BY payment_type NULLS FIRST) - 1 AS BIGINT) AS payment_id, payment_type AS payment_name
@@ -327,6 +334,9 @@ ORACLE: dict[str, str] = {
     "summary_overall": star_with() + SUMMARY.format(fact="fact"),
     "summary_overall_per_row": star_with("per_row") + SUMMARY.format(fact="fact"),
     "summary_zones": ZONE_STAR + SUMMARY.format(fact="zfact"),
+    "mart_hourly_zones": ZONE_STAR + _zone_mart(MART_HOURLY),
+    "mart_payment_zones": ZONE_STAR + _zone_mart(MART_PAYMENT),
+    "mart_daily_zones": ZONE_STAR + _zone_mart(MART_DAILY),
     "summary_rounded": star_with() + """
 SELECT total_trips, ROUND(total_revenue, 2) AS total_revenue, ROUND(avg_distance, 2) AS avg_distance,
        ROUND(avg_duration_minutes, 2) AS avg_duration_minutes

@@ -171,6 +171,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "summary_overall": lambda s, d: M.summary(star(s, d).fact),
     "summary_overall_per_row": lambda s, d: M.summary(star(s, d, "per_row").fact),
     "summary_zones": lambda s, d: M.summary(zone_star(s, d).fact),
+    "mart_hourly_zones": lambda s, d: M.hourly(zone_star(s, d).fact, zone_star(s, d).datetime),
+    "mart_payment_zones": lambda s, d: M.payment(zone_star(s, d).fact, zone_star(s, d).payment),
+    "mart_daily_zones": lambda s, d: M.daily(zone_star(s, d).fact, zone_star(s, d).datetime),
     "summary_rounded": summary_rounded,
     "summary_report_records": summary_report_records,
     "payment_distribution": _mart(M.payment_distribution, dim="payment"),
