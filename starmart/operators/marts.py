@@ -203,31 +203,61 @@ def summary_report(fact: DataFrame, dim_payment: DataFrame, ndigits: int = 2) ->
     """One row: ``overall_stats`` (rounded) and the ``payment_distribution``
     records, sorted by count descending then name.
 
-    The records array holds one element per payment name; the payment
-    dimension's row count is checked first, so the gathered array is bounded.
+    The fact is scanned once: it is pre-aggregated per ``payment_id`` (counts
+    and sums), names are attached by a left join (a fact whose payment has no
+    dimension row still counts in the totals, as in the scalar-subquery
+    form), the few rows are grouped per name, and one final aggregate gives
+    the overall figures, the total and the records. Averages are sums over
+    counts, as ``avg`` computes them. The payment dimension's size is checked
+    first, so the rows gathered into the records array are bounded.
     """
     if not bounded_rows(dim_payment, MAX_REPORT_RECORDS):
         raise ValueError(f"payment dimension has more than {MAX_REPORT_RECORDS} rows: too many report records")
-    s = summary(fact)
+    per_id = fact.groupBy("payment_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("total_amount").alias("revenue"),
+        F.sum("trip_distance").alias("distance_sum"),
+        F.count("trip_distance").alias("distance_n"),
+        F.sum("trip_duration").alias("duration_sum"),
+        F.count("trip_duration").alias("duration_n"),
+    )
+    names = dim_payment.select(F.col("payment_id").alias("_k_id"), "payment_name")
+    named = lookup_join(per_id, names, [("payment_id", "_k_id")], "left").withColumn(
+        "_matched", F.col("_k_id").isNotNull()
+    )
+    sums = ["n", "revenue", "distance_sum", "distance_n", "duration_sum", "duration_n"]
+    per_name = named.groupBy("payment_name", "_matched").agg(*[F.sum(c).alias(c) for c in sums])
+    # One row per payment name (bounded by the dimension check) into one task.
+    final = per_name.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("_total"),
+        *[F.sum(c).alias(c) for c in sums[1:]],
+        F.collect_list(
+            F.when(F.col("_matched"), F.struct("payment_name", F.col("n").alias("trip_count")))
+        ).alias("_records"),
+    )
+    by_count = F.array_sort(
+        F.col("_records"),
+        lambda a, b: F.when(a.trip_count > b.trip_count, -1)
+        .when(a.trip_count < b.trip_count, 1)
+        .when(a.payment_name < b.payment_name, -1)
+        .when(a.payment_name > b.payment_name, 1)
+        .otherwise(0),
+    )
     overall = F.struct(
-        F.col("total_trips"),
-        F.round("total_revenue", ndigits).alias("total_revenue"),
-        F.round("avg_distance", ndigits).alias("avg_distance"),
-        F.round("avg_duration_minutes", ndigits).alias("avg_duration_minutes"),
+        F.col("_total").alias("total_trips"),
+        F.round("revenue", ndigits).alias("total_revenue"),
+        F.round(F.col("distance_sum") / F.col("distance_n"), ndigits).alias("avg_distance"),
+        F.round(F.col("duration_sum") / F.col("duration_n") / F.lit(60.0), ndigits).alias("avg_duration_minutes"),
     ).alias("overall_stats")
-    dist = payment_distribution(fact, dim_payment, ndigits)
-    records = dist.agg(
-        F.array_sort(
-            F.collect_list(F.struct("payment_name", "trip_count", "percentage")),
-            lambda a, b: F.when(a.trip_count > b.trip_count, -1)
-            .when(a.trip_count < b.trip_count, 1)
-            .when(a.payment_name < b.payment_name, -1)
-            .when(a.payment_name > b.payment_name, 1)
-            .otherwise(0),
-        ).alias("payment_distribution")
-    )
-    # A one-row, one-column aggregate used as a scalar subquery: no join.
-    return s.select(overall, records.scalar().alias("payment_distribution"))
+    records = F.transform(
+        by_count,
+        lambda r: F.struct(
+            r.payment_name.alias("payment_name"),
+            r.trip_count.alias("trip_count"),
+            F.round(r.trip_count * F.lit(100.0) / F.col("_total"), ndigits).alias("percentage"),
+        ),
+    ).alias("payment_distribution")
+    return final.select(overall, records)
 
 
 def marts(star, columns: str = "wide") -> dict[str, DataFrame]:
