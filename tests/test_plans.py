@@ -202,3 +202,13 @@ def test_command_line_steps(spark, hand, tmp_path):
     status = main(["publish", "--star", star_dir, "--out", out], spark)
     assert set(status.values()) == {"ok"}
     assert spark.read.option("header", True).csv(f"{out}/vw_daily_stats.csv").count() == 2
+
+
+def test_summary_report_scans_the_fact_once(spark):
+    s = star(spark, SF_SMALL)
+    report = M.summary_report(s.fact, s.payment)
+    report.collect()
+    final = report._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    fact_scans = [ln for ln in final.splitlines() if "FileScan parquet" in ln and "total_amount" in ln]
+    assert len(fact_scans) == 1
+    assert "Subquery" not in final

@@ -40,6 +40,7 @@ def main() -> None:
         "marts: hourly + daily by grouping sets": M.datetime_rollup(s.fact, s.datetime),
         "mart: popular locations": M.popular_locations(s.fact, s.location),
         "payment distribution (scalar subquery)": M.payment_distribution(s.fact, s.payment),
+        "summary report (one scan of the fact)": M.summary_report(s.fact, s.payment),
         "check: orphans": Q.check_orphans(s.fact, s.tables()),
         "check: unique trip_id": Q.check_unique(s.fact, "trip_id", "fact_trips"),
     }
