@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starmart.jobs import concurrently
 from starmart.operators.joins import lookup_join
 from starmart.sources.trips import require_columns  # noqa: F401  (re-exported)
 
@@ -104,9 +105,11 @@ def check_orphans(fact: DataFrame, dims: Mapping[str, DataFrame], foreign_keys:
 
 
 def run_checks(results: Sequence[DataFrame] | DataFrame, raise_on_failure: bool = True) -> list[tuple[str, str, int]]:
-    """Collect check results (a few rows each); raise if any count is > 0."""
+    """Collect check results (a few rows each, concurrently); raise if any
+    count is > 0."""
     frames = [results] if isinstance(results, DataFrame) else list(results)
-    rows = [r for f in frames for r in f.collect()]
+    # Independent checks: their jobs run side by side (results in order).
+    rows = [r for batch in concurrently(*[f.collect for f in frames]) for r in batch]
     failures = [(r["check"], r["column"], int(r["failures"])) for r in rows if r["failures"]]
     if failures and raise_on_failure:
         raise CheckFailed(failures)
