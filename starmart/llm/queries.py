@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starmart.llm.common import table
 from starmart.llm.sharding import shuffle_shards
+from starmart.llm.simhash import hex64, simhash_groups
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +24,12 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_sharding": op1_sharding}
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate group of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash_groups(docs).select("doc_id", hex64(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+QUERIES = {"op1_sharding": op1_sharding, "op4_simhash": op4_simhash}
 
 ORACLE: dict[str, str] = {}
