@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starmart.llm import langid
 from starmart.llm.common import table
 from starmart.llm.sharding import shuffle_shards
 from starmart.llm.simhash import hex64, simhash_groups
@@ -30,6 +31,15 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(docs).select("doc_id", hex64(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op1_sharding": op1_sharding, "op4_simhash": op4_simhash}
+def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The predicted language of every document, learned off the held-out fold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.train(langid.learnable(docs))
+    return langid.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", F.col("lang_score").alias("score")
+    )
+
+
+QUERIES = {"op1_sharding": op1_sharding, "op4_simhash": op4_simhash, "op10_langid": op10_langid}
 
 ORACLE: dict[str, str] = {}
