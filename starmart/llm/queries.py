@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import langid
+from starmart.llm import langid, mixing, packing
 from starmart.llm.common import table
 from starmart.llm.sharding import shuffle_shards
 from starmart.llm.simhash import hex64, simhash_groups
@@ -25,12 +25,32 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def word_tokenizer() -> str:
+    """Where this machine has the public tokenizer the packing contract names."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, packed into sequences of 2048 tokens."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(packing.pieces(docs, word_tokenizer()))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate group of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash_groups(docs).select("doc_id", hex64(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every document in a mix of the sources."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    out = mixing.mix(docs)
+    return out.select("doc_id", "source", *[F.col(f"mix_{c}").alias(c) for c in ("block", "phase", "slot", "place", "weight")])
+
+
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The predicted language of every document, learned off the held-out fold."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -40,6 +60,12 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_sharding": op1_sharding, "op4_simhash": op4_simhash, "op10_langid": op10_langid}
+QUERIES = {
+    "op1_sharding": op1_sharding,
+    "op2_packing": op2_packing,
+    "op4_simhash": op4_simhash,
+    "op7_mixing": op7_mixing,
+    "op10_langid": op10_langid,
+}
 
 ORACLE: dict[str, str] = {}
