@@ -1,10 +1,104 @@
-"""The training-data pipeline: stages over ``documents``, in order."""
+"""The training-data pipeline: documents to packed training sequences.
+
+Five stages, each over all that the one before it kept, written as Parquet to
+the shared folder and read again:
+
+language ID    documents without a letter (or text) go
+near-dedup     one document of each SimHash group stays, the smallest doc_id
+secret scans   found secrets are replaced in the text
+mixing         sources are mixed to target shares (none above a third); the
+               rows come in the order of the mix, and the surplus of a source that is
+               left alone at the end, when nothing can be mixed any more, goes
+packing        pieces of at most 2048 tokens with their place in a sequence
+
+A null text has no language and goes in the first stage; other nulls are kept.
+An empty table passes through as an empty table.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from starmart.checkpoint import materialize
+from starmart.llm import langid, mixing, packing, secret_scan
+from starmart.llm.common import fresh, table
+from starmart.llm.queries import word_tokenizer
+from starmart.llm.simhash import simhash_groups
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is known to be one of those learned."""
+    model = langid.train(langid.learnable(docs))
+    pred, _ = fresh(docs, ["lang_pred", "lang_score"])
+    return langid.identify(docs, model).where(F.col(pred) != langid.UNKNOWN).select(*docs.columns)
+
+
+def row_key(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``docs`` with two key columns, and their names: rows are equal if and (but
+    for 128-bit accidents) only if their keys are. Keys are never null."""
+    names = fresh(docs, ["_key", "_key2"])
+    return docs.withColumns({n: F.xxhash64(F.lit(k), *docs.columns) for k, n in enumerate(names)}), names
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group: the one with the smallest id (nulls last; ties by
+    a hash of the row). Only keys are grouped; texts move once, with the join."""
+    keyed, key = row_key(docs)
+    groups = simhash_groups(keyed, keep=tuple(key))
+    first = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), *key)
+    kept = materialize(
+        groups.groupBy("group_id").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("n"))
+        .select(*[F.col(f"first.{k}").alias(k) for k in key], "n"), "pipeline-kept"
+    )
+    stay = keyed.join(kept.select(*key), key, "left_semi")
+    # A group of one can't hold a repeated row; of the others few do.
+    often = materialize(
+        groups.join(kept.where("n > 1"), key, "left_semi").groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1"),
+        "pipeline-often",
+    )
+    if not often.isEmpty():
+        once = stay.join(often, key, "left_semi").dropDuplicates(key)
+        stay = stay.join(often, key, "left_anti").unionByName(once)
+    return stay.select(*docs.columns)
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their secrets replaced."""
+    return secret_scan.redact(docs, secret_scan.scanner_for(docs), length="n_chars")
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The rows of the mix, in its order. Only keys and sources are mixed; a
+    repeated row has one place, which all its copies take."""
+    keyed, key = row_key(docs)
+    rows = keyed.select(*key, F.col("source").alias("source")).distinct()
+    mixed = materialize(mixing.mix(rows, block_rows=1).select(*key, "source", "mix_phase", "mix_slot"), "pipeline-mix")
+    (slot,) = fresh(keyed, ["mix_slot"])
+    places = mixing.mixable(mixed).select(*key, F.col("mix_slot").alias(slot))
+    return keyed.join(places, key).repartitionByRange(F.col(slot)).sortWithinPartitions(slot).select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The packed pieces."""
+    return packing.pack(packing.pieces(docs, word_tokenizer()))
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("simhash_near_dedup", near_dedup),
+    ("secret_scans", secrets),
+    ("mixing", mix),
+    ("packing", pack),
+]
+
+#: No stage but the first can be said in SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError("no stage yet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage over ``documents``."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = materialize(stage(spark, docs, sf_dir), name)
+    return docs

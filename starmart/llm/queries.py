@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import langid, mixing, packing
+from starmart.llm import langid, mixing, packing, secret_scan
 from starmart.llm.common import table
 from starmart.llm.sharding import shuffle_shards
 from starmart.llm.simhash import hex64, simhash_groups
@@ -44,6 +44,12 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(docs).select("doc_id", hex64(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate secret in the documents, with the forest's verdict."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secret_scan.scan(docs, secret_scan.scanner_for(docs))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The place of every document in a mix of the sources."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
@@ -64,6 +70,7 @@ QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_packing": op2_packing,
     "op4_simhash": op4_simhash,
+    "op6_secrets": op6_secrets,
     "op7_mixing": op7_mixing,
     "op10_langid": op10_langid,
 }

@@ -118,14 +118,15 @@ def simhash_groups(
     df: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 3, seed: int = 42, keep: tuple[str, ...] = ()
 ) -> DataFrame:
     """One row for each row of ``df``: ``doc_id``, the columns in ``keep``,
-    ``fp`` (signed long) and ``component_id``, the smallest id of the documents
-    that links of 2 bits or fewer reach.
+    ``fp`` (signed long), ``group_id`` (the group's smallest fingerprint, never
+    null) and ``component_id``, the smallest id of the documents that links of
+    2 bits or fewer reach.
 
     A null text is an empty one: fingerprint 0, linked like any other. Null
     ids are never the smallest; a group that has only null ids gets null.
     Repeated rows give repeated rows. An empty table gives an empty table.
     """
-    fp, comp = fresh(df.select(doc_id, *keep), ["fp", "component_id"])
+    fp, comp, group = fresh(df.select(doc_id, *keep), ["fp", "component_id", "group_id"])
     prints = materialize(df.select(doc_id, *keep, fingerprint(F.col(text), shingle, seed).alias(fp)), "simhash")
     by_print = materialize(
         prints.groupBy(F.col(fp).alias("fp")).agg(F.min(doc_id).alias("first_id")), "simhash-distinct"
@@ -135,8 +136,8 @@ def simhash_groups(
         "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )
     firsts = rooted.groupBy("root").agg(F.min("first_id").alias(comp))
-    by_print = rooted.join(firsts, "root").select(F.col("fp").alias(fp), comp)
-    return prints.join(by_print, fp).select(doc_id, *keep, fp, comp)
+    by_print = rooted.join(firsts, "root").select(F.col("fp").alias(fp), F.col("root").alias(group), comp)
+    return prints.join(by_print, fp).select(doc_id, *keep, fp, group, comp)
 
 
 def hex64(x: Column) -> Column:
