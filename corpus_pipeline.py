@@ -73,7 +73,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     repeated row has one place, which all its copies take."""
     keyed, key = row_key(docs)
     rows = keyed.select(*key, F.col("source").alias("source")).distinct()
-    mixed = materialize(mixing.mix(rows, block_rows=1).select(*key, "source", "mix_phase", "mix_slot"), "pipeline-mix")
+    mixed = materialize(mixing.mix(rows, block_rows=1).select(*key, "mix_phase", "mix_slot", "mix_weight"), "pipeline-mix")
     (slot,) = fresh(keyed, ["mix_slot"])
     places = mixing.mixable(mixed).select(*key, F.col("mix_slot").alias(slot))
     return keyed.join(places, key).repartitionByRange(F.col(slot)).sortWithinPartitions(slot).select(*docs.columns)

@@ -197,15 +197,8 @@ def mix(
     )
 
 
-def mixable(mixed: DataFrame, phase: str = "mix_phase", source: str = "source") -> DataFrame:
-    """The rows whose phase still has two sources or more: beyond, only one
-    source is left and no mix with target weights is possible. A table of a single
-    source stays whole. Rows without a place are left out."""
-    kinds = mixed.groupBy(phase).agg(F.countDistinct(_key(F.col(source))).alias("n"))
-    n_phase = mixed.agg(F.max(phase)).first()[0]
-    if not n_phase:
-        return mixed.where(F.col(phase).isNotNull())
-    alone = [r[0] for r in kinds.where("n < 2").select(phase).collect() if r[0] is not None]
-    return mixed.where(F.col(phase).isNotNull() & ~F.col(phase).isin(alone)) if alone else mixed.where(
-        F.col(phase).isNotNull()
-    )
+def mixable(mixed: DataFrame, phase: str = "mix_phase", weight: str = "mix_weight") -> DataFrame:
+    """The rows placed while two sources or more were left: beyond, no mix with
+    target weights is possible. A table of a single source stays whole. Rows
+    without a place are left out."""
+    return mixed.where((F.col(phase) == 0) | (F.col(weight) < 1))
