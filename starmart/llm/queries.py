@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import langid, mixing, packing, secret_scan
+from starmart.llm import ann, fingerprints, langid, mixing, packing, secret_scan
 from starmart.llm.common import table
 from starmart.llm.sharding import shuffle_shards
 from starmart.llm.simhash import hex64, simhash_groups
@@ -38,6 +38,26 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(docs, word_tokenizer()))
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and that of its edited text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    sketched = fingerprints.with_sketch(docs, F.col("text"), "sketch")
+    paired = fingerprints.with_next(sketched, "doc_id", F.xxhash64("text"), ["text", "sketch"], "next")
+    n = F.length("text")
+    half = F.floor(n / 2).cast("int")
+    edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring("next.text", F.lit(1), half))
+    x = fingerprints.with_sketch(paired.withColumn("edited", edited), F.col("edited"), "edited_sketch")
+    return x.select(
+        "doc_id",
+        n.cast("long").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        fingerprints.as_text(F.col("sketch")).alias("fingerprint"),
+        fingerprints.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+        fingerprints.likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        fingerprints.likeness(F.col("sketch"), F.col("next.sketch")).alias("near_next"),
+    )
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate group of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -57,6 +77,12 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "source", *[F.col(f"mix_{c}").alias(c) for c in ("block", "phase", "slot", "place", "weight")])
 
 
+def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest vectors of every fiftieth one."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.nearest(rows, rows.where("vec_id % 50 = 0"), 5)
+
+
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The predicted language of every document, learned off the held-out fold."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -69,9 +95,11 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_packing": op2_packing,
+    "op3_fingerprints": op3_fingerprints,
     "op4_simhash": op4_simhash,
     "op6_secrets": op6_secrets,
     "op7_mixing": op7_mixing,
+    "op8_ann": op8_ann,
     "op10_langid": op10_langid,
 }
 

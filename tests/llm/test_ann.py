@@ -1,0 +1,79 @@
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from starmart.llm import ann
+from starmart.llm.queries import op8_ann
+
+
+def brute(rows, asked, k=5):
+    ok = [(i, np.array(v, float)) for i, v in rows if v and i is not None and all(x is not None and np.isfinite(x) for x in v) and any(v)]
+    out = {}
+    for q, v in dict(asked).items():
+        if not any(q == i for i, _ in ok):
+            continue
+        v = np.array(v, float)
+        near = [(-float(v @ w / np.linalg.norm(v) / np.linalg.norm(w)), i) for i, w in ok if i != q and len(w) == len(v)]
+        out[q] = [(i, -s) for s, i in sorted((round(s, 12), i) for s, i in near)[:k]]
+    return out
+
+
+def answers(df):
+    got = defaultdict(list)
+    for r in sorted(df.collect(), key=lambda r: (r["query_id"], r["rank"])):
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+        assert r["rank"] == len(got[r["query_id"]])
+    return got
+
+
+def recall(got, want):
+    hit = sum(len({i for i, _ in got.get(q, [])} & {i for i, _ in w}) for q, w in want.items())
+    return hit / sum(len(w) for w in want.values())
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_recall_on_the_given_vectors(spark, sf):
+    rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet").collect()]
+    want = brute(rows, [(i, v) for i, v in rows if i % 50 == 0][:40])
+    got = {q: a for q, a in answers(op8_ann(spark, f"/root/testdata/{sf}")).items() if q in want}
+    assert recall(got, want) >= 0.9
+    exact = {q: dict(brute(rows, [(q, dict(rows)[q])], len(rows))[q]) for q in list(want)[:3]}
+    for q, scores in exact.items():
+        assert all(s == pytest.approx(scores[i], abs=1e-9) for i, s in got[q])
+        assert [s for _, s in got[q]] == sorted((s for _, s in got[q]), reverse=True)
+
+
+def test_ties_classes_and_bad_vectors(spark, tables):
+    rng = np.random.default_rng(4)
+    hot = rng.normal(size=8).tolist()
+    rows = [(i, hot) for i in range(0, 400)] + [(1000 + i, rng.normal(size=8).tolist()) for i in range(300)]
+    rows += [(2000, None), (2050, []), (2100, [0.0] * 8), (2150, [1.0] * 7 + [None]), (2200, [float("nan")] * 8), (2250, [float("inf")] * 8),
+             (2300, [1e200] * 8), (2350, [1.0, 2.0]), (2351, [2.0, 4.0]), (2400, [1e-200] * 8), (None, hot), (0, hot), (2450, [1.0, 2.0, 3.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("score", F.lit("x")).withColumn("rank", F.lit(0))
+    got = answers(op8_ann(spark, tables(embeddings=df)))
+    assert not set(got) & {2000, 2050, 2100, 2150, 2200, 2250, 2450}
+    for q in range(0, 400, 50):
+        assert [i for i, _ in got[q]] == [i for i in range(6) if i != q][:5]
+        assert all(s == pytest.approx(1) for _, s in got[q])
+    assert got[2350] == [(2351, pytest.approx(1))]
+    assert got[2300][0] == (2400, pytest.approx(1))
+    want = brute([r for r in rows if r[1] is None or r[0] not in (2300, 2400)], [r for r in rows if r[0] in range(1000, 1300, 50)])
+    assert recall(got, want) >= 0.9
+
+
+def test_blocks_split_a_large_cell(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK", 16)
+    monkeypatch.setattr(ann, "GROUP", 64)
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=6)
+    rows = [(i, (base + rng.normal(size=6) * 1e-3).tolist()) for i in range(300)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = answers(ann.nearest(df, df.where("vec_id < 20"), 5))
+    want = brute(rows, rows[:20])
+    assert recall(got, want) >= 0.95
+
+
+def test_empty(spark, tables):
+    df = spark.createDataFrame([], "vec_id long, embedding array<float>")
+    assert op8_ann(spark, tables(embeddings=df)).count() == 0
