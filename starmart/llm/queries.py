@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starmart.llm import ann, fingerprints, langid, mixing, packing, secret_scan
 from starmart.llm.common import table
+from starmart.llm.licenses import scan_licenses
 from starmart.llm.sharding import shuffle_shards
 from starmart.llm.simhash import hex64, simhash_groups
 
@@ -64,6 +65,11 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(docs).select("doc_id", hex64(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every place of a known license wording in the documents."""
+    return scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every candidate secret in the documents, with the forest's verdict."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -97,6 +103,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_fingerprints": op3_fingerprints,
     "op4_simhash": op4_simhash,
+    "op5_licenses": op5_licenses,
     "op6_secrets": op6_secrets,
     "op7_mixing": op7_mixing,
     "op8_ann": op8_ann,
