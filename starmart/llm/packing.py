@@ -36,7 +36,7 @@ from starmart.llm.common import fresh, number_within
 
 SEQUENCE = 2048
 #: Words whose ids a worker remembers; beyond that it starts anew.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 1_000_000
 
 Pattern = tuple[tuple[tuple[int, int], ...], int]  # ((length, how many), ...), multiplicity
 
@@ -55,54 +55,70 @@ class WordIds:
     of its blank-separated words in turn. A word that is plain letters followed
     by plain punctuation is again two such parts. Special tokens' strings in
     a text are ordinary text.
+
+    Plain letters, already in lower case, are one piece each that the
+    tokenizer's normalizer leaves as it is: they are encoded many at a time
+    without it, and told apart by the tokens that end a word.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        vocabulary = self.plain.get_vocab(with_added_tokens=False)
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends_word[[n for token, n in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
 
-    def _encode(self, parts: list[str]) -> list[bytes]:
-        got = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in got]
+    def _encode(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    @staticmethod
-    def _split(word: str) -> tuple[str, str] | None:
-        core = word.rstrip(_TAIL)
-        if core and core.isalpha() and max(core) < "İ":
-            return core.lower(), word[len(core) :]
-        return None
+    def _encode_plain(self, parts: list[str]) -> list[bytes]:
+        ids = np.array(self.plain.encode(" ".join(parts), add_special_tokens=False).ids, dtype="<u4")
+        ends = ((np.flatnonzero(self.ends_word[ids]) + 1) * 4).tolist()
+        data = ids.tobytes()
+        return [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
     def _learn(self, words: set[str]) -> None:
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        known = self.known
-        parts = {w: self._split(w) or (w, "") for w in words}
-        new = [p for p in {p for pair in parts.values() for p in pair if p} if p not in known]
-        known.update(zip(new, self._encode(new), strict=True))
-        for w, (core, tail) in parts.items():
-            known[w] = known[core] + (known[tail] if tail else b"")
+        known, parts, new = self.known, [], set()
+        for w in words:
+            core = w.rstrip(_TAIL)
+            if core and core.isalpha() and max(core) < "\u0130":
+                low, tail = core.lower(), w[len(core) :]
+                parts.append((w, low, tail))
+                if low not in known:
+                    new.add(low)
+                if tail and tail not in known:
+                    known[tail] = self._encode(tail)
+            else:
+                known[w] = self._encode(w)
+        some = list(new)
+        known.update(zip(some, self._encode_plain(some), strict=True))
+        for w, low, tail in parts:
+            known[w] = known[low] + known[tail] if tail else known[low]
 
     def ids(self, text: str | None) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
         if not text:
             return b""
         if any(c in text for c in _ODD_BLANKS):
-            return self._encode([text])[0]
+            return self._encode(text)
+        if len(self.known) > CACHE_WORDS:
+            self.known.clear()
         words = text.split()
         found = list(map(self.known.get, words))
         if None in found:
-            self._learn({w for w, f in zip(words, found, strict=True) if f is None} | self._forgotten(words))
+            self._learn({w for w, f in zip(words, found, strict=True) if f is None})
             found = [self.known[w] for w in words]
         return b"".join(found)
 
-    def _forgotten(self, words: list[str]) -> set[str]:
-        """All words of a text whose learning makes the memory start anew."""
-        return set(words) if len(self.known) > CACHE_WORDS else set()
-
 
 _WORD_IDS: dict[str, WordIds] = {}
 
