@@ -15,6 +15,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession, rows: int = 1000, size: str = "8m") -> None:
+    """Hold the Arrow batches that go to Python to a thousand rows and 8 MB
+    (lower settings stay): texts are long, and a batch is in memory several times."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= rows:
+        spark.conf.set(key, rows)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def fresh(df: DataFrame, wanted: Sequence[str]) -> list[str]:
     """A column name for each wanted one that clashes with none of ``df``'s
     (compared without case, as Spark does): underscores are put before it."""

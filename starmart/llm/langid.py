@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.checkpoint import materialize
-from starmart.llm.common import fresh
+from starmart.llm.common import fresh, small_batches
 
 #: About so many documents of each language are learned from: a documented
 #: bound on the labelled sample, chosen by a hash of the id and text.
@@ -176,6 +176,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", per_language:
     on the executors; the driver gets the summed counts, at most
     64**4 for each language and in practice as many as the sample has.
     """
+    small_batches(docs.sparkSession)
     labelled = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")
     )
@@ -234,6 +235,7 @@ def identify(df: DataFrame, model: Ppm, text: str = "text") -> DataFrame:
     with score 0, and so is everything if nothing was learned. Only ``text`` is
     looked at, whole."""
     pred, score, both = fresh(df, ["lang_pred", "lang_score", "_both"])
+    small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("pred string, score double")

@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator, Mapping
 
@@ -32,11 +33,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.checkpoint import materialize
-from starmart.llm.common import fresh, number_within
+from starmart.llm.common import fresh, number_within, small_batches
 
 SEQUENCE = 2048
-#: Words whose ids a worker remembers; beyond that it starts anew.
-CACHE_WORDS = 1_000_000
+#: Words whose ids a worker remembers in each of two generations: when the young
+#: one is full, it becomes the old one, and words met again come back from there.
+CACHE_WORDS = 200_000
 
 Pattern = tuple[tuple[tuple[int, int], ...], int]  # ((length, how many), ...), multiplicity
 
@@ -57,52 +59,49 @@ class WordIds:
     a text are ordinary text.
 
     Plain letters, already in lower case, are one piece each that the
-    tokenizer's normalizer leaves as it is: they are encoded many at a time
-    without it, and told apart by the tokens that end a word.
+    tokenizer's normalizer leaves as it is, so its model gets them directly, in
+    the byte alphabet of its vocabulary.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.plain = Tokenizer.from_file(path)
-        self.plain.normalizer = normalizers.Sequence([])
-        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
-            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
-        )
-        vocabulary = self.plain.get_vocab(with_added_tokens=False)
-        self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-        self.ends_word[[n for token, n in vocabulary.items() if token.endswith("</w>")]] = True
+        self.model = self.tokenizer.model
+        bytelevel = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        # The alphabet's character for each letter below U+0130, as the pre-tokenizer writes it.
+        letters = [chr(c) for c in range(128, 0x130) if chr(c).isalpha()]
+        self.alphabet = {ord(c): bytelevel.pre_tokenize_str(c)[0][0] for c in letters}
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _encode_plain(self, parts: list[str]) -> list[bytes]:
-        ids = np.array(self.plain.encode(" ".join(parts), add_special_tokens=False).ids, dtype="<u4")
-        ends = ((np.flatnonzero(self.ends_word[ids]) + 1) * 4).tolist()
-        data = ids.tobytes()
-        return [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+    def _encode_plain(self, word: str) -> bytes:
+        tokens = self.model.tokenize(word if word.isascii() else word.translate(self.alphabet))
+        return array("I", [t.id for t in tokens]).tobytes()
 
     def _learn(self, words: set[str]) -> None:
-        known, parts, new = self.known, [], set()
+        known, older = self.known, self.older
         for w in words:
+            if w in older:
+                known[w] = older[w]
+                continue
             core = w.rstrip(_TAIL)
-            if core and core.isalpha() and max(core) < "\u0130":
+            if core.isalpha() and (core.isascii() or max(core) < "\u0130"):
                 low, tail = core.lower(), w[len(core) :]
-                parts.append((w, low, tail))
-                if low not in known:
-                    new.add(low)
-                if tail and tail not in known:
-                    known[tail] = self._encode(tail)
+                ids = known.get(low) or older.get(low) or self._encode_plain(low)
+                known[low] = ids
+                if tail:
+                    if tail not in known:
+                        known[tail] = self._encode(tail)
+                    ids += known[tail]
+                known[w] = ids
             else:
                 known[w] = self._encode(w)
-        some = list(new)
-        known.update(zip(some, self._encode_plain(some), strict=True))
-        for w, low, tail in parts:
-            known[w] = known[low] + known[tail] if tail else known[low]
 
     def ids(self, text: str | None) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
@@ -111,13 +110,12 @@ class WordIds:
         if any(c in text for c in _ODD_BLANKS):
             return self._encode(text)
         if len(self.known) > CACHE_WORDS:
-            self.known.clear()
+            self.older, self.known = self.known, {}
         words = text.split()
-        found = list(map(self.known.get, words))
-        if None in found:
-            self._learn({w for w, f in zip(words, found, strict=True) if f is None})
-            found = [self.known[w] for w in words]
-        return b"".join(found)
+        missing = set(words).difference(self.known)
+        if missing:
+            self._learn(missing)
+        return b"".join(map(self.known.__getitem__, words))
 
 
 _WORD_IDS: dict[str, WordIds] = {}
@@ -135,6 +133,7 @@ def pieces(
     ``end_id`` alone. Only a document longer than ``size`` is cut, into pieces
     of ``size`` (the last may be shorter).
     """
+    small_batches(df.sparkSession)
     end = np.array([end_id], dtype="<u4").tobytes()
     kind = dict(df.dtypes)[doc_id]
     schema = f"`{doc_id}` {kind}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.checkpoint import materialize
-from starmart.llm.common import fresh
+from starmart.llm.common import fresh, small_batches
 from starmart.llm.components import components
 
 SEGMENTS = 16  # of 4 bits: a count fits a hexadecimal digit
@@ -126,6 +126,7 @@ def simhash_groups(
     ids are never the smallest; a group that has only null ids gets null.
     Repeated rows give repeated rows. An empty table gives an empty table.
     """
+    small_batches(df.sparkSession)
     fp, comp, group = fresh(df.select(doc_id, *keep), ["fp", "component_id", "group_id"])
     prints = materialize(df.select(doc_id, *keep, fingerprint(F.col(text), shingle, seed).alias(fp)), "simhash")
     by_print = materialize(
