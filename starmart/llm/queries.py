@@ -10,6 +10,7 @@ from starmart.llm.common import table
 from starmart.llm.licenses import scan_licenses
 from starmart.llm.sharding import shuffle_shards
 from starmart.llm.simhash import hex64, simhash_groups
+from starmart.llm.suffix_dedup import remove_repeats
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,6 +90,11 @@ def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(rows, rows.where("vec_id % 50 = 0"), 5)
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without strings of 200 bytes that repeat."""
+    return remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The predicted language of every document, learned off the held-out fold."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -107,6 +113,7 @@ QUERIES = {
     "op6_secrets": op6_secrets,
     "op7_mixing": op7_mixing,
     "op8_ann": op8_ann,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_langid": op10_langid,
 }
 
