@@ -53,7 +53,7 @@ def main() -> None:
         return out
 
     raw = trips_from_tables(spark, sf_dir)
-    trips = timed("stage", lambda: stage(raw))
+    trips = timed("stage", lambda: stage(raw, partitions=int(cpus)))
     timed("dense_key", lambda: D.datetime_dim(trips).count())
 
     def star_of(grain):
@@ -65,6 +65,7 @@ def main() -> None:
     timed("star_distinct_unordered_ids",
           lambda: FT.build_star(trips, stage_input=False, order_ids=False).fact.count())
     timed("star_per_row", lambda: star_of("per_row"))
+    timed("weigh", lambda: FT.weigh(star.fact, star.datetime, trips).count())
     timed("fact_zones", lambda: FT.build_zone_star(trips_normalized(spark, sf_dir)).fact.count())
 
     timed("mart_hourly", lambda: M.hourly(star.fact, star.datetime).collect())

@@ -8,7 +8,6 @@ DataFrame/SQL operators; there are no UDFs. Sub-packages:
 - ``operators`` dense keys, dimensions, facts, marts, checks, profiles
 - ``sinks``     table writes and CSV/JSON exports
 - ``plans``     composed entry points (extract, build_star, publish, run)
-- ``streaming`` intentionally empty: the source system has no streams
 """
 
 __version__ = "0.1.0"

@@ -31,6 +31,11 @@ def _parser() -> argparse.ArgumentParser:
             sp.add_argument("--grain", choices=["distinct", "per_row"], default="distinct")
             sp.add_argument("--null-keys", choices=["drop", "match"], default="drop")
             sp.add_argument("--buckets", type=int, default=None)
+            sp.add_argument("--week-start", choices=["sunday", "monday"], default="sunday")
+            sp.add_argument("--duration-unit", choices=["int", "double"], default="int")
+            sp.add_argument("--first-id", type=int, default=None)
+            sp.add_argument("--unordered-ids", action="store_true", help="number facts without sorting them")
+            sp.add_argument("--write-mode", choices=["overwrite", "append"], default="overwrite")
 
     ex = sub.add_parser("extract", help="check columns, write the staging table, print its row count")
     common(ex, star_options=False)
@@ -50,6 +55,8 @@ def _parser() -> argparse.ArgumentParser:
     pb.add_argument("--on-error", choices=["raise", "skip"], default="raise")
     pb.add_argument("--profile-layout", choices=["per_mart", "combined"], default="per_mart")
 
+    pb.add_argument("--single-file", action="store_true", help="one CSV file per mart")
+
     rn = sub.add_parser("run", help="extract, build and publish")
     common(rn)
     rn.add_argument("--out", required=True)
@@ -59,24 +66,38 @@ def _parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict:
     args = _parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName("starmart").getOrCreate()
+    # Trip times have no zone: a zoned Parquet timestamp is read as its UTC wall time.
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    from starmart.checkpoint import scratch_scope
+
+    # Intermediate tables of the command are deleted when it ends.
+    with scratch_scope(spark):
+        result = _command(args, spark)
+    print(json.dumps(result))
+    return result
+
+
+def _command(args: argparse.Namespace, spark: SparkSession) -> dict:
     from starmart.plans import pipeline as P
 
+    options = {} if args.command in ("extract", "publish") else {
+        "grain": args.grain, "null_keys": args.null_keys, "buckets": args.buckets, "week_start": args.week_start,
+        "duration_unit": args.duration_unit, "first_id": args.first_id, "order_ids": not args.unordered_ids, "mode": args.write_mode,
+    }
     if args.command == "extract":
         ex = P.extract(spark, args.input, args.source, staging_path=args.staging, mode=args.mode)
         result = {"staging": args.staging, "rows": ex.row_count}
     elif args.command == "build":
         trips = spark.read.parquet(*args.input) if args.source == "staged" else P.extract(spark, args.input, args.source).trips
         variant = args.variant or ("coords" if "pickup_latitude" in trips.columns else "zones")
-        P.build(trips, args.star, variant=variant, grain=args.grain, null_keys=args.null_keys,
-                stage_input=False, buckets=args.buckets)
+        P.build(trips, args.star, variant=variant, stage_input=False, **options)
         result = {"star": args.star}
     elif args.command == "publish":
         star = P.load_star(spark, args.star, args.variant)
-        result = P.publish(star, args.out, on_error=args.on_error, profile_layout=args.profile_layout)
+        result = P.publish(star, args.out, on_error=args.on_error, profile_layout=args.profile_layout,
+                           single_file=args.single_file)
     else:
-        result = P.run(spark, args.input, args.out, source=args.source, grain=args.grain,
-                       null_keys=args.null_keys, buckets=args.buckets)
-    print(json.dumps(result))
+        result = P.run(spark, args.input, args.out, source=args.source, **options)
     return result
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,14 +24,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-_SCOPES: list[str] = []
+# The innermost scope of the running context: threads of two runs don't share it.
+_SCOPE: ContextVar[str] = ContextVar("starmart_scratch", default="")
 
 
 def app_root(spark: SparkSession) -> str:
     """The folder new intermediate tables go to: this application's folder,
     or the innermost ``scratch_scope`` inside it."""
     base = f"{checkpoint_root(spark)}/starmart/{spark.sparkContext.applicationId}"
-    return f"{base}/{_SCOPES[-1]}" if _SCOPES else base
+    return f"{base}/{_SCOPE.get()}" if _SCOPE.get() else base
 
 
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:
@@ -58,11 +60,11 @@ def scratch_scope(spark: SparkSession, release: bool = True) -> Iterator[str]:
     """Intermediate tables made inside the block go to their own folder,
     deleted when the block ends (``release``). Only DataFrames made inside the
     block read those files, so use them there."""
-    _SCOPES.append(f"run-{uuid.uuid4().hex}")
+    token = _SCOPE.set(f"run-{uuid.uuid4().hex}")
     folder = app_root(spark)
     try:
         yield folder
     finally:
-        _SCOPES.pop()
+        _SCOPE.reset(token)
         if release:
             _delete(spark, folder)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
@@ -11,9 +12,13 @@ from pyspark.sql import SparkSession
 
 def inheriting(fn: Callable) -> Callable:
     """``fn`` wrapped to run in a worker thread with the caller's local
-    properties and tags (job group, description, scheduler pool)."""
-    session = SparkSession.getActiveSession()
-    return inheritable_thread_target(session)(fn) if session is not None else inheritable_thread_target(fn)
+    properties, tags (job group, description, scheduler pool) and scratch scope."""
+    session, context = SparkSession.getActiveSession(), copy_context()
+
+    def inside(*args):
+        return context.run(fn, *args)
+
+    return inheritable_thread_target(session)(inside) if session is not None else inheritable_thread_target(inside)
 
 
 def concurrently(*builders: Callable[[], object]) -> list:

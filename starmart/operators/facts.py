@@ -6,10 +6,14 @@ dimensions, k equal (pickup, dropoff) pairs fan out into k*k facts, as in the
 SQL lane. ``null_keys="match"`` uses left joins with ``<=>``: a NULL key finds
 the dimension's NULL member and every trip is kept.
 
-Small dimensions (payment, passenger and usually location) are joined first,
-by a size-checked broadcast, so NULL-key rows are gone before the one large
-join on the timestamp pair, which is a sort-merge join when the datetime
-dimension is big (AQE splits a skewed pair's partition).
+The small dimensions (payment, passenger and usually location) are joined
+first, so NULL-key rows are gone before the one large join on the timestamp
+pair. Which joins are broadcast follows from the dimensions' sizes (``joins``);
+AQE splits a skewed pair's partition.
+
+The per-row grain makes k*k facts of a pair's k trips and exists for users who
+ask for those rows. Its aggregates need none of them: ``weigh`` gives each fact
+of the distinct grain the number of facts it stands for.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ from pyspark.sql import functions as F
 from starmart.functions.dates import datetime_parts, duration_seconds
 from starmart.jobs import concurrently
 from starmart.operators import dims as D
-from starmart.operators.joins import bounded_rows, lookup_join
+from starmart.operators.joins import lookup_join
 from starmart.operators.keys import dense_key
 from starmart.schema import COORD_COLUMNS, FACT, FACT_ZONE, TRIPS_COORD, TRIPS_ZONE
 from starmart.sources.staging import stage
@@ -85,14 +89,10 @@ def build(
     dt = dim_datetime.select(
         "datetime_id", F.col("pickup_datetime").alias("_k_pickup"), F.col("dropoff_datetime").alias("_k_dropoff")
     )
-    # The four size checks are independent small jobs: run them side by side.
-    small = concurrently(*[lambda d=d: bounded_rows(d) for d in (pay, pas, loc, dt)])
-    x = lookup_join(x, pay, [("payment_type", "_k_payment")], how, null_safe, broadcast=small[0])
-    x = lookup_join(x, pas, [("passenger_count", "_k_passenger")], how, null_safe, broadcast=small[1])
-    x = lookup_join(x, loc, [(c, f"_k_{c}") for c in COORD_COLUMNS], how, null_safe, broadcast=small[2])
-    x = lookup_join(
-        x, dt, [("pickup_datetime", "_k_pickup"), ("dropoff_datetime", "_k_dropoff")], how, null_safe, broadcast=small[3]
-    )
+    x = lookup_join(x, pay, [("payment_type", "_k_payment")], how, null_safe)
+    x = lookup_join(x, pas, [("passenger_count", "_k_passenger")], how, null_safe)
+    x = lookup_join(x, loc, [(c, f"_k_{c}") for c in COORD_COLUMNS], how, null_safe)
+    x = lookup_join(x, dt, [("pickup_datetime", "_k_pickup"), ("dropoff_datetime", "_k_dropoff")], how, null_safe)
 
     x = x.select(*staging, "datetime_id", "location_id", "payment_id", "passenger_id", "trip_duration")
     order = [*staging, "datetime_id"] if order_ids else None
@@ -100,21 +100,21 @@ def build(
     return keyed.select(*FACT.fieldNames())
 
 
-class FanOutError(ValueError):
-    """Raised when the per-row grain would multiply the facts beyond the
-    allowed ratio (equal timestamp pairs meet each other: k trips -> k*k)."""
-
-
-def per_row_fanout(trips: DataFrame) -> tuple[int, int]:
-    """(facts the per-row grain produces before NULL-key drops, trips):
-    the sum over timestamp pairs of the pair's size squared. Counted from
-    per-pair counts (a map-side pre-aggregate), never by emitting pairs."""
-    sizes = trips.groupBy("pickup_datetime", "dropoff_datetime").agg(F.count(F.lit(1)).alias("k"))
-    row = sizes.agg(
-        F.coalesce(F.sum(F.col("k") * F.col("k")), F.lit(0)).alias("facts"),
-        F.coalesce(F.sum("k"), F.lit(0)).alias("trips"),
-    ).first()
-    return int(row["facts"]), int(row["trips"])
+def weigh(fact: DataFrame, dim_datetime: DataFrame, trips: DataFrame) -> DataFrame:
+    """``fact`` (distinct grain) with ``weight``: how many facts of the per-row
+    grain each row stands for, that is, how many of all staged ``trips`` share its
+    timestamp pair. Pairs are counted map-side and joined to the dimension's distinct pairs;
+    no pair of trips is ever formed. Facts without a datetime row get 1."""
+    counts = trips.groupBy(
+        F.col("pickup_datetime").alias("_k_pickup"), F.col("dropoff_datetime").alias("_k_dropoff")
+    ).agg(F.count(F.lit(1)).alias("weight"))
+    ids = lookup_join(
+        dim_datetime.select(F.col("datetime_id").alias("_k_id"), "pickup_datetime", "dropoff_datetime"),
+        counts, [("pickup_datetime", "_k_pickup"), ("dropoff_datetime", "_k_dropoff")],
+    ).select("_k_id", "weight")
+    return lookup_join(fact, ids, [("datetime_id", "_k_id")], "left").select(
+        *fact.columns, F.coalesce("weight", F.lit(1)).cast("long").alias("weight")
+    )
 
 
 def build_star(
@@ -126,24 +126,13 @@ def build_star(
     first_id: int = 1,
     stage_input: bool = True,
     order_ids: bool = True,
-    max_fanout: float | None = 10.0,
 ) -> Star:
     """Coordinate lane: four dimensions, then the fact that references them.
 
     ``stage_input`` writes the trips once first (they are read five times).
-    With ``grain="per_row"`` the build first checks the fan-out (see
-    ``per_row_fanout``) and raises ``FanOutError`` when it would exceed
-    ``max_fanout`` facts per trip; ``max_fanout=None`` skips the check.
     """
     if stage_input:
         trips = stage(trips)
-    if grain == "per_row" and max_fanout is not None:
-        facts, n = per_row_fanout(trips)
-        if n and facts > max_fanout * n:
-            raise FanOutError(
-                f"per-row grain would make {facts} facts from {n} trips (more than {max_fanout} per trip): "
-                "a timestamp pair is very frequent; use grain='distinct' or raise max_fanout"
-            )
     dt, loc, pay, pas = concurrently(
         lambda: D.datetime_dim(trips, grain=grain, week_start=week_start, first_id=first_id),
         lambda: D.location_dim(trips, first_id=first_id),

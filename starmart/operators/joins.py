@@ -1,28 +1,17 @@
-"""Joins against dimensions whose size is checked before broadcasting."""
+"""Joins against dimensions.
+
+No size is counted and none is assumed: a dimension read from files whose
+listed size is below ``spark.sql.autoBroadcastJoinThreshold`` is broadcast by
+the planner, one whose shuffled size turns out to be small is broadcast by AQE
+from the measured bytes, and every other one is joined by shuffle (AQE splits
+a skewed key's partition). Defining a join runs no job.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# A dimension at or below this many rows is broadcast explicitly; a larger one
-# is joined by shuffle (AQE may still switch to a broadcast from the sizes it
-# measures at run time, which is a checked size as well).
-MAX_BROADCAST_ROWS = 1_000_000
-
-
-def bounded_rows(df: DataFrame, limit: int | None = None) -> bool:
-    """True when ``df`` has at most ``limit`` rows (default
-    ``MAX_BROADCAST_ROWS``).
-
-    Counts at most ``limit + 1`` rows, so the check stays cheap even when the
-    table is huge.
-    """
-    if limit is None:
-        limit = MAX_BROADCAST_ROWS
-    return df.limit(limit + 1).count() <= limit
 
 
 def lookup_join(
@@ -31,20 +20,14 @@ def lookup_join(
     pairs: Sequence[tuple[str, str]],
     how: str = "inner",
     null_safe: bool = False,
-    broadcast: bool | None = None,
 ) -> DataFrame:
     """Join ``df`` to ``dim`` on ``df[left] == dim[right]`` for each pair.
 
     ``null_safe=True`` compares with ``<=>`` (a NULL key finds the NULL member).
-    ``broadcast=None`` broadcasts only after ``bounded_rows`` says the
-    dimension is small; ``True``/``False`` force the choice.
     """
-    if broadcast is None:
-        broadcast = bounded_rows(dim)
-    right = F.broadcast(dim) if broadcast else dim
     cond = None
     for left_col, right_col in pairs:
-        a, b = df[left_col], right[right_col]
+        a, b = df[left_col], dim[right_col]
         c = a.eqNullSafe(b) if null_safe else a == b
         cond = c if cond is None else cond & c
-    return df.join(right, cond, how)
+    return df.join(dim, cond, how)

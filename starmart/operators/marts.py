@@ -2,9 +2,11 @@
 
 Each mart joins the fact to one dimension on its id and groups; Spark plans a
 partial aggregate before the shuffle, so only one row per group and task
-crosses the network after the join. Small dimensions are broadcast after a
-size check. Marts carry no ORDER BY (Spark drops a sort under later
-operators); ``MART_ORDER`` is applied where a mart is exported or shown.
+crosses the network after the join. Marts carry no ORDER BY (Spark drops a
+sort under later operators); ``MART_ORDER`` is applied where a mart is exported or shown.
+
+A fact with a column ``weight`` (``facts.weigh``) counts each row that often, which
+gives the per-row grain's marts without its rows.
 """
 
 from __future__ import annotations
@@ -12,10 +14,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.operators.joins import bounded_rows, lookup_join
+from starmart.operators.joins import lookup_join
 
-# Upper bound on the payment records gathered into the summary report.
-MAX_REPORT_RECORDS = 10_000
+WEIGHT = "weight"
 
 # Sink order of each mart as (column, descending); ties broken by the keys.
 MART_ORDER: dict[str, list[tuple[str, bool]]] = {
@@ -34,7 +35,23 @@ def mart_order(name: str) -> list[Column]:
 
 def _with_dim(fact: DataFrame, fact_cols: list[str], dim: DataFrame, key: str, dim_cols: list[str]) -> DataFrame:
     d = dim.select(F.col(key).alias("_k_id"), *dim_cols)
-    return lookup_join(fact.select(key, *fact_cols), d, [(key, "_k_id")], "inner")
+    own = [WEIGHT] if WEIGHT in fact.columns else []
+    return lookup_join(fact.select(key, *fact_cols, *own), d, [(key, "_k_id")], "inner")
+
+
+def _count(df: DataFrame) -> Column:
+    """Rows of ``df``, or the weights they stand for."""
+    return F.coalesce(F.sum(WEIGHT), F.lit(0)) if WEIGHT in df.columns else F.count(F.lit(1))
+
+
+def _sum(df: DataFrame, c: str) -> Column:
+    return F.sum(F.col(c) * F.col(WEIGHT)) if WEIGHT in df.columns else F.sum(c)
+
+
+def _avg(df: DataFrame, c: str) -> Column:
+    if WEIGHT not in df.columns:
+        return F.avg(c)
+    return _sum(df, c) / F.sum(F.when(F.col(c).isNotNull(), F.col(WEIGHT)))
 
 
 def _pick(columns: str, wide: list[Column], narrow_count: int) -> list[Column]:
@@ -51,10 +68,10 @@ def hourly(fact: DataFrame, dim_datetime: DataFrame, columns: str = "wide") -> D
     aggs = _pick(
         columns,
         [
-            F.avg("fare_amount").alias("avg_fare"),
-            F.count(F.lit(1)).alias("num_trips"),
-            F.avg("tip_amount").alias("avg_tip"),
-            F.avg("total_amount").alias("avg_total"),
+            _avg(j, "fare_amount").alias("avg_fare"),
+            _count(j).alias("num_trips"),
+            _avg(j, "tip_amount").alias("avg_tip"),
+            _avg(j, "total_amount").alias("avg_total"),
         ],
         2,
     )
@@ -73,10 +90,10 @@ def popular_locations(fact: DataFrame, dim_location: DataFrame, columns: str = "
     aggs = _pick(
         columns,
         [
-            F.count(F.lit(1)).alias("num_pickups"),
-            F.avg("fare_amount").alias("avg_fare"),
-            F.avg("trip_distance").alias("avg_distance"),
-            F.avg("trip_duration").alias("avg_duration"),
+            _count(j).alias("num_pickups"),
+            _avg(j, "fare_amount").alias("avg_fare"),
+            _avg(j, "trip_distance").alias("avg_distance"),
+            _avg(j, "trip_duration").alias("avg_duration"),
         ],
         2,
     )
@@ -95,11 +112,11 @@ def payment(fact: DataFrame, dim_payment: DataFrame, columns: str = "wide") -> D
     aggs = _pick(
         columns,
         [
-            F.count(F.lit(1)).alias("num_trips"),
-            F.avg("fare_amount").alias("avg_fare"),
-            F.avg("tip_amount").alias("avg_tip"),
-            F.avg("total_amount").alias("avg_total"),
-            F.avg("trip_distance").alias("avg_distance"),
+            _count(j).alias("num_trips"),
+            _avg(j, "fare_amount").alias("avg_fare"),
+            _avg(j, "tip_amount").alias("avg_tip"),
+            _avg(j, "total_amount").alias("avg_total"),
+            _avg(j, "trip_distance").alias("avg_distance"),
         ],
         3,
     )
@@ -116,11 +133,11 @@ def daily(fact: DataFrame, dim_datetime: DataFrame) -> DataFrame:
         ["pickup_year", "pickup_month", "pickup_day"],
     )
     return j.groupBy("pickup_year", "pickup_month", "pickup_day").agg(
-        F.count(F.lit(1)).alias("num_trips"),
-        F.avg("fare_amount").alias("avg_fare"),
-        F.sum("total_amount").alias("total_revenue"),
-        F.avg("trip_distance").alias("avg_distance"),
-        F.avg("trip_duration").alias("avg_duration"),
+        _count(j).alias("num_trips"),
+        _avg(j, "fare_amount").alias("avg_fare"),
+        _sum(j, "total_amount").alias("total_revenue"),
+        _avg(j, "trip_distance").alias("avg_distance"),
+        _avg(j, "trip_duration").alias("avg_duration"),
     )
 
 
@@ -176,10 +193,10 @@ def summary(fact: DataFrame) -> DataFrame:
     An empty fact gives one row with a 0 count and NULL figures.
     """
     return fact.agg(
-        F.count(F.lit(1)).alias("total_trips"),
-        F.sum("total_amount").alias("total_revenue"),
-        F.avg("trip_distance").alias("avg_distance"),
-        (F.avg("trip_duration") / F.lit(60.0)).alias("avg_duration_minutes"),
+        _count(fact).alias("total_trips"),
+        _sum(fact, "total_amount").alias("total_revenue"),
+        _avg(fact, "trip_distance").alias("avg_distance"),
+        (_avg(fact, "trip_duration") / F.lit(60.0)).alias("avg_duration_minutes"),
     )
 
 
@@ -189,9 +206,9 @@ def payment_distribution(fact: DataFrame, dim_payment: DataFrame, ndigits: int =
     The denominator is an uncorrelated scalar subquery over the fact (facts
     without a payment row still count in it), evaluated once.
     """
-    total = fact.select(F.count(F.lit(1))).scalar()
+    total = fact.agg(_count(fact)).scalar()
     j = _with_dim(fact, [], dim_payment, "payment_id", ["payment_name"])
-    counts = j.groupBy("payment_name").agg(F.count(F.lit(1)).alias("trip_count"))
+    counts = j.groupBy("payment_name").agg(_count(j).alias("trip_count"))
     return counts.select(
         "payment_name",
         "trip_count",
@@ -208,11 +225,9 @@ def summary_report(fact: DataFrame, dim_payment: DataFrame, ndigits: int = 2) ->
     dimension row still counts in the totals, as in the scalar-subquery
     form), the few rows are grouped per name, and one final aggregate gives
     the overall figures, the total and the records. Averages are sums over
-    counts, as ``avg`` computes them. The payment dimension's size is checked
-    first, so the rows gathered into the records array are bounded.
+    counts, as ``avg`` computes them. There is one record for each payment
+    name: five at most by the decode table, whatever the dimension's size.
     """
-    if not bounded_rows(dim_payment, MAX_REPORT_RECORDS):
-        raise ValueError(f"payment dimension has more than {MAX_REPORT_RECORDS} rows: too many report records")
     per_id = fact.groupBy("payment_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("total_amount").alias("revenue"),
@@ -227,7 +242,7 @@ def summary_report(fact: DataFrame, dim_payment: DataFrame, ndigits: int = 2) ->
     )
     sums = ["n", "revenue", "distance_sum", "distance_n", "duration_sum", "duration_n"]
     per_name = named.groupBy("payment_name", "_matched").agg(*[F.sum(c).alias(c) for c in sums])
-    # One row per payment name (bounded by the dimension check) into one task.
+    # One row per payment name into one task.
     final = per_name.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("_total"),
         *[F.sum(c).alias(c) for c in sums[1:]],

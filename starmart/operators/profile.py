@@ -1,182 +1,137 @@
 """Column profile of a table: row count, columns, NULL counts and, for numeric
 columns, min / max / mean / median (NaN is treated as NULL throughout).
 
-The long form has one row per column. ``median="exact"`` computes the
-interpolated median without gathering a column into one task: values of all
-numeric columns are ranked together by ``dense_key`` (a range-partitioned
-sort), and only the one or two middle ranks per column are kept.
-``median="approx"`` uses ``percentile_approx`` instead (one pass, no sort).
-A table proven small by a row check (at most ``MEDIAN_BUFFER_ROWS``) gets its
-exact median inside the profiling aggregate instead: each column's values are
-gathered and sorted in one bounded buffer, with no extra job.
+The long form has one row per column. A table's values are listed once, as
+(table, column, value) rows, and ranked together by ``dense_key`` (a range-partitioned
+sort, stored once): every figure, the interpolated median included, is an
+aggregate over that one stored table, so the profiled query runs once and no
+column is gathered into one task. Several tables share one ranking.
+``median="approx"`` needs no ranking: one aggregate with ``percentile_approx``.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmart.operators.joins import bounded_rows
 from starmart.operators.keys import dense_key
 
 PROFILE_COLUMNS = ["column", "ordinal", "row_count", "null_count", "min", "max", "mean", "median"]
 
-# Tables with at most this many rows take the single-aggregate exact median.
-MEDIAN_BUFFER_ROWS = 1_000_000
-
 
 def _is_numeric(t: T.DataType) -> bool:
     return isinstance(t, T.NumericType)
 
 
-def _clean(df: DataFrame, name: str) -> Column:
-    """The column as double with NaN mapped to NULL."""
-    c = F.col(name)
-    if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
-        c = F.when(F.isnan(c), F.lit(None)).otherwise(c)
-    return c.cast("double")
+def _entry(i: int, f: T.StructField) -> Column:
+    """One column of a row: its ordinal, whether it is NULL, and its value as a
+    double with NaN mapped to NULL (NULL for a column that isn't numeric)."""
+    c = F.col(f"`{f.name}`")
+    null = c.isNull()
+    if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+        null = null | F.isnan(c)
+    value = F.when(~null, c.cast("double")) if _is_numeric(f.dataType) else F.lit(None).cast("double")
+    return F.struct(F.lit(i).alias("ordinal"), null.alias("is_null"), value.alias("value"))
 
 
-def profile(df: DataFrame, median: str = "exact", accuracy: int = 10_000) -> DataFrame:
-    """Long-form profile: ``column, ordinal, row_count, null_count, min, max,
-    mean, median`` (the last four NULL for non-numeric columns)."""
+def profiles(tables: Mapping[str, DataFrame], median: str = "exact", accuracy: int = 10_000) -> DataFrame:
+    """``table`` and ``PROFILE_COLUMNS``: the long-form profile of every table (the
+    last four NULL for non-numeric columns)."""
     if median not in ("exact", "approx"):
         raise ValueError(f"median must be 'exact' or 'approx', not {median!r}")
-    fields = df.schema.fields
-    numeric = [f.name for f in fields if _is_numeric(f.dataType)]
-    buffered = median == "exact" and bool(numeric) and bounded_rows(df, MEDIAN_BUFFER_ROWS)
-
-    # One pass: every count and every min/max/mean in a single aggregate.
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    for i, f in enumerate(fields):
-        null = F.col(f.name).isNull()
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            null = null | F.isnan(f.name)
-        aggs.append(F.count_if(null).alias(f"_null{i}"))
-        if f.name in numeric:
-            v = _clean(df, f.name)
-            aggs += [F.min(v).alias(f"_min{i}"), F.max(v).alias(f"_max{i}"), F.avg(v).alias(f"_mean{i}")]
-            if median == "approx":
-                aggs.append(F.percentile_approx(v, 0.5, accuracy).cast("double").alias(f"_med{i}"))
-            elif buffered:
-                aggs.append(_buffered_median(v).alias(f"_med{i}"))
-    wide = df.agg(*aggs)
-
-    def entry(i: int, f: T.StructField) -> Column:
-        num = f.name in numeric
-        none = F.lit(None).cast("double")
-        return F.struct(
-            F.lit(f.name).alias("column"),
-            F.lit(i).alias("ordinal"),
-            F.col("_rows").alias("row_count"),
-            F.col(f"_null{i}").cast("long").alias("null_count"),
-            (F.col(f"_min{i}") if num else none).alias("min"),
-            (F.col(f"_max{i}") if num else none).alias("max"),
-            (F.col(f"_mean{i}") if num else none).alias("mean"),
-            (F.col(f"_med{i}") if num and (median == "approx" or buffered) else none).alias("median"),
-        )
-
-    long = wide.select(F.inline(F.array(*[entry(i, f) for i, f in enumerate(fields)])))
-    if median == "approx" or buffered or not numeric:
-        return long
-    med = exact_medians(df, numeric)
-    return (
-        long.drop("median")
-        .join(med, "column", "left")
-        .select(*PROFILE_COLUMNS)
+    if not tables:
+        raise ValueError("no table to profile")
+    cells = None
+    for name, df in tables.items():
+        entries = F.array(*[_entry(i, f) for i, f in enumerate(df.schema.fields)])
+        x = df.select(F.explode(entries).alias("_e")).select(F.lit(name).alias("table"), "_e.*")
+        cells = x if cells is None else cells.unionAll(x)
+    key = ["table", "ordinal"]
+    if median == "exact":
+        # NULL values sort first, so a column's values end its ranks.
+        cells = dense_key(cells, [*key, "value"], name="_rank", first_id=0, unique=False)
+    extra = [F.max("_rank").alias("_last")] if median == "exact" else [
+        F.percentile_approx("value", 0.5, accuracy).alias("median")
+    ]
+    stats = cells.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_if("is_null").alias("null_count"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+        F.avg("value").alias("mean"),
+        F.count("value").alias("_n"),
+        *extra,
+    )
+    if median == "exact":
+        # One row per profiled column: bounded by the schemas, not the data.
+        ends = F.broadcast(stats.select(*key, "_last", "_n"))
+        back = F.col("_last") - F.col("_rank")
+        half = (F.col("_n") - 1) / 2
+        middle = cells.join(ends, key).where(F.col("value").isNotNull() & ((back == F.floor(half)) | (back == F.ceil(half))))
+        stats = stats.join(F.broadcast(middle.groupBy(*key).agg(F.avg("value").alias("median"))), key, "left")
+    # Every column has a row, also where its table has none.
+    names = [{"table": t, "ordinal": i, "column": f.name} for t, df in tables.items() for i, f in enumerate(df.schema.fields)]
+    spark = next(iter(tables.values())).sparkSession
+    all_columns = spark.range(1).select(
+        F.inline(F.from_json(F.lit(json.dumps(names)), "array<struct<table:string,ordinal:int,column:string>>"))
+    )
+    return all_columns.join(stats, key, "left").select(
+        "table", "column", "ordinal", F.coalesce("row_count", F.lit(0)).cast("long").alias("row_count"),
+        F.coalesce("null_count", F.lit(0)).cast("long").alias("null_count"), "min", "max", "mean", "median",
     )
 
 
-def _buffered_median(v: Column) -> Column:
-    """Interpolated median of a bounded group: sort the non-NULL values and
-    average the one or two middle ones (as ``(a + b) / 2``)."""
-    arr = F.array_sort(F.collect_list(v))
-    n = F.size(arr)
-    lo = F.element_at(arr, ((n + 1) / 2).cast("int"))
-    hi = F.element_at(arr, ((n + 2) / 2).cast("int"))
-    return F.when(n > 0, (lo + hi) / 2)
-
-
-def exact_medians(df: DataFrame, columns: list[str]) -> DataFrame:
-    """``(column, median)``: interpolated median of each column, NaN/NULL
-    skipped, computed by a distributed rank (no per-column buffer)."""
-    values = df.select(
-        F.explode(F.array(*[F.struct(F.lit(c).alias("column"), _clean(df, c).alias("value")) for c in columns])).alias("_e")
-    ).select("_e.column", "_e.value").where(F.col("value").isNotNull())
-    ranked = dense_key(values, ["column", "value"], name="_rank", first_id=0, unique=False)
-    # One row per profiled column: bounded by the schema, not the data.
-    bounds = ranked.groupBy("column").agg(F.min("_rank").alias("_start"), F.count(F.lit(1)).alias("_n"))
-    local = F.col("_rank") - F.col("_start")
-    lo = F.floor((F.col("_n") - 1) / 2)
-    hi = F.ceil((F.col("_n") - 1) / 2)
-    middle = ranked.join(F.broadcast(bounds), "column").where((local == lo) | (local == hi))
-    return middle.groupBy("column").agg(F.avg("value").alias("median"))
+def profile(df: DataFrame, median: str = "exact", accuracy: int = 10_000) -> DataFrame:
+    """``PROFILE_COLUMNS`` of one table."""
+    return profiles({"t": df}, median, accuracy).select(*PROFILE_COLUMNS)
 
 
 def profile_json(df: DataFrame, median: str = "exact") -> DataFrame:
     """One row, one string column ``json``: ``row_count``, ``columns``,
     ``null_counts`` and ``numeric_columns`` {min, max, mean, median}; NULL
     figures are written as ``null``, not dropped."""
-    return _profile_struct(profile(df, median), set(_numeric_names(df))).select(
-        F.to_json("profile", {"ignoreNullFields": "false"}).alias("json")
-    )
+    return profile_docs({"t": df}, median).select("json")
 
 
 def profile_docs(tables: Mapping[str, DataFrame], median: str = "exact") -> DataFrame:
-    """One row per table: ``mart`` (its name) and ``json`` (its profile), all
-    computed by one job; at most one row per table."""
-    out = None
-    for name, t in tables.items():
-        doc = profile_json(t, median).select(F.lit(name).alias("mart"), "json")
-        out = doc if out is None else out.unionByName(doc)
-    return out
+    """One row per table: ``mart`` (its name) and ``json`` (its profile), from
+    one ranking of all of them."""
+    return _docs(tables, median).select("mart", F.to_json("profile", {"ignoreNullFields": "false"}).alias("json"))
 
 
 def profiles_json(tables: Mapping[str, DataFrame], median: str = "exact") -> DataFrame:
     """One row, one string column ``json``: every table's profile keyed by name."""
-    parts = []
-    for name, t in tables.items():
-        parts.append(_profile_struct(profile(t, median), set(_numeric_names(t))).select(F.lit(name).alias("name"), "profile"))
-    union = parts[0]
-    for p in parts[1:]:
-        union = union.unionByName(p)
     # One row per table: bounded by the number of tables exported.
-    doc = union.agg(F.map_from_entries(F.collect_list(F.struct("name", "profile"))).alias("doc"))
+    by_name = lambda a, b: F.when(a.mart < b.mart, -1).when(a.mart > b.mart, 1).otherwise(0)
+    entries = F.array_sort(F.collect_list(F.struct("mart", "profile")), by_name)
+    doc = _docs(tables, median).agg(F.map_from_entries(entries).alias("doc"))
     return doc.select(F.to_json("doc", {"ignoreNullFields": "false"}).alias("json"))
 
 
-def _numeric_names(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if _is_numeric(f.dataType)]
-
-
-def _profile_struct(long: DataFrame, numeric: set[str]) -> DataFrame:
-    # ``long`` has one row per column of the profiled table: bounded by schema.
-    is_num = F.col("column").isin(*numeric) if numeric else F.lit(False)
+def _docs(tables: Mapping[str, DataFrame], median: str) -> DataFrame:
+    """``mart`` and ``profile`` (a struct) of every table."""
+    numeric = [f"{t}.{n}" for t, df in tables.items() for n in _numeric_names(df)]
+    long = profiles(tables, median)
+    is_num = F.concat("table", F.lit("."), "column").isin(*numeric) if numeric else F.lit(False)
     stats = F.struct("min", "max", "mean", "median")
-    rows = long.select(
-        "ordinal",
-        "row_count",
-        F.struct("ordinal", "column", "null_count", is_num.alias("is_num"), stats.alias("stats")).alias("e"),
-    )
-    agg = rows.agg(
-        F.max("row_count").alias("row_count"),
-        F.array_sort(F.collect_list("e")).alias("es"),
-    )
+    rows = long.select("table", "row_count", F.struct("ordinal", "column", "null_count", is_num.alias("is_num"), stats.alias("stats")).alias("e"))
+    # One row per column of a profiled table: bounded by the schemas.
+    agg = rows.groupBy("table").agg(F.max("row_count").alias("row_count"), F.array_sort(F.collect_list("e")).alias("es"))
+    names = F.transform("es", lambda e: e["column"])
+    figures = F.transform(F.filter("es", lambda e: e["is_num"]), lambda e: F.struct(e["column"].alias("k"), e["stats"].alias("v")))
     return agg.select(
+        F.col("table").alias("mart"),
         F.struct(
-            F.coalesce(F.col("row_count"), F.lit(0)).alias("row_count"),
-            F.transform("es", lambda e: e["column"]).alias("columns"),
-            F.map_from_arrays(
-                F.transform("es", lambda e: e["column"]), F.transform("es", lambda e: e["null_count"])
-            ).alias("null_counts"),
-            F.map_from_entries(
-                F.transform(
-                    F.filter("es", lambda e: e["is_num"]),
-                    lambda e: F.struct(e["column"].alias("k"), e["stats"].alias("v")),
-                )
-            ).alias("numeric_columns"),
-        ).alias("profile")
+            "row_count", names.alias("columns"),
+            F.map_from_arrays(names, F.transform("es", lambda e: e["null_count"])).alias("null_counts"),
+            F.map_from_entries(figures).alias("numeric_columns"),
+        ).alias("profile"),
     )
+
+
+def _numeric_names(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if _is_numeric(f.dataType)]

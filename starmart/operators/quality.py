@@ -82,26 +82,42 @@ def check_unique(df: DataFrame, key: str, table: str | None = None) -> DataFrame
     ).select(F.inline("_r"))
 
 
-def check_orphans(fact: DataFrame, dims: Mapping[str, DataFrame], foreign_keys: Mapping[str, str] = STAR_FOREIGN_KEYS) -> DataFrame:
+def check_orphans(
+    fact: DataFrame,
+    dims: Mapping[str, DataFrame],
+    foreign_keys: Mapping[str, str] = STAR_FOREIGN_KEYS,
+    large: Sequence[str] = ("datetime_id",),
+) -> DataFrame:
     """Facts whose non-NULL foreign key has no row in its dimension.
 
-    The fact's keys are first counted per distinct value (a map-side
-    pre-aggregate), and only those distinct values are anti-joined; a
-    dimension proven small (row check) is broadcast.
+    The keys not in ``large`` are counted together in one scan of the fact (a
+    map-side pre-aggregate by their combinations); each large one is counted
+    per value in a scan of its own. Only distinct values are anti-joined.
     """
+    own = [k for k in foreign_keys if k in large]
+    together = [k for k in foreign_keys if k not in large]
     parts = []
-    for fk, dim_name in foreign_keys.items():
+    for fk in own:
         per_value = fact.where(F.col(fk).isNotNull()).groupBy(fk).agg(F.count(F.lit(1)).alias("_n"))
-        ids = dims[dim_name].select(F.col(fk).alias("_k_id"))
-        # A dimension proven small is broadcast; a big one is shuffled once
-        # by key, and the fact side reuses the pre-aggregate's partitioning.
+        ids = dims[foreign_keys[fk]].select(F.col(fk).alias("_k_id"))
         orphans = lookup_join(per_value, ids, [(fk, "_k_id")], "left_anti")
-        parts.append(
-            orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("failures")).select(
-                F.lit("orphans").alias("check"), F.lit(f"{fk}->{dim_name}").alias("column"), "failures"
-            )
-        )
-    return reduce(DataFrame.unionAll, parts)
+        parts.append(orphans.agg(F.sum("_n").alias("n")).select(F.lit(fk).alias("fk"), "n"))
+    if together:
+        combined = fact.groupBy(*together).agg(F.count(F.lit(1)).alias("_n"))
+        each = F.array(*[F.struct(F.lit(k).alias("fk"), F.col(k).cast("long").alias("value")) for k in together])
+        per_value = combined.select(F.explode(each).alias("_e"), "_n").select("_e.*", "_n").where("value is not null")
+        per_value = per_value.groupBy("fk", "value").agg(F.sum("_n").alias("_n"))
+        ids = reduce(DataFrame.unionAll, [
+            dims[foreign_keys[k]].select(F.lit(k).alias("_fk"), F.col(k).cast("long").alias("_k_id")) for k in together
+        ])
+        orphans = lookup_join(per_value, ids, [("fk", "_fk"), ("value", "_k_id")], "left_anti")
+        parts.append(orphans.groupBy("fk").agg(F.sum("_n").alias("n")))
+    found = reduce(DataFrame.unionAll, parts)
+    # One row per foreign key, also for those without an orphan.
+    counts = {
+        f"{fk}->{dim}": F.coalesce(F.sum(F.when(F.col("fk") == fk, F.col("n"))), F.lit(0)) for fk, dim in foreign_keys.items()
+    }
+    return _long_form(found, "orphans", counts)
 
 
 def run_checks(results: Sequence[DataFrame] | DataFrame, raise_on_failure: bool = True) -> list[tuple[str, str, int]]:

@@ -7,20 +7,21 @@ rerun overwrites instead of duplicating.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.checkpoint import scratch_scope
+from starmart.checkpoint import materialize, scratch_scope
 from starmart.operators import marts as M
 from starmart.operators import quality as Q
 from starmart.jobs import concurrently
 from starmart.operators.facts import Star, build_star, build_zone_star
-from starmart.operators.profile import profile_docs, profiles_json
-from starmart.schema import TRIPS_COORD
-from starmart.sinks.writers import export_all, export_json, save, save_bucketed
+from starmart.operators.profile import profile_docs
+from starmart.schema import STAR_SCHEMAS, TRIPS_COORD, conform
+from starmart.sinks.writers import export_all, export_json, save, save_bucketed, save_table_with_schema
 from starmart.sources.staging import stage
 from starmart.sources.trips import normalize, read_trips_csv, read_trips_parquet
 
@@ -75,9 +76,18 @@ def build(
     stage_input: bool = True,
     buckets: int | None = None,
     table_prefix: str = "starmart_",
+    mode: str = "overwrite",
+    week_start: str = "sunday",
+    duration_unit: str = "int",
+    first_id: int | None = None,
+    order_ids: bool = True,
 ) -> Star:
-    """Build the star; write its tables under ``out_dir`` (overwrite) and
-    re-read them; run the lane's checks (raising on failure).
+    """Build the star; write its tables under ``out_dir`` with their declared
+    schemas and re-read them; run the lane's checks (raising on failure).
+
+    ``mode="append"`` adds to the tables that are there; give ``first_id`` the
+    next free id then. ``first_id`` is by default 1, and 0 for zones. The zone
+    star has one grain and keeps every trip: other choices are an error.
 
     With ``buckets``, the fact and the datetime dimension are written as
     catalog tables (``table_prefix`` + name) bucketed and sorted by
@@ -85,18 +95,24 @@ def build(
     later shuffle neither side.
     """
     if variant == "coords":
-        star = build_star(trips, grain=grain, null_keys=null_keys, stage_input=stage_input)
+        star = build_star(
+            trips, grain=grain, null_keys=null_keys, week_start=week_start, duration_unit=duration_unit,
+            first_id=1 if first_id is None else first_id, stage_input=stage_input, order_ids=order_ids,
+        )
     else:
-        star = build_zone_star(trips, stage_input=stage_input)
+        if (grain, null_keys, week_start, duration_unit) != ("distinct", "drop", "sunday", "int"):
+            raise ValueError("the zone star has no grain, null_keys, week_start or duration_unit to choose")
+        star = build_zone_star(trips, first_id=first_id or 0, stage_input=stage_input, order_ids=order_ids)
     if out_dir:
         spark = trips.sparkSession
         tables = {}
         for name, df in star.tables().items():
             if buckets and name in ("fact_trips", "dim_datetime"):
-                save_bucketed(df, f"{table_prefix}{name}", f"{out_dir}/{name}", "datetime_id", buckets)
+                df = conform(df, STAR_SCHEMAS[star.variant][name])
+                save_bucketed(df, f"{table_prefix}{name}", f"{out_dir}/{name}", "datetime_id", buckets, mode=mode)
                 tables[name] = spark.table(f"{table_prefix}{name}")
             else:
-                save(df, f"{out_dir}/{name}")
+                save_table_with_schema(df, f"{out_dir}/{name}", STAR_SCHEMAS[star.variant][name], mode=mode)
                 tables[name] = spark.read.parquet(f"{out_dir}/{name}")
         star = Star(
             tables["dim_datetime"], tables["dim_location"], tables["dim_payment"],
@@ -132,57 +148,98 @@ def checks(star: Star) -> list[DataFrame]:
     ]
 
 
+def _builders(star: Star) -> dict[str, Callable[[], DataFrame]]:
+    """The marts as they are published, each built on demand."""
+    out = {"vw_hourly_fares": lambda: M.hourly(star.fact, star.datetime)}
+    if star.variant == "coords":
+        out["vw_popular_locations"] = lambda: M.popular_locations(star.fact, star.location)
+    out["vw_payment_analysis"] = lambda: M.payment(star.fact, star.payment)
+    out["vw_daily_stats"] = lambda: M.daily(star.fact, star.datetime)
+    return out
+
+
+# The published marts and the sink order of each.
+PUBLISHED = {
+    "vw_hourly_fares": "hourly",
+    "vw_popular_locations": "popular_locations",
+    "vw_payment_analysis": "payment",
+    "vw_daily_stats": "daily",
+}
+
+
 def publish(
     star: Star,
     out_dir: str,
     on_error: str = "raise",
     profile_layout: str = "per_mart",
-    single_file: bool | None = None,
+    single_file: bool = False,
 ) -> dict[str, str]:
     """Marts to CSV (sorted), a profile of each mart to JSON, and the summary
     report to JSON. ``profile_layout="per_mart"`` writes one JSON per mart
-    (``profiles/mart=<name>/``, one job for all), ``"combined"`` one JSON keyed
+    (``profiles/mart=<name>/``), ``"combined"`` one JSON keyed
     by mart name. A zone star has no
-    coordinates, so its location mart is reported as skipped."""
-    # Hourly and daily come from one join and one grouping-sets aggregate.
-    rollup = M.datetime_rollup(star.fact, star.datetime).persist()
-    hourly, daily = M.split_datetime_rollup(rollup)
-    views = {"vw_hourly_fares": hourly}
-    if star.variant == "coords":
-        views["vw_popular_locations"] = M.popular_locations(star.fact, star.location)
-    views["vw_payment_analysis"] = M.payment(star.fact, star.payment)
-    views["vw_daily_stats"] = daily
-    order_names = {
-        "vw_hourly_fares": "hourly",
-        "vw_popular_locations": "popular_locations",
-        "vw_payment_analysis": "payment",
-        "vw_daily_stats": "daily",
-    }
-    # Each mart is computed once and reused by its CSV and its profile.
-    cached = {k: v.persist() for k, v in views.items()}
+    coordinates, so its location mart is reported as skipped.
+
+    ``on_error="raise"``: the first failure ends the publication; hourly and
+    daily come from one scan. ``"skip"``: building, exporting and profiling one
+    mart fail or succeed together, its status holds the error, and the others are
+    written; a failing report has a status ``summary_report``.
+    """
+    if on_error not in ("raise", "skip"):
+        raise ValueError(f"on_error must be 'raise' or 'skip', not {on_error!r}")
+    builders, rollup, built = _builders(star), None, {}
+    if on_error == "raise":
+        # Hourly and daily from one join and one grouping-sets aggregate.
+        rollup = M.datetime_rollup(star.fact, star.datetime).persist()
+        hourly, daily = M.split_datetime_rollup(rollup)
+        builders |= {"vw_hourly_fares": lambda: hourly, "vw_daily_stats": lambda: daily}
+
+    def build_one(name: str) -> DataFrame:
+        # Computed once: read by the CSV and by the profile.
+        built[name] = builders[name]().persist()
+        return built[name]
+
+    def profile_one(name: str, df: DataFrame) -> None:
+        # Under "skip" a mart whose profile fails must fail by itself.
+        if on_error == "skip":
+            docs[name] = materialize(profile_docs({name: df}), f"profile-{name}")
+
+    docs: dict[str, DataFrame] = {}
     try:
         status = export_all(
-            cached, out_dir, {k: M.mart_order(order_names[k]) for k in cached}, on_error, single_file
+            {k: (lambda k=k: build_one(k)) for k in builders}, out_dir,
+            {k: M.mart_order(PUBLISHED[k]) for k in builders}, on_error, single_file, profile_one,
         )
         if star.variant == "zones":
             status["vw_popular_locations"] = "skipped: the zone star has no coordinates"
-        ok = {k: v for k, v in cached.items() if status.get(k) == "ok"}
+        ok = {k: built[k] for k in builders if status.get(k) == "ok"}
+
+        def all_docs() -> DataFrame:
+            return reduce(DataFrame.unionAll, [docs[k] for k in ok]) if on_error == "skip" else profile_docs(ok)
 
-        def profiles() -> None:
+        def write_profiles() -> None:
             if profile_layout == "per_mart" and ok:
-                # One JSON per mart under profiles/mart=<name>/, written by one job.
-                export_json(profile_docs(ok), f"{out_dir}/profiles", single_file=False, partition_by=["mart"])
+                export_json(all_docs(), f"{out_dir}/profiles", single_file=False, partition_by=["mart"])
             elif ok:
-                export_json(profiles_json(ok), f"{out_dir}/analytics_stats.json", one_row=True)
+                entry = F.concat(F.to_json(F.array("mart")).substr(F.lit(2), F.length(F.to_json(F.array("mart"))) - 2), F.lit(":"), "json")
+                # One document per mart: bounded by the marts.
+                one = all_docs().agg(F.array_sort(F.collect_list(entry)).alias("e"))
+                export_json(one.select(F.concat(F.lit("{"), F.array_join("e", ","), F.lit("}")).alias("json")), f"{out_dir}/analytics_stats.json")
 
         def report() -> None:
-            export_json(M.summary_report(star.fact, star.payment), f"{out_dir}/summary_report.json", one_row=True)
+            try:
+                export_json(M.summary_report(star.fact, star.payment), f"{out_dir}/summary_report.json")
+            except Exception as e:
+                if on_error == "raise":
+                    raise
+                status["summary_report"] = f"error: {e}"
 
-        concurrently(profiles, report)
+        concurrently(write_profiles, report)
     finally:
-        for v in cached.values():
+        for v in built.values():
             v.unpersist()
-        rollup.unpersist()
+        if rollup is not None:
+            rollup.unpersist()
     return status
 
 

@@ -55,14 +55,8 @@ ZONE_COLUMNS = ["pickup_location_id", "dropoff_location_id"]
 ZONE_RENAMES = {
     "tpep_pickup_datetime": "pickup_datetime",
     "tpep_dropoff_datetime": "dropoff_datetime",
-    "passenger_count": "passenger_count",
-    "trip_distance": "trip_distance",
     "PULocationID": "pickup_location_id",
     "DOLocationID": "dropoff_location_id",
-    "payment_type": "payment_type",
-    "fare_amount": "fare_amount",
-    "tip_amount": "tip_amount",
-    "total_amount": "total_amount",
 }
 
 _PARTS = [("hour", _I), ("day", _I), ("month", _I), ("year", _I), ("weekday", _I)]
@@ -117,6 +111,25 @@ FACT_ZONE = _struct(
 )
 
 
+#: The declared schema of each written table, by the star's variant.
+STAR_SCHEMAS = {
+    "coords": {
+        "dim_datetime": DIM_DATETIME,
+        "dim_location": DIM_LOCATION,
+        "dim_payment": DIM_PAYMENT,
+        "dim_passenger": DIM_PASSENGER,
+        "fact_trips": FACT,
+    },
+    "zones": {
+        "dim_datetime": DIM_DATETIME_ZONE,
+        "dim_location": DIM_LOCATION_ZONE,
+        "dim_payment": DIM_PAYMENT_RAW,
+        "dim_passenger": DIM_PASSENGER,
+        "fact_trips": FACT_ZONE,
+    },
+}
+
+
 def conform(df: DataFrame, schema: T.StructType, round_to_int: bool = True) -> DataFrame:
     """Select ``schema``'s columns in order and cast each to its declared type.
 

@@ -38,11 +38,15 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a scratch one only if unset."""
+    """Return the shared checkpoint folder. Where none is set, a local session
+    (one machine, as in tests) gets a scratch one; on a cluster that is an error,
+    because executors would each write to a disk of their own."""
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get(CHECKPOINT_CONF, None)
+    if not configured and not (spark.sparkContext.master + "[").startswith("local["):
+        raise RuntimeError(f"{CHECKPOINT_CONF} is not set: point it at a folder every executor can reach")
     if not configured:
         configured = tempfile.mkdtemp(prefix="starmart-ckpt-")
     spark.sparkContext.setCheckpointDir(configured)

@@ -1,8 +1,8 @@
 """Writing tables and exporting marts, profiles and reports.
 
 Writers are Spark writers: every task writes its own part file in parallel.
-``single_file=True`` funnels a result through one task and is therefore only
-allowed after a row-count check (marts and reports are small; facts are not).
+``single_file=True`` sends a result through one task: the caller's choice, for
+marts and reports that are small by construction.
 """
 
 from __future__ import annotations
@@ -14,11 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
 
 from starmart.jobs import inheriting
-from starmart.operators.joins import bounded_rows
 from starmart.schema import conform
 
-SINGLE_FILE_MAX_ROWS = 1_000_000
-
 
 def save(
     df: DataFrame,
@@ -59,49 +56,37 @@ def save_table_with_schema(df: DataFrame, path: str, schema: T.StructType, mode:
     save(conform(df, schema), path, mode=mode, fmt=fmt)
 
 
-def _single(df: DataFrame, single_file: bool | None) -> DataFrame:
-    """``True``: one file, refused above the row bound. ``None``: one file when
-    the row check passes, else one part per task. ``False``: parts."""
-    if single_file is False:
-        return df
-    small = bounded_rows(df, SINGLE_FILE_MAX_ROWS)
-    if not small:
-        if single_file:
-            raise ValueError(f"single_file export refused: more than {SINGLE_FILE_MAX_ROWS} rows")
-        return df
-    return df.coalesce(1)
-
-
 def export_csv(
     df: DataFrame,
     path: str,
     order_by: Sequence[Column] | None = None,
-    single_file: bool | None = False,
+    single_file: bool = False,
     mode: str = "overwrite",
 ) -> None:
-    """CSV with a header row and no index column, optionally sorted (a sorted
-    multi-part export keeps the order across part files)."""
-    out = df.orderBy(*order_by) if order_by else df
-    _single(out, single_file).write.mode(mode).option("header", True).csv(path)
+    """CSV with a header row and no index column, optionally sorted: one sorted
+    file, or range-partitioned parts whose names follow the order."""
+    if single_file:
+        out = df.repartition(1)
+        out = out.sortWithinPartitions(*order_by) if order_by else out
+    else:
+        out = df.orderBy(*order_by) if order_by else df
+    out.write.mode(mode).option("header", True).csv(path)
 
 
 def export_json(
     df: DataFrame,
     path: str,
-    single_file: bool | None = True,
+    single_file: bool = True,
     mode: str = "overwrite",
-    one_row: bool = False,
     partition_by: Sequence[str] | None = None,
 ) -> None:
     """JSON lines, NULL fields written as ``null`` (not dropped).
 
     A DataFrame whose only data column is a string ``json`` (as built by the
-    profile and report functions) is written as that text. ``one_row=True``
-    states that ``df`` is a global aggregate (one row by construction), so no
-    row check is needed for a single file. ``partition_by`` writes one folder
+    profile and report functions) is written as that text. ``partition_by`` writes one folder
     per value (one document per mart, say) in a single job.
     """
-    out = df.coalesce(1) if one_row else _single(df, single_file)
+    out = df.repartition(1) if single_file else df
     data_cols = [c for c in out.columns if c not in (partition_by or [])]
     w = out.write.mode(mode)
     if partition_by:
@@ -117,9 +102,12 @@ def export_all(
     out_dir: str,
     order: Mapping[str, Sequence[Column]] | None = None,
     on_error: str = "raise",
-    single_file: bool | None = None,
+    single_file: bool = False,
+    after: Callable[[str, DataFrame], None] | None = None,
 ) -> dict[str, str]:
-    """Export every mart to ``out_dir/<name>.csv``; returns status per mart.
+    """Export every mart to ``out_dir/<name>.csv``; returns status per mart. A
+    mart given as a builder is built here, so that a failure to build it falls under
+    the policy too, and so does ``after``, which gets each mart once it is written.
 
     The exports run concurrently. ``on_error="raise"`` raises the first
     failure in mart order; ``"skip"`` records each error text and keeps the
@@ -131,6 +119,8 @@ def export_all(
     def one(name: str, mart) -> None:
         df = mart() if callable(mart) else mart
         export_csv(df, f"{out_dir}/{name}.csv", (order or {}).get(name), single_file=single_file)
+        if after:
+            after(name, df)
 
     # Independent exports run as concurrent Spark jobs from a few threads.
     with ThreadPoolExecutor(max_workers=max(1, min(8, len(marts)))) as pool:

@@ -13,39 +13,13 @@ from pyspark.sql import DataFrame
 from starmart.checkpoint import materialize
 
 
-def _estimated_bytes(df: DataFrame) -> int | None:
-    """Bytes of the relations ``df`` reads: the sum of its leaf relations'
-    sizes, from the file listing Spark already holds (a join's own estimate
-    is a cartesian bound without CBO, so leaves are summed instead).
-    ``None`` when unavailable. No job runs."""
-    try:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    except Exception:  # noqa: BLE001 - an estimate is optional
-        return None
-
-
-def stage(trips: DataFrame, label: str = "staging", spread: bool | None = None) -> DataFrame:
+def stage(trips: DataFrame, label: str = "staging", partitions: int | None = None) -> DataFrame:
     """Materialize ``trips`` and return the re-read table.
 
-    A small input read from fewer files than the cluster runs tasks at once
-    (one file whose single row group is one scan task, say) is spread by a
-    round-robin repartition before the write, so every later scan is
-    parallel. "Small" means below ``parallelism x maxPartitionBytes``, where
-    the shuffle is cheap; a large input is never reshuffled (it has many
-    splits anyway) and is written as it is. ``spread`` forces the choice.
-    Both tests use metadata only: no job runs.
+    ``partitions`` deals the rows out evenly over so many files first: worth a
+    shuffle where the input is one file that a single task would read. Without
+    it the table is written as it comes.
     """
-    spark = trips.sparkSession
-    want = spark.sparkContext.defaultParallelism
-    if spread is None:
-        split_bytes = int(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728").rstrip("b"))
-        size = _estimated_bytes(trips)
-        spread = (
-            size is not None
-            and size < want * split_bytes
-            and len(trips.inputFiles()) < want
-        )
-    if spread:
-        trips = trips.repartition(want)
+    if partitions:
+        trips = trips.repartition(partitions)
     return materialize(trips, label)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,19 +49,32 @@ def read_trips_csv(spark: SparkSession, path: str | list[str], schema: T.StructT
         .schema(_csv_read_schema(header, schema))
         .csv(path)
     )
-    return raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return raw.select(*[_stored(raw, f) for f in schema.fields])
+
+
+def _stored(df: DataFrame, field: T.StructField) -> Column:
+    """A column cast to its declared type. Counts and codes may come as whole
+    doubles or decimals (NaN: missing); a fraction is an error, not cut off."""
+    c, kind = F.col(field.name), df.schema[field.name].dataType
+    if isinstance(field.dataType, (T.IntegerType, T.LongType)):
+        if isinstance(kind, (T.DoubleType, T.FloatType)):
+            c = F.when(F.isnan(c), None).otherwise(c)
+        if isinstance(kind, (T.DoubleType, T.FloatType, T.DecimalType)):
+            fault = F.raise_error(F.concat(F.lit(f"{field.name} is not a whole number: "), c.cast("string")))
+            c = F.when(c != F.floor(c), fault).otherwise(c)
+    return c.cast(field.dataType).alias(field.name)
 
 
 def _csv_read_schema(header: list[str], schema: T.StructType) -> T.StructType:
     # Read in file column order; columns outside the schema are read as strings
     # and dropped by the final select. Codes may be written as "1.0": read as
-    # double, then cast.
+    # decimals (a double would lose digits of large codes), then cast.
     by_name = {f.name: f.dataType for f in schema.fields}
     fields = []
     for name in header:
         t = by_name.get(name, T.StringType())
         if isinstance(t, (T.LongType, T.IntegerType)):
-            t = T.DoubleType()
+            t = T.DecimalType(38, 6)
         fields.append(T.StructField(name, t, True))
     return T.StructType(fields)
 
@@ -95,13 +108,4 @@ def normalize(
     """
     renamed = df.withColumnsRenamed({k: v for k, v in rename.items() if k in df.columns and k != v})
     require_columns(renamed.columns, schema.fieldNames())
-    out = []
-    for f in schema.fields:
-        c = F.col(f.name)
-        if isinstance(f.dataType, (T.IntegerType, T.LongType)) and isinstance(
-            renamed.schema[f.name].dataType, (T.DoubleType, T.FloatType)
-        ):
-            # Counts and codes often arrive as doubles (NaN for missing).
-            c = F.when(F.isnan(c), None).otherwise(c)
-        out.append(c.cast(f.dataType).alias(f.name))
-    return renamed.select(*out)
+    return renamed.select(*[_stored(renamed, f) for f in schema.fields])

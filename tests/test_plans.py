@@ -36,20 +36,64 @@ def test_mart_plan_prunes_columns_and_aggregates_partially(spark):
         assert "pickup_datetime" not in ln
 
 
-def test_large_dimension_is_not_broadcast_blindly(spark, monkeypatch):
-    import starmart.operators.joins as J
+def test_a_dimension_beyond_the_threshold_is_not_broadcast(spark):
+    s = star(spark, SF_SMALL)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "1k", "spark.sql.adaptive.autoBroadcastJoinThreshold": "1k"}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        mart = M.hourly(s.fact, s.datetime)
+        mart.collect()
+        assert "SortMergeJoin" in _plan(mart) and "BroadcastHashJoin" not in _plan(mart)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
 
-    monkeypatch.setattr(J, "MAX_BROADCAST_ROWS", 10)
+def test_defining_marts_runs_no_job(spark):
     s = star(spark, SF_SMALL)
-    d = s.datetime.select("datetime_id", "pickup_hour")
-    j = J.lookup_join(s.fact.select("datetime_id"), d.withColumnRenamed("datetime_id", "_k"), [("datetime_id", "_k")])
-    assert J.bounded_rows(d, 10) is False
-    # no explicit broadcast hint: the join is planned from sizes (SMJ or AQE's choice)
-    top = j._jdf.queryExecution().analyzed()
-    assert top.nodeName() == "Join" and top.right().nodeName() != "ResolvedHint"
-    small = J.lookup_join(s.fact.select("payment_id"), s.payment.select(s.payment.payment_id.alias("_k")), [("payment_id", "_k")])
-    top = small._jdf.queryExecution().analyzed()
-    assert top.nodeName() == "Join" and top.right().nodeName() == "ResolvedHint"
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("marts-only", "no job expected")
+    try:
+        M.marts(s)
+        M.summary_report(s.fact, s.payment)
+        assert list(tracker.getJobIdsForGroup("marts-only")) == []
+    finally:
+        spark.sparkContext.setJobGroup("tests", "")
+
+
+def test_publish_skips_what_fails_and_writes_the_rest(spark, hand, tmp_path):
+    import os
+    from dataclasses import replace
+
+    from starmart.plans import publish
+
+    s = FT.build_star(hand)
+    broken = replace(s, fact=s.fact.drop("tip_amount"))
+    status = publish(broken, str(tmp_path / "skip"), on_error="skip")
+    assert {k for k, v in status.items() if v == "ok"} == {"vw_popular_locations", "vw_daily_stats"}
+    assert status["vw_hourly_fares"].startswith("error") and status["vw_payment_analysis"].startswith("error")
+    assert {"mart=vw_daily_stats", "mart=vw_popular_locations"} <= set(os.listdir(tmp_path / "skip" / "profiles"))
+    assert os.path.exists(tmp_path / "skip" / "summary_report.json")
+    try:
+        publish(broken, str(tmp_path / "raise"))
+    except Exception as e:  # noqa: BLE001
+        assert "tip_amount" in str(e)
+    else:
+        raise AssertionError("publish must raise")
+
+
+def test_build_appends_with_the_declared_schemas(spark, hand, tmp_path):
+    from starmart.plans import build
+    from starmart.schema import STAR_SCHEMAS
+
+    out = str(tmp_path / "star")
+    n = build(hand, out).fact.count()
+    star2 = build(hand, out, mode="append", first_id=1000, check=False)
+    assert star2.fact.count() == 2 * n
+    for name, df in star2.tables().items():
+        assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in STAR_SCHEMAS["coords"][name]]
 
 
 def test_pipeline_run_end_to_end(spark, hand, tmp_path):
@@ -165,13 +209,11 @@ def test_run_releases_only_its_own_intermediates(spark, hand, tmp_path):
     assert not [s for s in fs.listStatus(path) if s.getPath().getName().startswith("run-")]
 
 
-def test_bucketed_star_joins_without_shuffle(spark, hand, tmp_path, monkeypatch):
-    import starmart.operators.joins as J
+def test_bucketed_star_joins_without_shuffle(spark, hand, tmp_path):
     from starmart.operators import quality as Q
     from starmart.plans import build
 
     star = build(hand, str(tmp_path / "star"), buckets=4, table_prefix="t_bucketed_")
-    monkeypatch.setattr(J, "MAX_BROADCAST_ROWS", 0)
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")

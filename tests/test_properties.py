@@ -57,7 +57,6 @@ def test_percentages_add_up(spark):
 def test_fact_through_sort_merge_and_skew_split(spark, monkeypatch):
     """With broadcasts off and a hot timestamp pair, the big join is a
     sort-merge join that AQE splits; the fact is unchanged."""
-    import starmart.operators.joins as J
 
     hot = spark.range(0, 6000).select(
         F.when(F.col("id") % 3 == 0, F.lit("2024-01-01 08:00:00")).otherwise(
@@ -83,7 +82,6 @@ def test_fact_through_sort_merge_and_skew_split(spark, monkeypatch):
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
     }
     old = {k: spark.conf.get(k, None) for k in conf}
-    monkeypatch.setattr(J, "MAX_BROADCAST_ROWS", 0)
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
@@ -120,14 +118,48 @@ def test_unordered_trip_ids_are_dense_and_facts_equal(spark):
     assert _same(a.fact.drop("trip_id"), b.fact.drop("trip_id"))
 
 
-def test_per_row_fanout_guard(spark):
-    from starmart.operators.facts import FanOutError, per_row_fanout
-
+def test_weights_give_the_per_row_marts_without_pairs(spark):
     trips = stage(trips_from_tables(spark, SF_SMALL))
-    assert per_row_fanout(trips) == (9368, 6000)  # FIXTURES: sum of k^2 over pairs at sf0.001
-    hot = trips.withColumn("pickup_datetime", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")).withColumn(
-        "dropoff_datetime", F.lit("2024-01-01 00:10:00").cast("timestamp_ntz"))
-    import pytest
-
-    with pytest.raises(FanOutError):
-        FT.build_star(hot, grain="per_row", stage_input=False)
+    few = FT.build_star(trips, stage_input=False)
+    many = FT.build_star(trips, grain="per_row", stage_input=False)
+    fact = FT.weigh(few.fact, few.datetime, trips)
+    assert fact.agg(F.sum("weight")).first()[0] == many.fact.count()
+    for make, dim in ((M.hourly, "datetime"), (M.daily, "datetime"), (M.payment, "payment"), (M.popular_locations, "location"),
+                      (M.payment_distribution, "payment")):
+        assert _same(make(fact, getattr(few, dim)), make(many.fact, getattr(many, dim)))
+    assert _same(M.summary(fact), M.summary(many.fact))
+    plan = M.hourly(fact, few.datetime)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "CartesianProduct" not in plan
+
+
+def test_pairs_that_are_dropped_do_not_stop_the_per_row_build(spark):
+    """Many trips without times: they have no fact, and k * k of the others do."""
+    trips = trips_from_tables(spark, SF_SMALL).where("passenger_count is not null").limit(2)
+    one = trips.limit(1)
+    good = one.unionAll(one)
+    bad = one.withColumn("pickup_datetime", F.lit(None).cast("timestamp_ntz")).crossJoin(spark.range(30)).drop("id")
+    assert FT.build_star(good.unionAll(bad), grain="per_row").fact.count() == 4
+
+
+def test_scratch_scopes_of_two_threads_are_apart(spark):
+    import threading
+
+    from starmart.checkpoint import app_root, materialize, scratch_scope
+
+    inside, release, seen = threading.Event(), threading.Event(), {}
+
+    def other():
+        with scratch_scope(spark):
+            seen["other"] = app_root(spark)
+            inside.set()
+            release.wait(60)
+
+    t = threading.Thread(target=other)
+    t.start()
+    assert inside.wait(60)
+    with scratch_scope(spark) as folder:
+        kept = materialize(spark.range(5), "mine")
+        assert app_root(spark) == folder != seen["other"]
+        release.set()
+        t.join()
+        assert app_root(spark) == folder and kept.count() == 5

@@ -151,17 +151,11 @@ def test_export_all_policies(spark, hand):
         export_all(marts, _scratch(), on_error="raise")
 
 
-def test_stage_spreads_only_small_inputs(spark, hand):
+def test_stage_deals_out_only_when_told(spark, hand):
     from starmart.sources.staging import stage
 
     d = _scratch()
     hand.coalesce(1).write.parquet(f"{d}/one")
     one = spark.read.parquet(f"{d}/one")
-    assert len(stage(one).inputFiles()) > 1  # small, one file: spread over the task slots
-    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    try:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", "16")  # now "large" for this cluster
-        # written as it is (no round-robin shuffle over the task slots)
-        assert len(stage(one).inputFiles()) < spark.sparkContext.defaultParallelism
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert len(stage(one).inputFiles()) == 1
+    assert len(stage(one, partitions=3).inputFiles()) == 3

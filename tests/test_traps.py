@@ -81,17 +81,33 @@ def test_nan_codes_become_null_members(spark):
     assert r.passenger_count is None and r.payment_type is None
 
 
-def test_both_exact_median_paths_agree(spark, monkeypatch):
+def test_exact_median_matches_pandas(spark):
     import starmart.operators.profile as P
 
-    df = spark.range(0, 2000).select(((F.col("id") * 7919) % 1000).cast("double").alias("x"),
-                                     (F.col("id") % 7).alias("k"))
-    buffered = {r["column"]: r.median for r in P.profile(df).collect()}
-    monkeypatch.setattr(P, "MEDIAN_BUFFER_ROWS", 10)
-    ranked = {r["column"]: r.median for r in P.profile(df).collect()}
-    assert buffered == ranked
+    df = spark.range(0, 2000).select(((F.col("id") * 7919) % 1000).cast("double").alias("x"), (F.col("id") % 7).alias("k"),
+                                     F.when(F.col("id") % 3 == 0, F.col("id")).alias("gaps"), F.lit("t").alias("text"))
+    got = {r["column"]: r for r in P.profile(df).collect()}
     pdf = df.toPandas()  # small, test only
-    assert buffered == {c: float(pdf[c].median()) for c in pdf.columns}
+    for c in ("x", "k", "gaps"):
+        assert got[c]["median"] == float(pdf[c].median()) and got[c]["null_count"] == int(pdf[c].isna().sum())
+    assert got["text"]["median"] is None and got["text"]["row_count"] == 2000
+    both = P.profiles({"a": df, "b": df.where("false")}).collect()
+    assert {(r["table"], r["row_count"]) for r in both} == {("a", 2000), ("b", 0)} and len(both) == 8
+
+
+def test_fractional_codes_are_an_error(spark, hand):
+    from starmart.sources.trips import normalize, read_trips_csv
+    from starmart.schema import TRIPS_COORD
+
+    d = tempfile.mkdtemp(prefix="starmart-test-")
+    big = hand.withColumn("payment_type", F.lit(9007199254740993))
+    big.write.option("header", True).csv(f"{d}/big")
+    assert {r.payment_type for r in read_trips_csv(spark, f"{d}/big").collect()} == {9007199254740993}
+    bad = hand.withColumn("payment_type", F.lit("2.5"))
+    bad.write.option("header", True).csv(f"{d}/bad")
+    for df in (lambda: read_trips_csv(spark, f"{d}/bad"), lambda: normalize(hand.withColumn("passenger_count", F.lit(1.7)), {}, TRIPS_COORD)):
+        with pytest.raises(Exception, match="whole number"):
+            df().collect()
 
 
 def test_csv_malformed_value_fails_the_read(spark, hand):

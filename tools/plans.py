@@ -52,11 +52,7 @@ def main() -> None:
         lines = [ln[:200] for ln in plan.splitlines()]
         out += [f"## {title}", "", "```", *lines, "```", ""]
     # The same operators as they plan when the datetime dimension is too big
-    # to broadcast (as at 100 TB): Spark's size-based broadcasts are off and
-    # the row bound is below the dimension's size.
-    import starmart.operators.joins as J
-
-    J.MAX_BROADCAST_ROWS = 10_000
+    # to broadcast (as at 100 TB): Spark's size-based broadcasts are off.
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     FT.dense_key = spy
