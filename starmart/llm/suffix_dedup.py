@@ -32,6 +32,7 @@ common prefixes across bucket borders are exact.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
@@ -42,13 +43,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.checkpoint import materialize
+from starmart.checkpoint import app_root, materialize
 from starmart.llm.common import small_batches
 
 LENGTH = 200
 GRAM = 16
 #: Bytes of contexts that one sorted run and one bucket hold, about.
-RUN_BYTES = 24 << 20
+RUN_BYTES = 40 << 20
 BUCKET_BYTES = 32 << 20
 #: Sampled contexts for each bucket, from which splitters are taken.
 SAMPLES = 40
@@ -144,15 +145,19 @@ def prefix_lengths(keys: list[bytes]) -> list[int]:
     return out
 
 
+_IDS = ("<i8", "<i4", "<i4", "<i8")  # k1, k2, anchor, known
+_LEVEL = 9
+
+
 def encode(keys: list[bytes], flags: list[int], ids: np.ndarray) -> bytes:
-    """A front-coded part of a run. ``ids``: (n, 4) longs."""
+    """A front-coded part of a run. ``ids``: (n, 4) longs, as ``_IDS`` stores them."""
     shared = prefix_lengths(keys)
     tails = [k[c:] for k, c in zip(keys, shared, strict=True)]
     body = b"".join([
         np.array([len(keys)], "<u4").tobytes(), np.array(shared, "<u2").tobytes(), np.array([len(t) for t in tails], "<u2").tobytes(),
-        np.array(flags, "u1").tobytes(), np.ascontiguousarray(ids.T, "<i8").tobytes(), *tails,
+        np.array(flags, "u1").tobytes(), *(ids[:, n].astype(kind).tobytes() for n, kind in enumerate(_IDS)), *tails,
     ])
-    return zstandard.ZstdCompressor(level=3).compress(body)
+    return zstandard.ZstdCompressor(level=_LEVEL).compress(body)
 
 
 def decode(data: bytes) -> tuple[list[bytes], list[int], list[int], np.ndarray]:
@@ -162,8 +167,11 @@ def decode(data: bytes) -> tuple[list[bytes], list[int], list[int], np.ndarray]:
     shared = np.frombuffer(body, "<u2", n, 4).tolist()
     sizes = np.frombuffer(body, "<u2", n, 4 + 2 * n).tolist()
     flags = np.frombuffer(body, "u1", n, 4 + 4 * n).tolist()
-    ids = np.frombuffer(body, "<i8", 4 * n, 4 + 5 * n).reshape(4, n).T
-    at, last, keys = 4 + 37 * n, b"", []
+    at, columns, last, keys = 4 + 5 * n, [], b"", []
+    for kind in _IDS:
+        columns.append(np.frombuffer(body, kind, n, at).astype(np.int64))
+        at += columns[-1].size * np.dtype(kind).itemsize
+    ids = np.column_stack(columns)
     for c, size in zip(shared, sizes, strict=True):
         last = last[:c] + body[at : at + size]
         keys.append(last)
@@ -260,7 +268,7 @@ SINGLE, MANY, GHOST, SETTLED = 0, 1, 2, 3  # flags of a key in a run
 BLOCK, WINDOWS, NEXT, OPEN = 0, 1, 2, 3  # kinds of rows
 
 _PART = "bucket int, kind int, payload binary"
-_ROW = "kind int, k1 long, k2 long, low int, high int, anchor int, suffix binary, before binary, known long, settled boolean"
+_ROW = "kind int, k1 long, k2 int, low int, high int, anchor int, suffix binary, before binary, known long, settled boolean"
 _NAMES = ["kind", "k1", "k2", "low", "high", "anchor", "suffix", "before", "known", "settled"]
 
 
@@ -412,6 +420,14 @@ def _merge_buckets(parts: DataFrame, buckets: int, outcome, length: int) -> Data
     return parts.repartitionById(buckets, "bucket").mapInPandas(work, _ROW)
 
 
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    """``materialize`` with a denser codec, for rows that hold much text."""
+    spark = df.sparkSession
+    path = f"{app_root(spark)}/{label}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _splitters(keys: DataFrame, buckets: int) -> list[bytes]:
     """Evenly placed keys of a sample (a few dozen rows for each bucket)."""
     have = sorted({bytes(r[0]) for r in keys.collect()})
@@ -420,7 +436,7 @@ def _splitters(keys: DataFrame, buckets: int) -> list[bytes]:
 
 def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(k1, k2, low, high): windows low..high of the document with these keys start
-    anywhere else, too; rows may overlap. ``docs``: k1, k2 (longs that tell
+    anywhere else, too; rows may overlap. ``docs``: k1, k2 (a long and an int that tell
     documents apart), data (binary, UTF-8). Rows with the same keys and data
     count as different documents."""
     spark = docs.sparkSession
@@ -451,7 +467,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     lot = F.pmod(F.xxhash64("k1", "k2", F.lit(3)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1
     splitters = _splitters(long.where(lot).select("data").mapInPandas(sampled, "key binary"), buckets)
     runs = cut_runs(splitters, rows, long.select("k1", "k2", "data"))
-    first = materialize(_merge_buckets(runs, len(splitters) + 1, _by_right, length), "suffix-right")
+    first = _stored(_merge_buckets(runs, len(splitters) + 1, _by_right, length), "suffix-right")
 
     going = first.where(F.col("kind") == NEXT)
     count, size = going.agg(F.count(F.lit(1)), F.sum(F.octet_length("suffix") + F.octet_length("before"))).first()
@@ -491,7 +507,7 @@ def _listed(going: DataFrame, still: DataFrame, length: int) -> DataFrame:
                 at = len(r.before)
                 yield pd.DataFrame({"k1": r.k1, "k2": r.k2, "low": [r.anchor - x for x in d], "window": [text[at - x : at - x + length] for x in d]})
 
-    listed = materialize(near.mapInPandas(strings, "k1 long, k2 long, low int, window binary"), "suffix-open")
+    listed = materialize(near.mapInPandas(strings, "k1 long, k2 int, low int, window binary"), "suffix-open")
     twice = listed.groupBy("window").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("window")
     return listed.join(twice, "window", "left_semi").select("k1", "k2", "low", F.col("low").alias("high"))
 
@@ -508,7 +524,7 @@ def remove_repeats(df: DataFrame, text: str = "text", doc_id: str = "doc_id", le
     kind = dict(df.dtypes)[doc_id]
     data = F.coalesce(F.col(text).cast("binary"), F.lit(b""))
     docs = df.select(F.col(doc_id).alias("doc_id"), data.alias("data")).withColumns(
-        {"k1": F.xxhash64("data"), "k2": F.xxhash64(F.lit(1), "doc_id", "data")}
+        {"k1": F.xxhash64("doc_id", "data"), "k2": F.shiftright(F.xxhash64("data", F.lit(1)), 32).cast("int")}
     )
     found = materialize(repeated_windows(docs.select("k1", "k2", "data"), length), "suffix-windows")
     spans = found.groupBy("k1", "k2").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
@@ -517,21 +533,28 @@ def remove_repeats(df: DataFrame, text: str = "text", doc_id: str = "doc_id", le
     if with_text:
         schema, names = schema + ", kept binary, removed array<array<int>>", [*names, "kept", "removed"]
 
+    def shrink(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        press = zstandard.ZstdCompressor(level=3)
+        for b in batches:
+            yield b.assign(data=[press.compress(x) for x in b["data"]])
+
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        press = zstandard.ZstdDecompressor()
         for b in batches:
             out = []
-            for ident, text_bytes, windows in zip(b["doc_id"].astype(object), b["data"], b["spans"], strict=True):
-                gone: list[tuple[int, int]] = []
-                if windows is not None:
-                    # Bytes first..last of windows low..high; touching runs are one.
-                    gone = _union([(w["low"], w["high"] + length - 1) for w in windows])
+            for ident, packed, windows in zip(b["doc_id"].astype(object), b["data"], b["spans"], strict=True):
+                whole = press.decompress(packed)
+                # Bytes first..last of windows low..high; touching runs are one.
+                gone = [] if windows is None else _union([(w["low"], w["high"] + length - 1) for w in windows])
                 at, left = 0, []
                 for i, j in gone:
-                    left.append(text_bytes[at:i])
+                    left.append(whole[at:i])
                     at = j + 1
-                kept = b"".join([*left, text_bytes[at:]])
-                row = [None if pd.isna(ident) else ident, len(text_bytes), len(text_bytes) - len(kept), len(gone), hashlib.sha256(kept).hexdigest()]
+                kept = b"".join([*left, whole[at:]])
+                row = [None if pd.isna(ident) else ident, len(whole), len(whole) - len(kept), len(gone), hashlib.sha256(kept).hexdigest()]
                 out.append(row + ([kept, [[i, j + 1] for i, j in gone]] if with_text else []))
             yield pd.DataFrame(out, columns=names)
 
-    return docs.join(spans, ["k1", "k2"], "left").select("doc_id", "data", "spans").mapInPandas(cut, schema)
+    # Texts move once, for the join with their spans, and small.
+    small = docs.select("doc_id", "k1", "k2", "data").mapInPandas(shrink, f"doc_id {kind}, k1 long, k2 int, data binary")
+    return small.join(spans, ["k1", "k2"], "left").select("doc_id", "data", "spans").mapInPandas(cut, schema)
