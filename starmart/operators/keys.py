@@ -23,6 +23,7 @@ a task re-run.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -68,7 +69,8 @@ def dense_key(
         running += counts.get(p, 0)
     position = F.col(_MID).bitwiseAND(F.lit((1 << _POS_BITS) - 1))
     if starts:
-        start = F.element_at(F.array(*[F.lit(s).cast("long") for s in starts]), (pid + 1).cast("int"))
+        # One literal for all offsets, however many partitions there are.
+        start = F.element_at(F.from_json(F.lit(json.dumps(starts)), "array<bigint>"), (pid + 1).cast("int"))
     else:
         start = F.lit(first_id).cast("long")
     return stored.select((start + position).cast("long").alias(name), *original)

@@ -32,6 +32,7 @@ def test_mart_plan_prunes_columns_and_aggregates_partially(spark):
     assert "partial_avg" in plan or "partial_count" in plan
     # The fact scan reads only what the mart needs.
     scan_schemas = [ln for ln in mart._jdf.queryExecution().toString().splitlines() if "ReadSchema" in ln]
+    assert scan_schemas
     for ln in scan_schemas:
         assert "pickup_datetime" not in ln
 
