@@ -37,7 +37,7 @@ from starmart.llm.common import fresh, small_batches
 TRAIN_DOCS = 1500
 #: Size of the code-length table. Rarer order-3 contexts are pruned to fit; they
 #: then take the row of their order-2 suffix.
-TABLE_MB = 48
+TABLE_MB = 24
 UNKNOWN = "und"
 
 _SYMBOLS = 64

@@ -38,7 +38,7 @@ from starmart.llm.common import fresh, number_within, small_batches
 SEQUENCE = 2048
 #: Words whose ids a worker remembers in each of two generations: when the young
 #: one is full, it becomes the old one, and words met again come back from there.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 120_000
 
 Pattern = tuple[tuple[tuple[int, int], ...], int]  # ((length, how many), ...), multiplicity
 
