@@ -499,13 +499,18 @@ def _listed(going: DataFrame, still: DataFrame, length: int) -> DataFrame:
     near = going.select("k1", "k2", "anchor", "suffix", "before", gram).join(ranges, "gram")
 
     def strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = ["k1", "k2", "low", "window"]
+        rows: list[tuple] = []
         for b in batches:
-            for r in b.itertuples(index=False):
-                low, high = max(r.from_d, length - len(r.suffix)), min(r.to_d, len(r.before))
-                d = list(range(low, high + 1))
-                text = r.before[::-1] + r.suffix
-                at = len(r.before)
-                yield pd.DataFrame({"k1": r.k1, "k2": r.k2, "low": [r.anchor - x for x in d], "window": [text[at - x : at - x + length] for x in d]})
+            columns = [b[c] for c in ("k1", "k2", "anchor", "suffix", "before", "from_d", "to_d")]
+            for k1, k2, anchor, suffix, before, from_d, to_d in zip(*columns, strict=True):
+                text, at = before[::-1] + suffix, len(before)
+                for d in range(max(from_d, length - len(suffix)), min(to_d, at) + 1):
+                    rows.append((k1, k2, anchor - d, text[at - d : at - d + length]))
+                if len(rows) > 10_000:
+                    yield pd.DataFrame(rows, columns=names)
+                    rows = []
+        yield pd.DataFrame(rows, columns=names)
 
     listed = materialize(near.mapInPandas(strings, "k1 long, k2 int, low int, window binary"), "suffix-open")
     twice = listed.groupBy("window").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("window")
