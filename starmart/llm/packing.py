@@ -118,6 +118,11 @@ class WordIds:
         return b"".join(map(self.known.__getitem__, words))
 
 
+    def forget(self) -> None:
+        """Give the remembered words' memory back (a worker outlives its tasks)."""
+        self.known, self.older = {}, {}
+
+
 _WORD_IDS: dict[str, WordIds] = {}
 
 
@@ -142,17 +147,20 @@ def pieces(
         if tokenizer not in _WORD_IDS:
             _WORD_IDS[tokenizer] = WordIds(tokenizer)
         words = _WORD_IDS[tokenizer]
-        for b in batches:
-            out = []
-            for row, t in enumerate(b[text]):
-                data = words.ids(t) + end
-                for k, at in enumerate(range(0, len(data), 4 * size)):
-                    part = data[at : at + 4 * size]
-                    out.append((row, k, at // 4, len(part) // 4, zlib.crc32(part), *([part] if with_ids else [])))
-            names = ["_row", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
-            x = pd.DataFrame(out, columns=names)
-            x.insert(0, doc_id, b[doc_id].to_numpy(dtype=object)[x.pop("_row").to_numpy()] if out else [])
-            yield x
+        try:
+            for b in batches:
+                out = []
+                for row, t in enumerate(b[text]):
+                    data = words.ids(t) + end
+                    for k, at in enumerate(range(0, len(data), 4 * size)):
+                        part = data[at : at + 4 * size]
+                        out.append((row, k, at // 4, len(part) // 4, zlib.crc32(part), *([part] if with_ids else [])))
+                names = ["_row", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
+                x = pd.DataFrame(out, columns=names)
+                x.insert(0, doc_id, b[doc_id].to_numpy(dtype=object)[x.pop("_row").to_numpy()] if out else [])
+                yield x
+        finally:
+            words.forget()
 
     return df.select(doc_id, text).mapInPandas(cut, schema)
 
