@@ -7,8 +7,8 @@ language ID    documents without a letter (or text) go
 near-dedup     one document of each SimHash group stays, the smallest doc_id
 secret scans   found secrets are replaced in the text
 mixing         sources are mixed to target shares (none above a third); the
-               rows come in the order of the mix, and the surplus of a source that is
-               left alone at the end, when nothing can be mixed any more, goes
+               rows come in the order of the mix, all of them: the surplus of a source
+               that is left alone at the end comes last
 packing        pieces of at most 2048 tokens with their place in a sequence
 
 A null text has no language and goes in the first stage; other nulls are kept.
@@ -69,13 +69,13 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The rows of the mix, in its order. Only keys and sources are mixed; a
+    """All rows, in the order of the mix. Only keys and sources are mixed; a
     repeated row has one place, which all its copies take."""
     keyed, key = row_key(docs)
     rows = keyed.select(*key, F.col("source").alias("source")).distinct()
-    mixed = materialize(mixing.mix(rows, block_rows=1).select(*key, "mix_phase", "mix_slot", "mix_weight"), "pipeline-mix")
+    mixed = materialize(mixing.mix(rows, block_rows=1).select(*key, "mix_slot"), "pipeline-mix")
     (slot,) = fresh(keyed, ["mix_slot"])
-    places = mixing.mixable(mixed).select(*key, F.col("mix_slot").alias(slot))
+    places = mixed.select(*key, F.col("mix_slot").alias(slot))
     return keyed.join(places, key).repartitionByRange(F.col(slot)).sortWithinPartitions(slot).select(*docs.columns)
 
 

@@ -73,6 +73,15 @@ def test_mix_stage(spark, docs_of, tmp_path):
     assert 18 <= head["hot"] <= 22
 
 
+def test_mix_stage_keeps_every_row(spark, docs_of, tmp_path):
+    rows = [(i, f"t{i}", "en", "hot") for i in range(900)] + [(1000 + i, "x", "en", None) for i in range(100)]
+    rows += [(1000, "x", "en", None), (1, "t1", "en", "hot")]
+    out = [(r["doc_id"], r["text"], r["lang"], r["source"]) for r in step(spark, docs_of, tmp_path, rows, P.mix).collect()]
+    assert Counter(out) == Counter(rows)
+    # Two sources of equal targets, the surplus last.
+    assert 85 <= sum(r[3] is None for r in out[:200]) <= 110 and {r[3] for r in out[-600:]} == {"hot"}
+
+
 def test_whole_run(spark, docs_of, tables, rows):
     sf = tables(documents=docs_of(rows).withColumn("_key", F.lit("x")))
     out = P.run(spark, sf)
