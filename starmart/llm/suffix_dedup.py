@@ -53,6 +53,8 @@ RUN_BYTES = 40 << 20
 BUCKET_BYTES = 32 << 20
 #: Sampled contexts for each bucket, from which splitters are taken.
 SAMPLES = 40
+#: Windows of a piece of text that is drawn for the first sample.
+PIECE = 1024
 
 _SLICE = 1 << 17
 _SEPARATOR, _PAD = b"\xff", b"\xfe"  # bytes that UTF-8 never has
@@ -428,6 +430,18 @@ def _stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _pieces(docs: DataFrame, share: float, length: int) -> DataFrame:
+    """About ``share`` of the bytes: pieces of ``PIECE`` windows drawn by a hash of
+    document and place, so a long document counts by its length."""
+    last = F.floor((F.octet_length("data") - length) / PIECE)
+    drawn = F.filter(
+        F.sequence(F.lit(0).cast("long"), last),
+        lambda i: F.pmod(F.xxhash64("k1", "k2", i, F.lit(3)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1,
+    )
+    x = docs.where(F.octet_length("data") >= length).select("data", F.explode(drawn).alias("piece"))
+    return x.select(F.substring("data", (F.col("piece") * PIECE + 1).cast("int"), F.lit(PIECE + length - 1)).alias("data"))
+
+
 def _splitters(keys: DataFrame, buckets: int) -> list[bytes]:
     """Evenly placed keys of a sample (a few dozen rows for each bucket)."""
     have = sorted({bytes(r[0]) for r in keys.collect()})
@@ -464,8 +478,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     # About 3.4 bytes of contexts for each byte, in pieces of 80 bytes of text.
     buckets = max(2 * cores, int(3.4 * volume) // BUCKET_BYTES + 1)
     share = min(1.0, 4 * SAMPLES * buckets * 80 / max(1, volume))
-    lot = F.pmod(F.xxhash64("k1", "k2", F.lit(3)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1
-    splitters = _splitters(long.where(lot).select("data").mapInPandas(sampled, "key binary"), buckets)
+    splitters = _splitters(_pieces(long, share, length).mapInPandas(sampled, "key binary"), buckets)
     runs = cut_runs(splitters, rows, long.select("k1", "k2", "data"))
     first = _stored(_merge_buckets(runs, len(splitters) + 1, _by_right, length), "suffix-right")
 

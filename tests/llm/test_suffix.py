@@ -1,3 +1,4 @@
+import bisect
 import hashlib
 import random
 
@@ -155,3 +156,21 @@ def test_small_buckets_and_runs(spark, monkeypatch):
     monkeypatch.setattr(S, "BUCKET_BYTES", 4000)
     texts = texts_of(11, 30)
     assert run(spark, texts, 30, 9) == brute(texts, 30)
+
+
+def test_few_long_documents_are_dealt_evenly(spark, docs_of, monkeypatch):
+    """The first sort's sample follows bytes, not documents."""
+    rng = random.Random(5)
+    texts = ["".join(rng.choices("abcdefghij ", k=600_000)) for _ in range(4)]
+    texts[0] = texts[0][:-300] + texts[3][:300]
+    docs = docs_of([(i, t, "en", "a") for i, t in enumerate(texts)])
+    seen = []
+    plain = S._splitters
+    monkeypatch.setattr(S, "_splitters", lambda keys, buckets: seen.append((keys.count(), buckets, plain(keys, buckets))) or seen[-1][2])
+    out = {r["doc_id"]: r["n_removed"] for r in S.remove_repeats(docs).collect()}
+    assert out == {0: 300, 1: 0, 2: 0, 3: 300}
+    sample, buckets, splitters = seen[0]
+    assert len(splitters) == buckets - 1 and sample <= 4 * S.SAMPLES * buckets
+    keys = [x for t in texts for _, x, _ in S.contexts(t.encode())]
+    sizes = np.bincount([bisect.bisect(splitters, k) for k in keys], minlength=buckets)
+    assert sizes.max() < 3 * sizes.mean()
