@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from starmart.operators.keys import dense_key
 from starmart.sources.adapter import trips_from_tables
 
-from conftest import SF_SMALL
+from star_data import SF_SMALL
 
 
 def test_ids_are_dense_and_follow_the_order(spark):

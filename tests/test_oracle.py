@@ -12,7 +12,7 @@ from starmart.plans.oracle_sql import PROFILE_SQL
 from starmart.plans.queries import QUERIES as STAR_QUERIES
 from tools.compare import duck, rows_of
 
-from conftest import SF_SMALL
+from star_data import SF_SMALL
 
 # The star's queries; other registered ones have tests of their own.
 QUERIES = {k: v for k, v in E.queries().items() if k in STAR_QUERIES}

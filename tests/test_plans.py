@@ -8,7 +8,7 @@ from starmart.operators import marts as M
 from starmart.operators.joins import lookup_join
 from starmart.plans.queries import star, _trips
 
-from conftest import SF_SMALL
+from star_data import SF_SMALL
 
 
 def _plan(df) -> str:

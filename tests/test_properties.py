@@ -12,7 +12,7 @@ from starmart.operators.keys import dense_key
 from starmart.sources.adapter import trips_from_tables
 from starmart.sources.staging import stage
 
-from conftest import SF_SMALL
+from star_data import SF_SMALL
 
 
 def _same(a, b):
