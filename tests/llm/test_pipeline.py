@@ -67,8 +67,7 @@ def test_mix_stage(spark, docs_of, tmp_path):
     rows += [(1000, "x", "en", "b")]
     out = step(spark, docs_of, tmp_path, rows, P.mix)
     n = Counter(r["source"] for r in out.collect())
-    assert (n["b"], n["c"], n["d"]) == (41, 40, 40)
-    assert 50 <= n["hot"] <= 70  # a third of the mix; what is left of the one source goes
+    assert (n["b"], n["c"], n["d"], n["hot"]) == (41, 40, 40, 300)
     head = Counter(r["source"] for r in out.limit(60).collect())
     assert 18 <= head["hot"] <= 22
 
