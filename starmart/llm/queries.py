@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.llm import ann, fingerprints, langid, mixing, packing, secret_scan
+from starmart.llm.collocations import collocations
 from starmart.llm.common import table
 from starmart.llm.licenses import scan_licenses
 from starmart.llm.sharding import shuffle_shards
@@ -104,6 +105,11 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2000 best phrases that occur 100 times or more."""
+    return collocations(table(spark, sf_dir, "documents").select("text", "lang"), least=100, best=2000)
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_packing": op2_packing,
@@ -115,6 +121,40 @@ QUERIES = {
     "op8_ann": op8_ann,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_langid": op10_langid,
+    "op11_collocations": op11_collocations,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op11_collocations": """
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+            FROM documents
+        ), lists AS (
+            SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS ws FROM pieces
+        ), totals AS (
+            SELECT lang, sum(len(ws))::BIGINT AS n FROM lists GROUP BY lang
+        ), places AS (
+            SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM lists
+        ), counts AS (
+            SELECT lang, array_to_string(ws[i:i + k - 1], ' ') AS phrase, k AS words, count(*) AS a
+            FROM places, range(1, 6) AS ks(k) WHERE i + k - 1 <= len(ws)
+            GROUP BY ALL HAVING count(*) >= 100
+        ), cuts AS (
+            SELECT c.lang, c.phrase, c.a, k, h.a AS l, t.a AS r, n,
+                (1000::HUGEINT * c.a * n) // (h.a::HUGEINT * t.a) AS score
+            FROM counts c JOIN range(1, 5) AS ks(k) ON k < c.words JOIN totals USING (lang)
+            JOIN counts h ON h.lang = c.lang AND h.phrase = array_to_string(string_split(c.phrase, ' ')[:k], ' ')
+            JOIN counts t ON t.lang = c.lang AND t.phrase = array_to_string(string_split(c.phrase, ' ')[k + 1:], ' ')
+        ), lowest AS (
+            SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+        ), kept AS (
+            SELECT * FROM lowest s WHERE NOT EXISTS (
+                SELECT 1 FROM counts b WHERE b.lang = s.lang AND b.phrase <> s.phrase AND 100 * b.a >= 100 * s.a
+                AND contains(' ' || b.phrase || ' ', ' ' || s.phrase || ' '))
+        )
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+            phrase, a, l, r, n, score::BIGINT AS score
+        FROM kept QUALIFY rank <= 2000
+    """,
+}
