@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from starmart.llm import ann, fingerprints, langid, mixing, packing, secret_scan
 from starmart.llm.collocations import collocations
 from starmart.llm.common import table
+from starmart.llm.hard_negatives import hard_negatives
 from starmart.llm.licenses import scan_licenses
 from starmart.llm.sharding import shuffle_shards
 from starmart.llm.simhash import hex64, simhash_groups
 from starmart.llm.suffix_dedup import remove_repeats
+from starmart.llm.token_counts import count_tokens
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,6 +112,29 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents").select("text", "lang"), least=100, best=2000)
 
 
+def byte_tokenizer() -> str:
+    """Where this machine has the public tokenizer the counting contract names."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tokens of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return count_tokens(docs, byte_tokenizer()).select(
+        "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "n_tokens",
+        (F.col("n_tokens") > 512).alias("over_limit"),
+    )
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives for the first 5 positives of every hundredth vector."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label"))
+    return hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_packing": op2_packing,
@@ -122,6 +147,8 @@ QUERIES = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_langid": op10_langid,
     "op11_collocations": op11_collocations,
+    "op12_token_counts": op12_token_counts,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLE: dict[str, str] = {
@@ -157,4 +184,26 @@ ORACLE: dict[str, str] = {
             phrase, a, l, r, n, score::BIGINT AS score
         FROM kept QUALIFY rank <= 2000
     """,
+    "op13_hard_negatives": """
+        WITH fine AS (
+            SELECT * FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), whole AS (
+            SELECT DISTINCT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM fine
+        ), scores AS (
+            SELECT a.id AS anchor_id, b.id AS id, a.label = b.label AS same,
+                list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2]))::BIGINT AS score
+            FROM whole a JOIN whole b ON a.id % 100 = 0 AND len(a.v) = len(b.v)
+        ), positives AS (
+            SELECT anchor_id, id AS positive_id, score AS positive_score FROM scores WHERE same AND id <> anchor_id
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+        )
+        SELECT anchor_id, positive_id,
+            row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)::INTEGER AS rank,
+            id AS negative_id, positive_score, score AS negative_score
+        FROM positives JOIN scores USING (anchor_id)
+        WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+        QUALIFY rank <= 5
+    """,
 }
