@@ -3,19 +3,19 @@
 Every word begins one window: itself and the (at most 4) words after it in its
 piece. Sorted in prefix order, the windows that begin with a phrase stand
 together, so one pass over the sorted stream adds up the counts of all phrases
-of 1 to 5 words at once: a run of rows with the same first k words is the
-phrase of those k words. That is the only exchange of data-sized streams.
-
-1. *Words* are counted, in tasks first. A phrase is at least as rare as its
-   rarest word, so words under ``least`` end every window that meets them.
-   Which words those are is told by a bitmap of fixed size (``BITS``) of the
-   frequent words' hashes; an accident leaves a window longer than need be and
-   changes no count.
-2. *Windows* are cut from the bytes of a few MB of text at a time, equal ones
-   counted there, range-partitioned and sorted in prefix order.
+of 3 to 5 words at once: a run of rows with the same first k words is the
+phrase of those k words.
+
+1. *Words* and then *pairs* of neighbours are counted, in tasks first. A phrase is
+   at least as rare as its rarest pair, so a pair under ``least`` ends every window that
+   meets it, as a word under ``least`` ends every pair. Which words or pairs are frequent
+   is told by a bitmap of fixed size (``BITS``) of their hashes; an accident
+   leaves a window longer than need be and changes no count.
+2. *Windows* of 3 words or more are cut from the bytes of a few MB of text at a time, equal ones
+   counted there, stored, range-partitioned and sorted in prefix order.
 3. A *pass* over each sorted partition closes the runs. A run that touches the
    partition's first or last row may go on in the next one, so its part of the count is
-   passed on whatever its size (at most 10 rows a partition); the others need
+   passed on whatever its size (at most 6 rows a partition); the others need
    ``least`` occurrences. Equal phrases are then added up.
 4. The counts that are left are kept as two streams, one in the order of the
    phrases' first parts and one in that of their last parts, and both are
@@ -53,12 +53,14 @@ LONGEST = 5
 BITS = 1 << 25
 #: Bytes of text cut into windows at a time, and windows gathered at a time.
 BLOCK = 6 << 20
-GATHER = 1 << 19
+GATHER = 1 << 18
 #: Rows of the sorted stream looked at together, and bytes of neighbours compared at once.
 ROWS = 1 << 16
 WIDE = 48
 
 _KEY = "key binary, n long"
+_PHRASES = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32()), ("n", pa.int64())])
+_PHRASE = "lang string, phrase string, words int, n long"
 _SWAP = bytes.maketrans(b"\x00\x20", b"\x20\x00")
 _BREAK = re.compile(rb"[.,;:!?\x0a-\x0d]")
 
@@ -151,8 +153,28 @@ def _gathered(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> pa.Arr
 def _tallied(head: bytes, strings: pa.Array) -> pa.RecordBatch:
     """Equal strings once, with their counts, ``head`` put before each."""
     got = pc.value_counts(strings)
-    keys = pc.binary_join_element_wise(pa.scalar(head, pa.large_binary()), got.field(0), pa.scalar(b"\x00", pa.large_binary()))
-    return pa.RecordBatch.from_arrays([keys.cast(pa.binary()), got.field(1).cast(pa.int64())], names=["key", "n"])
+    return _keyed(head, got.field(0), got.field(1))
+
+
+def _keyed(head: bytes, strings: pa.Array, n) -> pa.RecordBatch:
+    keys = pc.binary_join_element_wise(pa.scalar(head, pa.large_binary()), strings, pa.scalar(b"\x00", pa.large_binary()))
+    return pa.RecordBatch.from_arrays([keys.cast(pa.binary()), pa.array(n).cast(pa.int64())], names=["key", "n"])
+
+
+def _told(found: list[tuple[bytes, int, int]]) -> pa.RecordBatch:
+    """Keys, with their words and counts, as phrases of a label."""
+    cols = ([], [], [], [])
+    for key, words, n in found:
+        lang, _, phrase = key.partition(b"\x00")
+        for c, x in zip(cols, (_unescaped(lang), phrase.translate(_SWAP).decode(), words, n), strict=True):
+            c.append(x)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _PHRASES.types, strict=True)], schema=_PHRASES)
+
+
+def _as_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counted words or pairs as phrases."""
+    for b in batches:
+        yield _told([(k, k.count(b"\x00"), n) for k, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)])
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,32 +187,82 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([head], pa.binary()), pa.array([len(at) - 1], pa.int64())], names=["key", "n"])
 
 
-def _windows(bitmap: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts to counted windows of frequent words."""
+def _hash(head: bytes, words: list[bytes]) -> np.ndarray:
+    """A 64-bit number for each word of a label."""
+    head += b"\x00"
+    return np.array([xxhash.xxh64_intdigest(head + w, 42) for w in words], dtype=np.uint64)
+
+
+def _pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """One for each pair, from those of its words."""
+    x = (a ^ (b * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(29))
+
+
+def _known(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    bit = (hashes % np.uint64(BITS)).astype(np.int64)
+    return ((bitmap[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1).astype(bool)
+
+
+def _count_pairs(bitmap: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(label and pair, count) of neighbours in a piece that are both frequent."""
+    for lang, block in _blocks(batches):
+        data, at, piece = _words(block)
+        if len(at) < 3:
+            continue
+        head = _escaped(lang)
+        coded = _gathered(data, at[:-1], np.diff(at) - 1).dictionary_encode()
+        code, words = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        fine = _known(bitmap, _hash(head, words))[code]
+        first = np.flatnonzero(fine[:-1] & fine[1:] & (piece[1:] == piece[:-1]))
+        both, where, n = np.unique(code[first].astype(np.int64) * len(words) + code[first + 1], return_index=True, return_counts=True)
+        first = first[where]
+        for i in range(0, len(both), GATHER):
+            some = first[i : i + GATHER]
+            yield _keyed(head, _gathered(data, at[some], at[some + 2] - 1 - at[some]), n[i : i + GATHER])
 
-    def frequent(head: bytes, words: pa.Array) -> np.ndarray:
-        coded = words.dictionary_encode()
-        head += b"\x00"
-        hashes = np.array([xxhash.xxh64_intdigest(head + w, 42) % BITS for w in coded.dictionary.to_pylist()], dtype=np.int64)
-        known = (bitmap[hashes >> 3] >> (hashes & 7).astype(np.uint8)) & 1
-        return known.astype(bool)[coded.indices.to_numpy()]
 
+def _windows(bitmap: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(label and window, count) of windows of 3 words or more, ended by the first pair that
+    isn't frequent."""
     for lang, block in _blocks(batches):
         data, at, piece = _words(block)
         n = len(at) - 1
-        if not n:
+        if n < 3:
             continue
         head = _escaped(lang)
-        fine = frequent(head, _gathered(data, at[:-1], np.diff(at) - 1))
-        # For each word, the first one at which its window must have ended.
+        coded = _gathered(data, at[:-1], np.diff(at) - 1).dictionary_encode()
+        each = _hash(head, coded.dictionary.to_pylist())[coded.indices.to_numpy()]
         index = np.arange(n, dtype=np.int64)
-        stop = np.where(fine, n, index)
-        stop[:-1] = np.where(fine[:-1] & (piece[1:] != piece[:-1]), index[1:], stop[:-1])
+        # For each word, the first one at which its window must have ended.
+        stop = index + 1
+        stop[:-1][_known(bitmap, _pair_hash(each[:-1], each[1:])) & (piece[1:] == piece[:-1])] = n
         end = np.minimum(np.minimum.accumulate(stop[::-1])[::-1], index + LONGEST)
-        start, end = index[fine], end[fine]
+        start = np.flatnonzero(end - index >= 3)
         for i in range(0, len(start), GATHER):
-            first = at[start[i : i + GATHER]]
-            yield _tallied(head, _gathered(data, first, at[end[i : i + GATHER]] - 1 - first))
+            some = start[i : i + GATHER]
+            yield _tallied(head, _gathered(data, at[some], at[end[some]] - 1 - at[some]))
+
+
+def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bit of each key's word or pair of words."""
+    for b in batches:
+        out = []
+        for key in b.column(0).to_pylist():
+            head, *words = key.split(b"\x00")
+            each = _hash(head, words)
+            out.append(int((each[0] if len(words) == 1 else _pair_hash(each[:1], each[1:])[0]) % np.uint64(BITS)))
+        yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], names=["bit"])
+
+
+def _bitmap(known: DataFrame) -> np.ndarray:
+    """The bitmap of all keys of ``known``: ``BITS`` / 8 bytes come to the driver at most."""
+    bits = known.select("key").mapInArrow(_bits, "bit long").select((F.col("bit") + 1).alias("bit"))
+    parts = bits.groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
+    out = np.zeros(BITS // 8, dtype=np.uint8)
+    for r in parts.toLocalIterator():
+        out[(r["bucket"] - 1) * 4096 : r["bucket"] * 4096] = np.frombuffer(r["bits"], dtype=np.uint8)
+    return out
 
 
 def _agreement(data: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -213,16 +285,6 @@ def _agreement(data: np.ndarray, off: np.ndarray) -> np.ndarray:
 
 def _phrase_counts(least: int):
     """The pass over a sorted partition: runs of equal first words become counts."""
-    schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32()), ("n", pa.int64())])
-
-    def told(found: list[tuple[bytes, int, int]]) -> pa.RecordBatch:
-        cols = ([], [], [], [])
-        for key, words, n in found:
-            lang, _, phrase = key.partition(b"\x00")
-            for c, x in zip(cols, (_unescaped(lang), phrase.translate(_SWAP).decode(), words, n), strict=True):
-                c.append(x)
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, schema.types, strict=True)], schema=schema)
-
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # For k words: the run that is open (its key, its count, whether it began with the partition's first row).
         runs: list[tuple[bytes, int, bool] | None] = [None] * (LONGEST + 1)
@@ -238,7 +300,7 @@ def _phrase_counts(least: int):
             before = np.searchsorted(seps, off)
             words = np.diff(before)
             found: list[tuple[bytes, int, int]] = []
-            for k in range(1, LONGEST + 1):
+            for k in range(3, LONGEST + 1):
                 have = words >= k
                 # Where the first k words end: at the separator after them, or with the row.
                 nth = np.minimum(before[:-1] + k, max(len(seps) - 1, 0))
@@ -265,10 +327,10 @@ def _phrase_counts(least: int):
                 found += [(key_of(starts[j]), k, int(sums[j])) for j in np.flatnonzero(told_of)]
             begun = True
             if found:
-                yield told(found)
+                yield _told(found)
         last = [(r[0], k, r[1]) for k, r in enumerate(runs) if r is not None]
         if last:
-            yield told(last)
+            yield _told(last)
 
     return scan
 
@@ -295,29 +357,25 @@ def phrase_counts(docs: DataFrame, least: int, text: str = "text", lang: str = "
     texts = docs.where(F.col(text).isNotNull()).select(
         F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("text")
     )
-    zero = F.lit(b"\x00")
+    alone = F.position(F.lit(b"\x00"), "key") == 0
+    spark = docs.sparkSession
     counted = texts.mapInArrow(_count_words, _KEY).groupBy("key").agg(F.sum("n").alias("n"))
-    alone = F.position(zero, "key") == 0
-    known = materialize(counted.where(alone | (F.col("n") >= least)), "phrase-words")
-    hashed = F.pmod(F.xxhash64("key"), F.lit(BITS))
-    # Spark's hash is signed: its remainder equals that of the unsigned one, BITS being a power of two.
-    whole = known.where(~alone).select((hashed + 1).alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")
-    )
-    bitmap = np.zeros(BITS // 8, dtype=np.uint8)
-    for r in whole.toLocalIterator():
-        bitmap[(r["bucket"] - 1) * 4096 : r["bucket"] * 4096] = np.frombuffer(r["bits"], dtype=np.uint8)
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
-    stream = texts.mapInArrow(lambda batches: _windows(shared.value, batches), _KEY)
+    words = materialize(counted.where(alone | (F.col("n") >= least)), "phrase-words")
+    told = spark.sparkContext.broadcast(_bitmap(words.where(~alone)))
+    counted = texts.mapInArrow(lambda b: _count_pairs(told.value, b), _KEY).groupBy("key").agg(F.sum("n").alias("n"))
+    pairs = materialize(counted.where(F.col("n") >= least), "phrase-pairs")
+    chained = spark.sparkContext.broadcast(_bitmap(pairs))
+    stream = materialize(texts.mapInArrow(lambda b: _windows(chained.value, b), _KEY), "phrase-windows")
     ordered = stream.repartitionByRange("key").sortWithinPartitions("key")
-    parts = ordered.mapInArrow(_phrase_counts(least), "lang string, phrase string, words int, n long")
-    counts = parts.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    longer = ordered.mapInArrow(_phrase_counts(least), _PHRASE).groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
+    shorter = words.where(~alone).unionAll(pairs).mapInArrow(_as_phrases, _PHRASE)
+    counts = shorter.unionByName(longer.where(F.col("n") >= least))
 
     @F.pandas_udf("string")
     def label(keys: pd.Series) -> pd.Series:
         return keys.map(_unescaped)
 
-    totals = known.where(alone).select(label("key").alias("lang"), F.col("n").alias("total"))
+    totals = words.where(alone).select(label("key").alias("lang"), F.col("n").alias("total"))
     return materialize(counts, "phrase-counts"), totals
 
 

@@ -4,7 +4,6 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
-import xxhash
 from pyspark.sql import functions as F
 from starmart.llm import collocations as C
 from starmart.llm.queries import ORACLE, op11_collocations
@@ -72,7 +71,7 @@ def test_runs_over_blocks_tables_and_partitions(monkeypatch):
     for _, text, lang, _ in some:
         for piece in re.split("[.]", text):
             w = piece.split()
-            want.update((lang or "und", " ".join(w[i : i + k]), k) for k in range(1, 6) for i in range(len(w) - k + 1))
+            want.update((lang or "und", " ".join(w[i : i + k]), k) for k in range(3, 6) for i in range(len(w) - k + 1))
     want = {k: n for k, n in want.items() if n >= 5}
     for size in (1, 13, 500, len(stream)):
         got, told = Counter(), 0
@@ -89,14 +88,25 @@ def test_runs_over_blocks_tables_and_partitions(monkeypatch):
     assert told <= len(want) + 10
 
 
-def test_words_under_the_threshold_end_windows():
-    docs = pa.RecordBatch.from_arrays([pa.array(["en"]), pa.array(["a b rare c d, a"])], names=["lang", "text"])
-    bitmap = np.zeros(C.BITS // 8, dtype=np.uint8)
-    for w in b"abcd":
-        h = xxhash.xxh64_intdigest(b"en\x00" + bytes([w]), 42) % C.BITS
-        bitmap[h >> 3] |= 1 << (h & 7)
-    got = {k: n for b in C._windows(bitmap, iter([docs])) for k, n in zip(b[0].to_pylist(), b[1].to_pylist(), strict=True)}
-    assert got == {b"en\x00a\x00b": 1, b"en\x00b": 1, b"en\x00c\x00d": 1, b"en\x00d": 1, b"en\x00a": 1}
+def _bitmap_of(keys):
+    out = np.zeros(C.BITS // 8, dtype=np.uint8)
+    batch = pa.RecordBatch.from_arrays([pa.array(keys, pa.binary())], names=["key"])
+    for bit in next(C._bits(iter([batch])))[0].to_pylist():
+        out[bit >> 3] |= 1 << (bit & 7)
+    return out
+
+
+def _read(batches):
+    return {k: n for b in batches for k, n in zip(b[0].to_pylist(), b[1].to_pylist(), strict=True)}
+
+
+def test_what_is_rare_ends_pairs_and_windows():
+    docs = pa.RecordBatch.from_arrays([pa.array(["en"]), pa.array(["a b rare c d a b c, a b c d"])], names=["lang", "text"])
+    words = _bitmap_of([b"en\x00" + bytes([w]) for w in b"abcd"])
+    assert _read(C._count_pairs(words, iter([docs]))) == {
+        b"en\x00a\x00b": 3, b"en\x00c\x00d": 2, b"en\x00d\x00a": 1, b"en\x00b\x00c": 2}
+    pairs = _bitmap_of([b"en\x00a\x00b", b"en\x00b\x00c", b"en\x00d\x00a", b"fr\x00c\x00d"])
+    assert _read(C._windows(pairs, iter([docs]))) == {b"en\x00d\x00a\x00b\x00c": 1, b"en\x00a\x00b\x00c": 2}
 
 
 def test_scores_pass_64_bits(spark):
