@@ -79,11 +79,51 @@ def _csv_read_schema(header: list[str], schema: T.StructType) -> T.StructType:
     return T.StructType(fields)
 
 
+def parquet_schemas(spark: SparkSession, paths: Sequence[str]) -> list[tuple[T.StructType, list[str]]]:
+    """The paths by schema, as few groups as they need: files whose schemas merge
+    (columns that only some have, say) are one group, with the merged schema.
+
+    The footers of a whole group are merged by one distributed job. Where types
+    differ Spark refuses, and the group is halved: with a few changes of type in a long
+    series of months that takes a few jobs a change, not one a file. Groups that turn out
+    to have equal types are put together again, wherever they stood.
+    """
+    found: dict[str, tuple[T.StructType, list[str]]] = {}
+
+    def types_of(schema: T.StructType) -> dict[str, T.DataType]:
+        return {f.name: f.dataType for f in schema.fields}
+
+    def group(some: list[str]) -> None:
+        try:
+            schema = spark.read.option("mergeSchema", True).parquet(*some).schema
+        except Exception as e:  # raised in a task, so its condition is only in the text
+            if len(some) == 1 or "[CANNOT_MERGE" not in str(e):
+                raise
+            group(some[: len(some) // 2])
+            group(some[len(some) // 2 :])
+            return
+        mine = types_of(schema)
+        for k, (other, held) in found.items():
+            theirs = types_of(other)
+            if all(theirs.get(name, kind) == kind for name, kind in mine.items()):
+                merged = T.StructType([*other.fields, *[f for f in schema.fields if f.name not in theirs]])
+                found[k] = (merged, held + some)
+                return
+        found[str(len(found))] = (schema, list(some))
+
+    group(list(paths))
+    return list(found.values())
+
+
 def read_trips_parquet(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Read one or more Parquet files (months) as one DataFrame, by name."""
-    if isinstance(paths, str):
-        paths = [paths]
-    return union_months([spark.read.parquet(p) for p in paths])
+    """Read Parquet files or folders (months) as one DataFrame, by name: one scan
+    for each distinct set of column types, however many paths there are. A
+    column that a file lacks is NULL there; where types differ (whole numbers in one month,
+    doubles in another), the wider one holds, and ``normalize`` gives columns their declared types."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    if not paths:
+        raise ValueError("read_trips_parquet needs at least one path")
+    return union_months([spark.read.schema(schema).parquet(*some) for schema, some in parquet_schemas(spark, paths)])
 
 
 def union_months(frames: Sequence[DataFrame]) -> DataFrame:
