@@ -48,6 +48,14 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def read_from_files(df: DataFrame) -> bool:
+    """Whether ``df`` is a scan of files with at most projections and filters on it:
+    reading it again costs no more, and gives each task's rows in the same order."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    costly = ("Exchange", "Sort", "Join", "Aggregate", "Python", "Pandas", "Arrow", "Generate", "Expand", "ExistingRDD", "LocalTableScan")
+    return "FileScan" in plan and not any(x in plan for x in costly)
+
+
 def _delete(spark: SparkSession, folder: str) -> bool:
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(folder)
