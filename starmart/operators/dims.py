@@ -23,7 +23,7 @@ from starmart.schema import COORD_COLUMNS
 _PAIR = ["pickup_datetime", "dropoff_datetime"]
 
 
-def _check_grain(grain: str) -> None:
+def check_grain(grain: str) -> None:
     if grain not in ("distinct", "per_row"):
         raise ValueError(f"grain must be 'distinct' or 'per_row', not {grain!r}")
 
@@ -36,11 +36,16 @@ def datetime_dim(
     first_id: int = 1,
 ) -> DataFrame:
     """Datetime dimension keyed by the (pickup, dropoff) pair."""
-    _check_grain(grain)
+    check_grain(grain)
     base = trips.select(*_PAIR)
     if grain == "distinct":
         base = base.distinct()
     keyed = dense_key(base, _PAIR, name="datetime_id", first_id=first_id, unique=grain == "distinct")
+    return datetime_columns(keyed, week_start, dropoff_parts)
+
+
+def datetime_columns(keyed: DataFrame, week_start: str = "sunday", dropoff_parts: bool = True) -> DataFrame:
+    """The dimension's columns of numbered timestamp pairs."""
     cols = ["datetime_id", "pickup_datetime", *datetime_parts("pickup_datetime", "pickup", week_start)]
     if dropoff_parts:
         cols += ["dropoff_datetime", *datetime_parts("dropoff_datetime", "dropoff", week_start)]
@@ -49,11 +54,15 @@ def datetime_dim(
 
 def location_dim(trips: DataFrame, grain: str = "distinct", name: str = LOCATION_NAME, first_id: int = 1) -> DataFrame:
     """Location dimension keyed by the four coordinates, plus a constant name."""
-    _check_grain(grain)
+    check_grain(grain)
     base = trips.select(*COORD_COLUMNS)
     if grain == "distinct":
         base = base.distinct()
-    keyed = dense_key(base, COORD_COLUMNS, name="location_id", first_id=first_id, unique=grain == "distinct")
+    return location_columns(dense_key(base, COORD_COLUMNS, name="location_id", first_id=first_id, unique=grain == "distinct"), name)
+
+
+def location_columns(keyed: DataFrame, name: str = LOCATION_NAME) -> DataFrame:
+    """The dimension's columns of numbered coordinates."""
     return keyed.select(
         "location_id",
         *COORD_COLUMNS,
@@ -69,7 +78,11 @@ def payment_dim(trips: DataFrame, decode: bool = True, first_id: int = 1) -> Dat
     description. ``decode=False``: ``payment_name`` holds the raw code.
     """
     codes = trips.select("payment_type").distinct()
-    keyed = dense_key(codes, ["payment_type"], name="payment_id", first_id=first_id)
+    return payment_columns(dense_key(codes, ["payment_type"], name="payment_id", first_id=first_id), decode)
+
+
+def payment_columns(keyed: DataFrame, decode: bool = True) -> DataFrame:
+    """The dimension's columns of numbered payment codes."""
     if not decode:
         return keyed.select("payment_id", F.col("payment_type").alias("payment_name"))
     return keyed.select(

@@ -10,9 +10,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from starmart.checkpoint import read_from_files
 from starmart.jobs import concurrently
 from starmart.operators.joins import lookup_join
 from starmart.sources.trips import require_columns  # noqa: F401  (re-exported)
@@ -63,21 +65,53 @@ def check_non_negative(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _long_form(df, "non_negative", counts)
 
 
+def key_runs(df: DataFrame, key: str) -> DataFrame:
+    """How each part of ``df`` that one task reads of one file holds its keys:
+    ``low``, ``high``, ``n``, ``nulls`` and ``run``, whether they are consecutive in the
+    order they stand. No key is shuffled: a task sends one row for each file it reads.
+
+    Keys numbered where they stand (``dense_key``, ``number_both``) are such runs: key less
+    position is one number there.
+    """
+    place = F.monotonically_increasing_id()
+    part = df.select(
+        F.col(key).cast("long").alias("k"), place.alias("at"), F.input_file_name().alias("file"), F.spark_partition_id().alias("task")
+    )
+    step = F.col("k") - F.col("at")
+    return part.groupBy("file", "task").agg(
+        F.min("k").alias("low"), F.max("k").alias("high"), F.count("k").alias("n"), F.count_if(F.col("k").isNull()).alias("nulls"),
+        (F.min(step) == F.max(step)).alias("run"),
+    )
+
+
+def _unproven(df: DataFrame, key: str) -> DataFrame:
+    """One row: ``unproven``, false if the runs' borders show that no key repeats."""
+    # One row for each file and task that reads it: a few numbers, as many as scan tasks.
+    before = Window.orderBy("low", "high").rowsBetween(Window.unboundedPreceding, -1)
+    runs = key_runs(df, key).where("n > 0").withColumn("meets", F.coalesce(F.max("high").over(before) >= F.col("low"), F.lit(False)))
+    return runs.agg((F.count_if(F.col("meets") | ~F.col("run")) > 0).alias("unproven"))
+
+
 def check_unique(df: DataFrame, key: str, table: str | None = None) -> DataFrame:
     """Primary-key check: rows sharing a non-NULL key with an earlier row
     (``unique``) and NULL keys (``not_null``).
 
-    Grouping by the key pre-aggregates on the map side, so a key repeated by a
-    third of the table is collapsed before the shuffle.
+    Whole-number keys that were numbered where they stand are proved unique from
+    borders: consecutive inside every part of a file, and the parts' ranges disjoint. Only
+    if that proof fails (a subquery evaluated once) do keys go through a shuffle, where
+    grouping by the key pre-aggregates on the map side, so a key repeated by a
+    third of the table is collapsed before.
     """
     label = f"{table}.{key}" if table else key
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    return per_key.agg(
+    doubtful = df.select(key)
+    nulls = df.agg(F.count_if(F.col(key).isNull()).alias("_nulls"))
+    if isinstance(df.schema[key].dataType, (T.LongType, T.IntegerType)) and read_from_files(df):
+        doubtful = doubtful.where(_unproven(df, key).scalar())
+    per_key = doubtful.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return per_key.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("_repeats")).select(
         F.array(
-            F.struct(F.lit("unique").alias("check"), F.lit(label).alias("column"),
-                     F.coalesce(F.sum(F.when(F.col(key).isNotNull(), F.col("_n") - 1)), F.lit(0)).cast("long").alias("failures")),
-            F.struct(F.lit("not_null").alias("check"), F.lit(label).alias("column"),
-                     F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("_n"))), F.lit(0)).cast("long").alias("failures")),
+            F.struct(F.lit("unique").alias("check"), F.lit(label).alias("column"), F.col("_repeats").alias("failures")),
+            F.struct(F.lit("not_null").alias("check"), F.lit(label).alias("column"), nulls.scalar().cast("long").alias("failures")),
         ).alias("_r")
     ).select(F.inline("_r"))
 
