@@ -187,6 +187,63 @@ def split_datetime_rollup(rollup: DataFrame) -> tuple[DataFrame, DataFrame]:
     return hourly, daily
 
 
+# Each published mart's dimension and grouping columns.
+_GRAND = {
+    "hourly": ("datetime", _HOUR_SET),
+    "daily": ("datetime", _DAY_SET),
+    "popular_locations": ("location", ("pickup_latitude", "pickup_longitude")),
+    "payment": ("payment", ("payment_name",)),
+}
+_MEASURES = ("fare_amount", "tip_amount", "total_amount", "trip_distance", "trip_duration")
+
+
+def grand_rollup(star) -> DataFrame:
+    """All marts of a star in one scan of its facts: the joins with its dimensions
+    (left ones: a fact that one dimension lacks still counts in the others' marts),
+    then one aggregate over the grouping sets (hour), (day), (pickup place) and (payment).
+
+    ``mart`` names the set a row belongs to, ``matched`` whether its dimension had
+    the fact. Counts and sums are kept, so the averages and the report follow from them.
+    A zone star, whose locations have no coordinates, has no set for them.
+    """
+    sets = {m: (d, keys) for m, (d, keys) in _GRAND.items() if m != "popular_locations" or star.variant == "coords"}
+    j = star.fact
+    for d in dict.fromkeys(d for d, _ in sets.values()):
+        columns = [c for dim, keys in sets.values() if dim == d for c in keys]
+        dim = getattr(star, d).select(F.col(f"{d}_id").alias(f"_k_{d}"), *columns)
+        j = lookup_join(j, dim, [(f"{d}_id", f"_k_{d}")], "left").withColumn(f"_has_{d}", F.col(f"_k_{d}").isNotNull())
+    every = [c for _, keys in sets.values() for c in keys]
+    flags = list(dict.fromkeys(f"_has_{d}" for d, _ in sets.values()))
+    grouped = j.groupingSets([[f"_has_{d}", *keys] for d, keys in sets.values()], *flags, *every)
+    # A set is known by what it has rolled away.
+    name, matched = F.lit(None).cast("string"), F.lit(None).cast("boolean")
+    for m, (d, keys) in sets.items():
+        mine = F.grouping(keys[0]) == 0
+        name, matched = F.when(mine, m).otherwise(name), F.when(mine, F.col(f"_has_{d}")).otherwise(matched)
+    return grouped.agg(
+        name.alias("mart"), matched.alias("matched"), F.count(F.lit(1)).alias("n"),
+        *[F.sum(c).alias(f"{c}_sum") for c in _MEASURES], *[F.count(c).alias(f"{c}_n") for c in _MEASURES],
+    ).drop(*flags)
+
+
+def split_grand_rollup(rollup: DataFrame) -> dict[str, DataFrame]:
+    """The marts, wide form, from ``grand_rollup``."""
+    avg = lambda c, name: (F.col(f"{c}_sum") / F.col(f"{c}_n")).alias(name)
+    n = lambda name: F.col("n").alias(name)
+    fare, tip, total = avg("fare_amount", "avg_fare"), avg("tip_amount", "avg_tip"), avg("total_amount", "avg_total")
+    distance, duration = avg("trip_distance", "avg_distance"), avg("trip_duration", "avg_duration")
+    columns = {
+        "hourly": [fare, n("num_trips"), tip, total],
+        "daily": [n("num_trips"), fare, F.col("total_amount_sum").alias("total_revenue"), distance, duration],
+        "popular_locations": [n("num_pickups"), fare, distance, duration],
+        "payment": [n("num_trips"), fare, tip, total, distance],
+    }
+    return {
+        m: rollup.where((F.col("mart") == m) & F.col("matched")).select(*keys, *columns[m])
+        for m, (_, keys) in _GRAND.items() if keys[0] in rollup.columns
+    }
+
+
 def summary(fact: DataFrame) -> DataFrame:
     """One row: trips, revenue, avg distance, avg duration in minutes.
 
@@ -223,31 +280,41 @@ def summary_report(fact: DataFrame, dim_payment: DataFrame, ndigits: int = 2) ->
     The fact is scanned once: it is pre-aggregated per ``payment_id`` (counts
     and sums), names are attached by a left join (a fact whose payment has no
     dimension row still counts in the totals, as in the scalar-subquery
-    form), the few rows are grouped per name, and one final aggregate gives
-    the overall figures, the total and the records. Averages are sums over
-    counts, as ``avg`` computes them. There is one record for each payment
-    name: five at most by the decode table, whatever the dimension's size.
+    form), and the few rows are grouped per name.
     """
     per_id = fact.groupBy("payment_id").agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum("total_amount").alias("revenue"),
-        F.sum("trip_distance").alias("distance_sum"),
-        F.count("trip_distance").alias("distance_n"),
-        F.sum("trip_duration").alias("duration_sum"),
-        F.count("trip_duration").alias("duration_n"),
+        *[f(c).alias(f"{c}_{k}") for c in _REPORTED for k, f in (("sum", F.sum), ("n", F.count))],
     )
     names = dim_payment.select(F.col("payment_id").alias("_k_id"), "payment_name")
     named = lookup_join(per_id, names, [("payment_id", "_k_id")], "left").withColumn(
-        "_matched", F.col("_k_id").isNotNull()
+        "matched", F.col("_k_id").isNotNull()
     )
-    sums = ["n", "revenue", "distance_sum", "distance_n", "duration_sum", "duration_n"]
-    per_name = named.groupBy("payment_name", "_matched").agg(*[F.sum(c).alias(c) for c in sums])
+    sums = [c for c in per_id.columns if c != "payment_id"]
+    return _report(named.groupBy("payment_name", "matched").agg(*[F.sum(c).alias(c) for c in sums]), ndigits)
+
+
+def rollup_report(rollup: DataFrame, ndigits: int = 2) -> DataFrame:
+    """``summary_report`` from ``grand_rollup``: every fact is in one row of the
+    payment set, matched or not."""
+    return _report(rollup.where(F.col("mart") == "payment"), ndigits)
+
+
+_REPORTED = ("total_amount", "trip_distance", "trip_duration")
+
+
+def _report(per_name: DataFrame, ndigits: int) -> DataFrame:
+    """The report from one row per payment name (and whether it was matched): one
+    final aggregate gives the overall figures, the total and the records. Averages are
+    sums over counts, as ``avg`` computes them. There is one record for each payment
+    name: five at most by the decode table, whatever the dimension's size.
+    """
     # One row per payment name into one task.
     final = per_name.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("_total"),
-        *[F.sum(c).alias(c) for c in sums[1:]],
+        *[F.sum(f"{c}_{k}").alias(f"{c}_{k}") for c in _REPORTED for k in ("sum", "n")],
         F.collect_list(
-            F.when(F.col("_matched"), F.struct("payment_name", F.col("n").alias("trip_count")))
+            F.when(F.col("matched"), F.struct("payment_name", F.col("n").alias("trip_count")))
         ).alias("_records"),
     )
     by_count = F.array_sort(
@@ -260,9 +327,9 @@ def summary_report(fact: DataFrame, dim_payment: DataFrame, ndigits: int = 2) ->
     )
     overall = F.struct(
         F.col("_total").alias("total_trips"),
-        F.round("revenue", ndigits).alias("total_revenue"),
-        F.round(F.col("distance_sum") / F.col("distance_n"), ndigits).alias("avg_distance"),
-        F.round(F.col("duration_sum") / F.col("duration_n") / F.lit(60.0), ndigits).alias("avg_duration_minutes"),
+        F.round("total_amount_sum", ndigits).alias("total_revenue"),
+        F.round(F.col("trip_distance_sum") / F.col("trip_distance_n"), ndigits).alias("avg_distance"),
+        F.round(F.col("trip_duration_sum") / F.col("trip_duration_n") / F.lit(60.0), ndigits).alias("avg_duration_minutes"),
     ).alias("overall_stats")
     records = F.transform(
         by_count,
