@@ -4,6 +4,8 @@
     python -m starmart run --input trips.csv --out /data/taxi
     python -m starmart extract --input trips.csv --staging /data/taxi/staging
     python -m starmart build   --input /data/taxi/staging --source staged --star /data/taxi/star
+    python -m starmart build   --input jan.csv --star /data/taxi/star --versions
+    python -m starmart append  --input feb.csv --star /data/taxi/star
     python -m starmart publish --star /data/taxi/star --out /data/taxi/processed
 
 The session comes from ``SparkSession.builder.getOrCreate()``, so cluster
@@ -48,6 +50,12 @@ def _parser() -> argparse.ArgumentParser:
     bd.add_argument("--variant", choices=["coords", "zones"], default=None,
                     help="default: zones for parquet months, coords for csv; a staged table by its columns")
 
+    bd.add_argument("--versions", action="store_true", help="write the next version of a versioned star")
+
+    ap = sub.add_parser("append", help="add a batch of trips to a versioned star")
+    common(ap, star_options=False, sources=("csv", "parquet", "staged"))
+    ap.add_argument("--star", required=True)
+
     pb = sub.add_parser("publish", help="marts, profiles and report from a built star")
     pb.add_argument("--star", required=True)
     pb.add_argument("--out", required=True)
@@ -80,7 +88,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
 def _command(args: argparse.Namespace, spark: SparkSession) -> dict:
     from starmart.plans import pipeline as P
 
-    options = {} if args.command in ("extract", "publish") else {
+    options = {} if args.command in ("extract", "publish", "append") else {
         "grain": args.grain, "null_keys": args.null_keys, "buckets": args.buckets, "week_start": args.week_start,
         "duration_unit": args.duration_unit, "first_id": args.first_id, "order_ids": not args.unordered_ids, "mode": args.write_mode,
     }
@@ -90,7 +98,11 @@ def _command(args: argparse.Namespace, spark: SparkSession) -> dict:
     elif args.command == "build":
         trips = spark.read.parquet(*args.input) if args.source == "staged" else P.extract(spark, args.input, args.source).trips
         variant = args.variant or ("coords" if "pickup_latitude" in trips.columns else "zones")
-        P.build(trips, args.star, variant=variant, stage_input=False, **options)
+        P.build(trips, args.star, variant=variant, stage_input=False, versions=args.versions, **options)
+        result = {"star": args.star}
+    elif args.command == "append":
+        trips = spark.read.parquet(*args.input) if args.source == "staged" else P.extract(spark, args.input, args.source).trips
+        P.append(spark, trips, args.star, stage_input=False)
         result = {"star": args.star}
     elif args.command == "publish":
         star = P.load_star(spark, args.star, args.variant)

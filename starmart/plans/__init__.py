@@ -1,5 +1,5 @@
-"""Composed entry points: extract, build_star, publish, run."""
+"""Composed entry points: extract, build, append, load_star, publish, run."""
 
-from starmart.plans.pipeline import build, extract, load_star, publish, run
+from starmart.plans.pipeline import append, build, extract, load_star, publish, run
 
-__all__ = ["build", "extract", "load_star", "publish", "run"]
+__all__ = ["append", "build", "extract", "load_star", "publish", "run"]

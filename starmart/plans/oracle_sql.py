@@ -306,6 +306,35 @@ trips AS (
     return "WITH " + ",".join([trips, _dt("distinct"), LOC, PAY, PAS, _fact("drop")])
 
 
+def _appended_star() -> str:
+    """The star of two batches: a member's id follows the first batch it is in, then its key."""
+    first = "trip_distance < 6 AND payment_type <> 3 AND coalesce(passenger_count, 0) <> 2"
+    trips = TRIPS.replace("trips AS (", "whole AS (") + f""",
+trips AS (SELECT *, CASE WHEN {first} THEN 1 ELSE 2 END AS batch FROM whole)"""
+    dims = []
+    for dim, keys in ((_dt("distinct"), "pickup_datetime, dropoff_datetime"), (LOC, ", ".join(COORDS)), (PAY, "payment_type"), (PAS, "passenger_count")):
+        members = f"(SELECT {keys}, min(batch) AS batch FROM trips GROUP BY {keys})"
+        dims.append(dim.replace(f"(SELECT DISTINCT {keys} FROM trips)", members).replace("OVER (ORDER BY ", "OVER (ORDER BY batch, "))
+    fact = _fact("drop").replace("SELECT s.pickup_datetime", "SELECT s.batch, s.pickup_datetime").replace("OVER (ORDER BY ", "OVER (ORDER BY batch, ")
+    return "WITH " + ",".join([trips, *dims, fact])
+
+
+def _zone_profiles() -> str:
+    """The zone marts' profiles as one table with the mart's published name."""
+    marts = [
+        ("vw_hourly_fares", MART_HOURLY, [("pickup_hour", "int"), ("avg_fare", "double"), ("num_trips", "int"), ("avg_tip", "double"), ("avg_total", "double")]),
+        ("vw_payment_analysis", MART_PAYMENT, [("payment_name", "int"), ("num_trips", "int"), ("avg_fare", "double"),
+                                               ("avg_tip", "double"), ("avg_total", "double"), ("avg_distance", "double")]),
+        ("vw_daily_stats", MART_DAILY, _PROFILE_DAILY),
+    ]
+    ctes, selects = [], []
+    for name, mart, cols in marts:
+        rows = _profile("", cols).split("m AS ()\n")[1]
+        ctes.append(f"{name} AS ({_zone_mart(mart)})")
+        selects.append(f"SELECT '{name}' AS mart, p.* FROM ({rows.replace(' FROM m', f' FROM {name}')}) p")
+    return ZONE_STAR + ",\n" + ",\n".join(ctes) + "\n" + _union(selects)
+
+
 def _positioned(mart: str, order: str) -> str:
     return star_with() + f", m AS ({mart})\nSELECT *, CAST(ROW_NUMBER() OVER (ORDER BY {order}) - 1 AS BIGINT) AS pos FROM m"
 
@@ -375,6 +404,21 @@ FROM d""",
     "trips_parquet_months": _zone_trips_union(),
     "trips_nan_codes": _zone_trips_union(),
     "fact_half_seconds": _half_second_star() + "\nSELECT * FROM fact",
+    "fact_half_seconds_double": _half_second_star().replace("CAST(round_even(", "(").replace(", 0) AS INTEGER) AS trip_duration", ") AS trip_duration")
+    + "\nSELECT * FROM fact",
+    "appended_fact": _appended_star() + "\nSELECT * FROM fact",
+    "appended_dim_datetime": _appended_star() + "\nSELECT * FROM dt",
+    "appended_dim_location": _appended_star() + "\nSELECT * FROM loc",
+    "appended_dim_payment": _appended_star() + "\nSELECT * FROM pay",
+    "appended_dim_passenger": _appended_star() + "\nSELECT * FROM pas",
+    "staged_count": "WITH " + TRIPS + "\nSELECT count(*) AS reported, count(*) AS stored FROM trips",
+    "run_zones_fact": ZONE_STAR + "\nSELECT * FROM zfact",
+    "published_skipping": star_with() + f"""
+SELECT 'vw_hourly_fares' AS mart, 'ok' AS status, (SELECT count(*) FROM ({MART_HOURLY}) m) AS "rows"
+UNION ALL SELECT 'vw_popular_locations', 'ok', (SELECT count(*) FROM ({MART_LOCATIONS}) m)
+UNION ALL SELECT 'vw_payment_analysis', 'error', 0
+UNION ALL SELECT 'vw_daily_stats', 'ok', (SELECT count(*) FROM ({MART_DAILY}) m)
+UNION ALL SELECT 'summary_report', 'error', 0""",
     "built_fact": star_with() + "\nSELECT * FROM fact",
     "built_dim_datetime": star_with() + "\nSELECT * FROM dt",
     "built_dim_payment": star_with() + "\nSELECT * FROM pay",
@@ -405,8 +449,8 @@ PROFILE_SQL: dict[str, str] = {
                                              ("avg_tip", "double"), ("avg_total", "double")]),
     "profile_daily": _profile(MART_DAILY, _PROFILE_DAILY),
     "published_profile_daily": _profile(MART_DAILY, _PROFILE_DAILY),
-    "profile_trips": _profile("SELECT * EXCLUDE (pickup_datetime, dropoff_datetime) FROM trips0",
-                              [(c, "int" if c in ("passenger_count", "payment_type") else "double") for c in STAGING[2:]])
+    "profile_trips": _profile("SELECT * FROM trips0", [
+        (c, "text" if c.endswith("datetime") else "int" if c in ("passenger_count", "payment_type") else "double") for c in STAGING])
     .replace("FROM trips0", "FROM (SELECT " + ", ".join(STAGING) + " FROM trips)"),
     "profile_locations": _profile(MART_LOCATIONS, [("pickup_latitude", "double"), ("pickup_longitude", "double"),
                                                    ("num_pickups", "int"), ("avg_fare", "double"),
@@ -416,4 +460,5 @@ PROFILE_SQL: dict[str, str] = {
 }
 
 ORACLE.update(PROFILE_SQL)
+ORACLE["run_zones_profiles"] = _zone_profiles()
 ORACLE["published_report_records"] = ORACLE["summary_report_records"]

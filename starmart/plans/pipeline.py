@@ -18,9 +18,10 @@ from starmart.checkpoint import materialize, scratch_scope
 from starmart.operators import marts as M
 from starmart.operators import quality as Q
 from starmart.jobs import concurrently
-from starmart.operators.facts import Star, build_star, build_zone_star
+from starmart.operators.facts import Star, build_star, build_zone_star, resolve_batch
 from starmart.operators.profile import profile_docs
 from starmart.schema import STAR_SCHEMAS, TRIPS_COORD, conform
+from starmart.sinks import versions as V
 from starmart.sinks.writers import export_all, export_json, save, save_bucketed, save_table_with_schema
 from starmart.sources.staging import stage
 from starmart.sources.trips import normalize, read_trips_csv, read_trips_parquet
@@ -81,6 +82,7 @@ def build(
     duration_unit: str = "int",
     first_id: int | None = None,
     order_ids: bool = True,
+    versions: bool = False,
 ) -> Star:
     """Build the star; write its tables under ``out_dir`` with their declared
     schemas and re-read them; run the lane's checks (raising on failure).
@@ -93,7 +95,13 @@ def build(
     catalog tables (``table_prefix`` + name) bucketed and sorted by
     ``datetime_id``, so the marts and checks that join them on that key
     later shuffle neither side.
+
+    With ``versions`` the star becomes the next version of a versioned store (``sinks.versions``):
+    it is checked before it replaces the one before, readers see one or the other, and
+    ``append`` can add batches to it.
     """
+    if versions and (buckets or mode != "overwrite" or not out_dir):
+        raise ValueError("a versioned star needs out_dir, is not bucketed, and is appended to with append()")
     if variant == "coords":
         star = build_star(
             trips, grain=grain, null_keys=null_keys, week_start=week_start, duration_unit=duration_unit,
@@ -103,6 +111,12 @@ def build(
         if (grain, null_keys, week_start, duration_unit) != ("distinct", "drop", "sunday", "int"):
             raise ValueError("the zone star has no grain, null_keys, week_start or duration_unit to choose")
         star = build_zone_star(trips, first_id=first_id or 0, stage_input=stage_input, order_ids=order_ids)
+    if versions:
+        options = {"null_keys": null_keys, "week_start": week_start, "duration_unit": duration_unit, "order_ids": order_ids, "grain": grain}
+        before = V.version(trips.sparkSession, out_dir)
+        new = V.Version(1 + (before.number if before else 0), variant, options)
+        start = (1 if variant == "coords" else 0) if first_id is None else first_id
+        return _write_version(trips.sparkSession, out_dir, new, star, None, dict.fromkeys(star.tables(), start), check)
     if out_dir:
         spark = trips.sparkSession
         tables = {}
@@ -123,11 +137,65 @@ def build(
     return star
 
 
-def load_star(spark: SparkSession, star_dir: str, variant: str = "coords") -> Star:
-    """Read a star written by ``build`` (Parquet folders under ``star_dir``)."""
+def _write_version(
+    spark: SparkSession, root: str, new: V.Version, rows: Star, seen: Star | None, first: dict[str, int], check: bool
+) -> Star:
+    """Write the rows to new folders, check them, and only then make ``new`` visible
+    (what it has in ``folders`` before stays in front). ``seen``: the dimensions the rows' facts refer to, if not their own."""
+    tables = rows.tables()
+    folders = concurrently(*[lambda n=n, df=df: V.write_table(df, root, n, new.variant) for n, df in tables.items()])
+    written = {}
+    for name, folder in zip(tables, folders, strict=True):
+        new.folders.setdefault(name, []).append(folder)
+        written[name] = spark.read.schema(STAR_SCHEMAS[new.variant][name]).parquet(f"{root}/{folder}")
+    star = _star(written, new.variant)
+    if check:
+        whole = star if seen is None else Star(seen.datetime, seen.location, seen.payment, seen.passenger, star.fact, new.variant)
+        # A batch's ids begin where the ids before end, so its own are all that can clash.
+        Q.run_checks(checks(whole) if seen is None else [*checks(star)[:-1], Q.check_orphans(star.fact, whole.tables())]
+                     if new.variant == "coords" else checks(star))
+    for name, n in zip(tables, concurrently(*[df.count for df in written.values()]), strict=True):
+        new.next_id[name] = first[name] + n
+        new.rows[name] = new.rows.get(name, 0) + n
+    V.commit(spark, root, new)
+    return _star({name: V.read_table(spark, root, name, new) for name in tables}, new.variant)
+
+
+def append(spark: SparkSession, trips: DataFrame, star_dir: str, check: bool = True, stage_input: bool = True) -> Star:
+    """Add a batch of trips to the versioned star in ``star_dir``, as its next version.
+
+    Members that the stored dimensions have keep their ids; only new ones are added, with
+    the next ids, and so are the batch's facts (``facts.resolve_batch``). The lane and its options
+    are those the star was built with. Two batches hold what one build of both
+    would, up to the order of ids. The per-row grain, where a later trip changes the facts of
+    earlier ones, can't be appended to. An empty batch makes a version with the same rows.
+    """
+    now = V.version(spark, star_dir)
+    if now is None:
+        raise ValueError(f"no versioned star in {star_dir}: build one with versions=True")
+    options = dict(now.options)
+    if options.pop("grain") != "distinct":
+        raise ValueError("a star of the per-row grain can't be appended to")
+    trips = stage(trips) if stage_input else trips
+    stored = {name: V.read_table(spark, star_dir, name, now) for name in now.folders}
+    new, seen = resolve_batch(stored, now.next_id, trips, now.variant, **options)
+    after = V.Version(now.number + 1, now.variant, now.options, {k: list(v) for k, v in now.folders.items()}, {}, dict(now.rows))
+    return _write_version(spark, star_dir, after, new, seen, now.next_id, check)
+
+
+def _star(t: dict[str, DataFrame], variant: str) -> Star:
+    return Star(t["dim_datetime"], t["dim_location"], t["dim_payment"], t["dim_passenger"], t["fact_trips"], variant)
+
+
+def load_star(spark: SparkSession, star_dir: str, variant: str = "coords", version: int | None = None) -> Star:
+    """Read a star written by ``build``: the newest (or the asked) version of a versioned
+    one, else the Parquet folders under ``star_dir``."""
+    at = V.version(spark, star_dir, version)
+    if at is not None:
+        return _star({name: V.read_table(spark, star_dir, name, at) for name in at.folders}, at.variant)
     t = {name: spark.read.parquet(f"{star_dir}/{name}") for name in
          ("dim_datetime", "dim_location", "dim_payment", "dim_passenger", "fact_trips")}
-    return Star(t["dim_datetime"], t["dim_location"], t["dim_payment"], t["dim_passenger"], t["fact_trips"], variant)
+    return _star(t, variant)
 
 
 def checks(star: Star) -> list[DataFrame]:
@@ -180,23 +248,23 @@ def publish(
     by mart name. A zone star has no
     coordinates, so its location mart is reported as skipped.
 
-    ``on_error="raise"``: the first failure ends the publication; hourly and
-    daily come from one scan. ``"skip"``: building, exporting and profiling one
-    mart fail or succeed together, its status holds the error, and the others are
-    written; a failing report has a status ``summary_report``.
+    ``on_error="raise"``: the first failure ends the publication; all marts and the
+    report come from one scan of the fact (``marts.grand_rollup``), stored once.
+    ``"skip"``: building, exporting and profiling one mart fail or succeed together, its
+    status holds the error, and the others are written, so each mart is a scan and a stored
+    table of its own; a failing report has a status ``summary_report``.
     """
     if on_error not in ("raise", "skip"):
         raise ValueError(f"on_error must be 'raise' or 'skip', not {on_error!r}")
     builders, rollup, built = _builders(star), None, {}
     if on_error == "raise":
-        # Hourly and daily from one join and one grouping-sets aggregate.
-        rollup = M.datetime_rollup(star.fact, star.datetime).persist()
-        hourly, daily = M.split_datetime_rollup(rollup)
-        builders |= {"vw_hourly_fares": lambda: hourly, "vw_daily_stats": lambda: daily}
+        rollup = materialize(M.grand_rollup(star), "rollup")
+        split = M.split_grand_rollup(rollup)
+        builders = {k: (lambda k=k: split[PUBLISHED[k]]) for k in builders}
 
     def build_one(name: str) -> DataFrame:
         # Computed once: read by the CSV and by the profile.
-        built[name] = builders[name]().persist()
+        built[name] = builders[name]() if rollup is not None else materialize(builders[name](), f"mart-{name}")
         return built[name]
 
     def profile_one(name: str, df: DataFrame) -> None:
@@ -205,41 +273,36 @@ def publish(
             docs[name] = materialize(profile_docs({name: df}), f"profile-{name}")
 
     docs: dict[str, DataFrame] = {}
-    try:
-        status = export_all(
-            {k: (lambda k=k: build_one(k)) for k in builders}, out_dir,
-            {k: M.mart_order(PUBLISHED[k]) for k in builders}, on_error, single_file, profile_one,
-        )
-        if star.variant == "zones":
-            status["vw_popular_locations"] = "skipped: the zone star has no coordinates"
-        ok = {k: built[k] for k in builders if status.get(k) == "ok"}
-
-        def all_docs() -> DataFrame:
-            return reduce(DataFrame.unionAll, [docs[k] for k in ok]) if on_error == "skip" else profile_docs(ok)
-
-        def write_profiles() -> None:
-            if profile_layout == "per_mart" and ok:
-                export_json(all_docs(), f"{out_dir}/profiles", single_file=False, partition_by=["mart"])
-            elif ok:
-                entry = F.concat(F.to_json(F.array("mart")).substr(F.lit(2), F.length(F.to_json(F.array("mart"))) - 2), F.lit(":"), "json")
-                # One document per mart: bounded by the marts.
-                one = all_docs().agg(F.array_sort(F.collect_list(entry)).alias("e"))
-                export_json(one.select(F.concat(F.lit("{"), F.array_join("e", ","), F.lit("}")).alias("json")), f"{out_dir}/analytics_stats.json")
-
-        def report() -> None:
-            try:
-                export_json(M.summary_report(star.fact, star.payment), f"{out_dir}/summary_report.json")
-            except Exception as e:
-                if on_error == "raise":
-                    raise
-                status["summary_report"] = f"error: {e}"
-
-        concurrently(write_profiles, report)
-    finally:
-        for v in built.values():
-            v.unpersist()
-        if rollup is not None:
-            rollup.unpersist()
+    status = export_all(
+        {k: (lambda k=k: build_one(k)) for k in builders}, out_dir,
+        {k: M.mart_order(PUBLISHED[k]) for k in builders}, on_error, single_file, profile_one,
+    )
+    if star.variant == "zones":
+        status["vw_popular_locations"] = "skipped: the zone star has no coordinates"
+    ok = {k: built[k] for k in builders if status.get(k) == "ok"}
+
+    def all_docs() -> DataFrame:
+        return reduce(DataFrame.unionAll, [docs[k] for k in ok]) if on_error == "skip" else profile_docs(ok)
+
+    def write_profiles() -> None:
+        if profile_layout == "per_mart" and ok:
+            export_json(all_docs(), f"{out_dir}/profiles", single_file=False, partition_by=["mart"])
+        elif ok:
+            entry = F.concat(F.to_json(F.array("mart")).substr(F.lit(2), F.length(F.to_json(F.array("mart"))) - 2), F.lit(":"), "json")
+            # One document per mart: bounded by the marts.
+            one = all_docs().agg(F.array_sort(F.collect_list(entry)).alias("e"))
+            export_json(one.select(F.concat(F.lit("{"), F.array_join("e", ","), F.lit("}")).alias("json")), f"{out_dir}/analytics_stats.json")
+
+    def report() -> None:
+        try:
+            found = M.rollup_report(rollup) if rollup is not None else M.summary_report(star.fact, star.payment)
+            export_json(found, f"{out_dir}/summary_report.json")
+        except Exception as e:
+            if on_error == "raise":
+                raise
+            status["summary_report"] = f"error: {e}"
+
+    concurrently(write_profiles, report)
     return status
 
 
@@ -272,4 +335,4 @@ def _run(spark, paths, out_dir, source, **build_options) -> dict[str, str]:
     return publish(star, f"{out_dir}/processed")
 
 
-__all__ = ["extract", "build", "checks", "publish", "run"]
+__all__ = ["extract", "append", "build", "checks", "publish", "run"]

@@ -135,6 +135,80 @@ def _published(spark: SparkSession, sf_dir: str) -> str:
     return _memo(spark, sf_dir, "published", make)
 
 
+#: The first batch of the appended star: some members come with the second only.
+FIRST_BATCH = "trip_distance < 6 AND payment_type <> 3 AND coalesce(passenger_count, 0) <> 2"
+
+
+def _appended(spark: SparkSession, sf_dir: str) -> FT.Star:
+    """A versioned star of one batch, to which the other one was appended."""
+
+    def make() -> FT.Star:
+        out, trips = _scratch(spark, "versions"), _trips(spark, sf_dir)
+        P.build(trips.where(FIRST_BATCH), out, versions=True)
+        P.append(spark, trips.where(f"NOT ({FIRST_BATCH})"), out)
+        return P.load_star(spark, out)
+
+    return _memo(spark, sf_dir, "appended", make)
+
+
+def staged_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The row count ``extract`` reports, and the rows it has staged."""
+    trips_from_csv(spark, sf_dir)
+    ex = P.extract(spark, _memo(spark, sf_dir, "csv", str), staging_path=_scratch(spark, "staged"))
+    return ex.trips.agg(F.count(F.lit(1)).alias("stored")).select(F.lit(ex.row_count).cast("long").alias("reported"), "stored")
+
+
+def _zone_run(spark: SparkSession, sf_dir: str) -> str:
+    """Where the zone lane's whole run over two monthly files has put its results."""
+
+    def make() -> str:
+        out = _scratch(spark, "zone-run")
+        trips_parquet_months(spark, sf_dir)
+        P.run(spark, _memo(spark, sf_dir, "months", list), out, source="parquet")
+        return out
+
+    return _memo(spark, sf_dir, "zone-run", make)
+
+
+_STATS = "struct<min:double,max:double,mean:double,median:double>"
+_PROFILE = f"struct<row_count:bigint,columns:array<string>,null_counts:map<string,bigint>,numeric_columns:map<string,{_STATS}>>"
+
+
+def _profile_rows(profile: DataFrame, *keys: str) -> DataFrame:
+    """A column ``p`` of profile documents as one row per profiled column."""
+    x = profile.select(*keys, "p.row_count", "p.null_counts", "p.numeric_columns", F.posexplode("p.columns").alias("ordinal", "column"))
+    at = F.col("numeric_columns")[F.col("column")]
+    return x.select(
+        *keys, "column", "ordinal", "row_count", F.col("null_counts")[F.col("column")].alias("null_count"),
+        at["min"].alias("min"), at["max"].alias("max"), F.round(at["mean"], MEAN_DIGITS).alias("mean"), at["median"].alias("median"),
+    )
+
+
+def run_zones_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The zone run's one profile JSON, keyed by mart: one row per mart and column."""
+    text = spark.read.text(f"{_zone_run(spark, sf_dir)}/processed/analytics_stats.json")
+    docs = text.select(F.explode(F.from_json("value", f"map<string,{_PROFILE}>")).alias("mart", "p"))
+    return _profile_rows(docs, "mart")
+
+
+def published_skipping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is published of a star whose payments have no names, failures skipped:
+    each mart's status and the rows its file has."""
+    s = star(spark, sf_dir)
+    broken = FT.Star(s.datetime, s.location, s.payment.drop("payment_name"), s.passenger, s.fact)
+    out = _scratch(spark, "skipped")
+    status = P.publish(broken, out, on_error="skip")
+    rows = None
+    for name, told in status.items():
+        good = told == "ok"
+        file = spark.read.option("header", True).csv(f"{out}/{name}.csv") if good else spark.range(0)
+        one = file.agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(name).alias("mart"), F.lit(told.split(":")[0]).alias("status"), "rows"
+        )
+        rows = one if rows is None else rows.unionAll(one)
+    return rows
+
+
 def _exported(name: str, like: str):
     """A published CSV with each row's position in the file."""
 
@@ -149,16 +223,8 @@ def _exported(name: str, like: str):
 
 def published_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The published profile JSON of the daily mart, one row per column."""
-    stats = "struct<min:double,max:double,mean:double,median:double>"
-    kind = f"row_count bigint, columns array<string>, null_counts map<string,bigint>, numeric_columns map<string,{stats}>"
     text = spark.read.text(f"{_published(spark, sf_dir)}/profiles/mart=vw_daily_stats")
-    doc = text.select(F.from_json("value", kind).alias("d")).select("d.*")
-    x = doc.select("row_count", "null_counts", "numeric_columns", F.posexplode("columns").alias("ordinal", "column"))
-    at = F.col("numeric_columns")[F.col("column")]
-    return x.select(
-        "column", "ordinal", "row_count", F.col("null_counts")[F.col("column")].alias("null_count"),
-        at["min"].alias("min"), at["max"].alias("max"), F.round(at["mean"], MEAN_DIGITS).alias("mean"), at["median"].alias("median"),
-    )
+    return _profile_rows(text.select(F.from_json("value", _PROFILE).alias("p")))
 
 
 def published_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -274,10 +340,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_per_row_null_match": lambda s, d: star(s, d, "per_row", "match").fact,
     "fact_zones": lambda s, d: zone_star(s, d).fact,
     "fact_half_seconds": lambda s, d: _half_star(s, d, "int"),
+    "fact_half_seconds_double": lambda s, d: _half_star(s, d, "double"),
     # through the entry points: extract, build, publish, read back
     "built_fact": lambda s, d: _built(s, d).fact,
     "built_dim_datetime": lambda s, d: _built(s, d).datetime,
     "built_dim_payment": lambda s, d: _built(s, d).payment,
+    "appended_fact": lambda s, d: _appended(s, d).fact,
+    "appended_dim_datetime": lambda s, d: _appended(s, d).datetime,
+    "appended_dim_location": lambda s, d: _appended(s, d).location,
+    "appended_dim_payment": lambda s, d: _appended(s, d).payment,
+    "appended_dim_passenger": lambda s, d: _appended(s, d).passenger,
+    "staged_count": staged_count,
+    "run_zones_fact": lambda s, d: P.load_star(s, f"{_zone_run(s, d)}/star", "zones").fact,
     # marts
     "mart_hourly": _mart(M.hourly),
     "mart_locations": _mart(M.popular_locations, dim="location"),
@@ -326,12 +400,14 @@ QUERIES.update(
         "profile_daily": _profile_of(QUERIES["mart_daily"]),
         "profile_locations": _profile_of(QUERIES["mart_locations"]),
         "profile_payment": _profile_of(QUERIES["mart_payment"]),
-        "profile_trips": _profile_of(lambda s, d: _trips(s, d).drop("pickup_datetime", "dropoff_datetime")),
+        "profile_trips": _profile_of(_trips),
         "published_hourly": _exported("vw_hourly_fares", "mart_hourly"),
         "published_locations": _exported("vw_popular_locations", "mart_locations"),
         "published_payment": _exported("vw_payment_analysis", "mart_payment"),
         "published_daily": _exported("vw_daily_stats", "mart_daily"),
         "published_profile_daily": published_profile,
         "published_report_records": published_report,
+        "published_skipping": published_skipping,
+        "run_zones_profiles": run_zones_profiles,
     }
 )
