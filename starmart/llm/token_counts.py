@@ -50,8 +50,8 @@ from starmart.llm.common import fresh, small_batches
 #: Characters of a chunk, and neighbours joined at a time by the scan.
 CHUNK = 1 << 16
 FAN = 32
-#: Transitions kept compiled in a Python worker.
-MOST = 300_000
+#: Transitions kept compiled in a Python worker: about 250 MB at most.
+MOST = 1_000_000
 
 # Modes of the word machine.
 _FRESH, _RUN, _BLANKS, _QUOTE, _QUOTE_LETTER = range(5)
@@ -71,89 +71,85 @@ class Merges:
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in set(plain)]
         of_char = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
+        self.rank = {(vocab[a], vocab[b]): k for k, (a, b) in enumerate(merges)}
+        self.parts = {vocab["".join(m)]: (vocab[m[0]], vocab[m[1]]) for m in merges}
+        self.spines: dict[tuple[int, int], tuple] = {}
+        self.fits: dict[tuple[int, int], bool] = {}
+        # The trie of the tokens that can come out: bytes, and merges whose text is coded as themselves.
         self.trie: dict[int, int] = {}
-        self.token: dict[int, int] = {}
+        own = dict.fromkeys(t for t in vocab if len(t) == 1)
+        for a, b in merges:  # parts come before what is made of them
+            if a in own and b in own and self._meet(vocab[a], vocab[b]):
+                own[a + b] = None
+        ends = {}
         inner = set()
-        # A token that isn't a byte or made by a merge never comes out.
-        made = [t for t in vocab if len(t) == 1] + ["".join(m) for m in merges]
-        for t in dict.fromkeys(made):
+        for t in own:
             at = 0
             for c in t:
                 inner.add(at)
                 at = self.trie.setdefault(at << 8 | of_char[c], len(self.trie) + 1)
-            self.token[at] = vocab[t]
-        self.inner = frozenset(inner)
-        self.rank = {(vocab[a], vocab[b]): k for k, (a, b) in enumerate(merges)}
-        self.parts: dict[int, tuple[int, int]] = {}
-        for (a, b), k in self.rank.items():
-            self.parts.setdefault(vocab["".join(merges[k])], (a, b))
-        self.fits: dict[tuple[int, int], bool] = {}
-        self.alone: dict[int, bool] = {}
+            ends[at] = vocab[t]
+        self.token = [ends.get(k, -1) for k in range(len(self.trie) + 1)]
+        self.inner = [k in inner for k in range(len(self.trie) + 1)]
 
-    def _spine(self, token: int, side: int) -> list[tuple[int, float]]:
+    def _spine(self, token: int, side: int) -> tuple:
         """The pieces at one edge of a token, from the whole to its byte, each with
         the rank of the merge that took it up."""
-        out, until = [], float("inf")
-        while True:
-            out.append((token, until))
-            if token not in self.parts:
-                return out
-            until = self.rank[self.parts[token]]
-            token = self.parts[token][side]
+        known = self.spines.get((token, side))
+        if known is None:
+            out, at, until = [], token, float("inf")
+            while True:
+                out.append((at, until))
+                if at not in self.parts:
+                    break
+                until = self.rank[self.parts[at]]
+                at = self.parts[at][side]
+            known = self.spines[token, side] = tuple(out)
+        return known
+
+    def _across(self, a: int, b: int, before: float) -> bool:
+        """Whether a merge of a rank under ``before`` would reach across from ``a`` to
+        ``b``: one of a piece at ``a``'s right edge with one at ``b``'s left edge, before either is
+        taken up. Of equal merges the left one comes first."""
+        right, rank = self._spine(b, 0), self.rank
+        for x, i in self._spine(a, 1):
+            for y, j in right:
+                k = rank.get((x, y))
+                if k is not None and k < i and k <= j and k < before:
+                    return True
+        return False
+
+    def _meet(self, a: int, b: int) -> bool:
+        """Whether ``a`` and ``b`` last until they are merged."""
+        return not self._across(a, b, self.rank[a, b])
 
     def fit(self, a: int, b: int) -> bool:
-        """Whether no merge would reach across from ``a`` to ``b``: none of a piece
-        at ``a``'s right edge with one at ``b``'s left edge before either is taken up.
-        Of equal merges the left one comes first."""
+        """Whether ``a`` and ``b`` stay neighbours: no merge reaches across."""
         known = self.fits.get((a, b))
         if known is None:
-            right = self._spine(b, 0)
-            known = not any(
-                k < i and k <= j
-                for x, i in self._spine(a, 1)
-                for y, j in right
-                if (k := self.rank.get((x, y))) is not None
-            )
             if len(self.fits) >= MOST:
                 self.fits.clear()
-            self.fits[a, b] = known
-        return known
-
-    def _itself(self, token: int) -> bool:
-        """Whether a token's own text is coded as that token."""
-        known = self.alone.get(token)
-        if known is None:
-            known = token not in self.parts or (
-                self._itself(self.parts[token][0]) and self._itself(self.parts[token][1])
-                and self.fit_but(*self.parts[token], self.rank[self.parts[token]])
-            )
-            self.alone[token] = known
+            known = self.fits[a, b] = not self._across(a, b, float("inf"))
         return known
 
-    def fit_but(self, a: int, b: int, last: int) -> bool:
-        """As ``fit``, but for the merge of rank ``last``, which is to happen."""
-        right = self._spine(b, 0)
-        return not any(
-            k < i and k <= j and k < last
-            for x, i in self._spine(a, 1)
-            for y, j in right
-            if (k := self.rank.get((x, y))) is not None
-        )
-
     def step(self, state: tuple, byte: int) -> tuple[tuple, int]:
         """The state after one more byte, and the tokens it adds."""
-        moved, best = [], None
+        moved, last, added = [], -1, 0
+        trie, tokens, inner = self.trie, self.token, self.inner
         for node, before, count in state:
-            to = self.trie.get(node << 8 | byte)
-            if to is None:
-                continue
-            token = self.token.get(to)
-            if token is not None and self._itself(token) and (before < 0 or self.fit(before, token)):
-                best = (token, count + 1)
-            if to in self.inner:
-                moved.append((to, before, count))
-        token, added = best
-        return (*[(n, b, c - added) for n, b, c in moved], (0, token, 0)), added
+            to = trie.get(node << 8 | byte)
+            if to is not None:
+                # Only one place has a token that fits.
+                if last < 0:
+                    token = tokens[to]
+                    if token >= 0 and (before < 0 or self.fit(before, token)):
+                        last, added = token, count + 1
+                if inner[to]:
+                    moved.append((to, before, count))
+        if added:
+            moved = [(n, b, c - added) for n, b, c in moved]
+        moved.append((0, last, 0))
+        return tuple(moved), added
 
     #: Nothing read: one open place, with no token before it.
     START = ((0, -1, 0),)
