@@ -64,3 +64,23 @@ def number_within(df: DataFrame, keys: Sequence[str], order: str, name: str, bit
     return within.join(offsets.hint("shuffle_merge"), parts).select(
         *df.columns, (F.col(off) + F.col(n) - 1).cast("long").alias(name)
     )
+
+
+def smallest(df: DataFrame, n: int, over: Sequence[str], by: Sequence[str] = (), seed: int = 7) -> DataFrame:
+    """The rows of ``df`` with the ``n`` smallest hashes of the columns ``over``, for each
+    value of the columns ``by`` (all, where there are fewer): a random sample that stays the
+    same, holds at most ``n`` rows a group and is empty only where the group is. Rows equal in
+    ``over`` count once. Hashes alone are ranked, per salt before they meet per
+    group; the rows are then picked by the largest hash that is in.
+    """
+    h, salt, place, cut = fresh(df, ["_h", "_salt", "_place", "_cut"])
+    hashed = df.withColumn(h, F.xxhash64(*over, F.lit(seed)))
+    first = hashed.select(*by, h).distinct().withColumn(salt, F.pmod(F.col(h), F.lit(64)))
+    for keys in ([*by, salt], list(by)):
+        window = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy(h)
+        first = first.withColumn(place, F.row_number().over(window)).where(F.col(place) <= n)
+    if by:
+        picked = hashed.join(first.groupBy(*by).agg(F.max(h).alias(cut)), list(by)).where(F.col(h) <= F.col(cut))
+    else:
+        picked = hashed.where(F.col(h) <= first.agg(F.max(h)).scalar())
+    return picked.dropDuplicates([*by, h]).select(*df.columns)

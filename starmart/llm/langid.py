@@ -13,9 +13,11 @@ The language with the shortest code wins.
 Bytes are folded to 64 symbols first: ASCII letters without case, all blanks as
 one, all digits as one, the most frequent other bytes, and one for the rest.
 
-Frozen code lengths fill one table (context row x symbol x language), which is
-bounded by ``TABLE_MB`` and sent to the executors; scoring a text is two array
-look-ups a byte, in slices, so memory doesn't grow with a text's length.
+Frozen code lengths fill a table for each language (context row x symbol): a row for
+every context of 2 bytes and one for each context of 3 bytes that the language was seen to use
+(a context seen once in all is none: it takes its order-2 row). No context is left out for room: a
+language takes about 3 MB, sent to the executors. Scoring a text is two array look-ups a
+byte and language, in slices, so memory doesn't grow with a text's length.
 """
 
 from __future__ import annotations
@@ -30,14 +32,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.checkpoint import materialize
-from starmart.llm.common import fresh, small_batches
+from starmart.llm.common import fresh, small_batches, smallest
 
-#: About so many documents of each language are learned from: a documented
-#: bound on the labelled sample, chosen by a hash of the id and text.
+#: So many documents of each language are learned from (all, if there are fewer): a
+#: documented bound on the labelled sample, those with the smallest hashes of id and text.
 TRAIN_DOCS = 1500
-#: Size of the code-length table. Rarer order-3 contexts are pruned to fit; they
-#: then take the row of their order-2 suffix.
-TABLE_MB = 24
 UNKNOWN = "und"
 
 _SYMBOLS = 64
@@ -110,52 +109,48 @@ class Ppm:
     lang: np.ndarray
     code: np.ndarray
     count: np.ndarray
-    table_mb: int = TABLE_MB
-    _table: tuple[np.ndarray, np.ndarray] | None = field(default=None, repr=False)
+    _tables: list[tuple[np.ndarray, np.ndarray]] | None = field(default=None, repr=False)
 
     def __getstate__(self):
-        return {**self.__dict__, "_table": None}
-
-    def table(self) -> tuple[np.ndarray, np.ndarray]:
-        """(row of each order-3 context, code lengths by row, symbol, language)."""
-        if self._table is None:
-            self._table = self._build()
-        return self._table
-
-    def _build(self) -> tuple[np.ndarray, np.ndarray]:
-        kinds = len(self.languages)
-        context = self.code // _SYMBOLS
-        weight = np.zeros(_SYMBOLS**3)
-        np.add.at(weight, context, self.count)
-        room = max(0, self.table_mb * 2**20 // (_SYMBOLS * kinds * 4) - _ORDER2)
-        kept = np.lexsort((np.arange(len(weight)), -weight))[: min(room, int((weight > 1).sum()))]
+        return {**self.__dict__, "_tables": None}
+
+    def tables(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each language: the row of each order-3 context, and code lengths by row and symbol."""
+        if self._tables is None:
+            weight = np.zeros(_SYMBOLS**3)
+            np.add.at(weight, self.code // _SYMBOLS, self.count)
+            self._tables = [self._table(k, weight > 1) for k in range(len(self.languages))]
+        return self._tables
+
+    def _table(self, k: int, often: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        mine = self.lang == k
+        code, count = self.code[mine], self.count[mine].astype(float)
+        context = code // _SYMBOLS
+        kept = np.unique(context[often[context]])
         row = (np.arange(_SYMBOLS**3) % _ORDER2).astype(np.int32)
         row[kept] = _ORDER2 + np.arange(len(kept), dtype=np.int32)
-        lengths = np.empty(((_ORDER2 + len(kept)), _SYMBOLS, kinds), dtype=np.float32)
-        for k in range(kinds):
-            mine = self.lang == k
-            code, count = self.code[mine], self.count[mine].astype(float)
-            low = [np.bincount(code % _SYMBOLS**o, count, _SYMBOLS**o).reshape(-1, _SYMBOLS) for o in (1, 2, 3)]
-            p = np.full((1, _SYMBOLS), 1 / _SYMBOLS)
-            for o, c in enumerate(low):
-                # A context's shorter one drops its oldest, that is highest, symbol.
-                p = _ppm(c, p[np.arange(len(c)) % len(p)] if o else p)
-            third = np.zeros((len(kept), _SYMBOLS))
-            at = row[code // _SYMBOLS]
-            own = at >= _ORDER2
-            np.add.at(third, (at[own] - _ORDER2, code[own] % _SYMBOLS), count[own])
-            lengths[:_ORDER2, :, k] = -np.log2(p)
-            if len(kept):
-                lengths[_ORDER2:, :, k] = -np.log2(_ppm(third, p[kept % _ORDER2]))
-        return row, lengths.reshape(-1, kinds)
+        low = [np.bincount(code % _SYMBOLS**o, count, _SYMBOLS**o).reshape(-1, _SYMBOLS) for o in (1, 2, 3)]
+        p = np.full((1, _SYMBOLS), 1 / _SYMBOLS)
+        for o, c in enumerate(low):
+            # A context's shorter one drops its oldest, that is highest, symbol.
+            p = _ppm(c, p[np.arange(len(c)) % len(p)] if o else p)
+        third = np.zeros((len(kept), _SYMBOLS))
+        at = row[context]
+        own = at >= _ORDER2
+        np.add.at(third, (at[own] - _ORDER2, code[own] % _SYMBOLS), count[own])
+        lengths = np.empty((_ORDER2 + len(kept), _SYMBOLS), dtype=np.float32)
+        lengths[:_ORDER2] = -np.log2(p)
+        if len(kept):
+            lengths[_ORDER2:] = -np.log2(_ppm(third, p[kept % _ORDER2]))
+        return row, lengths.reshape(-1)
 
     def code_lengths(self, text: str) -> np.ndarray:
         """Bits the text takes in each language."""
-        row, lengths = self.table()
         bits = np.zeros(len(self.languages))
         for code in _slices(text, self.to_symbol):
-            at = row[code // _SYMBOLS].astype(np.int64) * _SYMBOLS + code % _SYMBOLS
-            bits += lengths.take(at, axis=0).sum(axis=0, dtype=np.float64)
+            context, symbol = code // _SYMBOLS, code % _SYMBOLS
+            for k, (row, lengths) in enumerate(self.tables()):
+                bits[k] += lengths.take(row[context].astype(np.int64) * _SYMBOLS + symbol).sum(dtype=np.float64)
         return bits
 
     def predict(self, text: str | None) -> tuple[str, float]:
@@ -171,21 +166,18 @@ class Ppm:
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", per_language: int = TRAIN_DOCS) -> Ppm:
     """Learn from labelled documents; rows with a null text or label are left out.
 
-    About ``per_language`` documents of each language are used (all, if there
-    are fewer), chosen by a hash, so equal rows are chosen alike. Counting runs
+    The ``per_language`` documents of each language with the smallest hashes of id and text
+    are used (all, if there are fewer; equal rows count once), so a group of copies with ids of
+    their own is drawn row by row and no language is left out. Counting runs
     on the executors; the driver gets the summed counts, at most
     64**4 for each language and in practice as many as the sample has.
     """
     small_batches(docs.sparkSession)
+    own = [c for c in ("doc_id",) if c in docs.columns]
     labelled = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
-        F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")
-    )
-    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    spread = F.pmod(F.xxhash64("text", F.lit(7)), F.lit(1 << 30)) / float(1 << 30)
-    sample = materialize(
-        labelled.join(sizes.hint("broadcast") if _few(sizes) else sizes, "lang")
-        .where(spread < F.lit(float(per_language)) / F.col("n")).select("lang", "text"), "langid-sample"
+        *own, F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")
     )
+    sample = materialize(smallest(labelled, per_language, [*own, "text"], ["lang"]).select("lang", "text"), "langid-sample")
     fold = _folded()
 
     def bytes_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -218,11 +210,6 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", per_language:
     )
 
 
-def _few(sizes: DataFrame, most: int = 10_000) -> bool:
-    """Whether the table of label counts is small enough to be broadcast."""
-    return sizes.count() <= most
-
-
 def held_out(doc_id: Column) -> Column:
     """Whether a document is never learned from: crc32 of its id as text is
     divisible by 5. A document without an id is neither held out nor learned from."""

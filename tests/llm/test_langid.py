@@ -62,8 +62,9 @@ def test_code_lengths_equal_a_walk_of_the_tree(model):
 
 
 def test_probabilities_sum_to_one(model):
-    _, lengths = model.table()
-    assert np.allclose(np.exp2(-lengths.astype(float)).reshape(-1, 64, 3).sum(1), 1, atol=1e-4)
+    assert len(model.tables()) == 3
+    for _, lengths in model.tables():
+        assert np.allclose(np.exp2(-lengths.astype(float)).reshape(-1, 64).sum(1), 1, atol=1e-4)
 
 
 def test_slices_do_not_change_the_sum(model, monkeypatch):
@@ -109,3 +110,27 @@ def test_sf_accuracy(spark):
     got = op10_langid(spark, "/root/testdata/sf0.01").join(docs.select("doc_id", "lang"), "doc_id").where("held_out")
     right, n = got.agg(F.sum((F.col("lang") == F.col("lang_pred")).cast("int")), F.count("*")).first()
     assert right / n > 0.97
+
+
+def test_a_language_of_copies_is_learned(docs_of):
+    """30,000 rows of one text are drawn row by row, not all or none."""
+    rows = [(i, "the of and thing with which river", "en", "s") for i in range(3000)]
+    rows += [(10_000 + i, "der die und schön über", "de", "s") for i in range(30_000)]
+    model = langid.train(docs_of(rows), per_language=50)
+    assert model.languages == ["de", "en"] and model.predict("die und über")[0] == "de"
+    assert all(model.count[model.lang == k].sum() == 50 * len(t.encode()) for k, t in ((0, rows[-1][1]), (1, rows[0][1])))
+
+
+def test_forty_languages_keep_order_three(docs_of):
+    rng = np.random.default_rng(3)
+    rows = []
+    for k in range(40):
+        words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyzäöüßéèñ"), 5)) for _ in range(30)]
+        rows += [(100 * k + i, " ".join(rng.choice(words, 12)), f"l{k:02d}", "s") for i in range(20)]
+    model = langid.train(docs_of(rows))
+    assert len(model.languages) == 40
+    seen = np.bincount(model.code // 64, model.count) > 1
+    for k, (row, _) in enumerate(model.tables()):
+        mine = np.unique(model.code[model.lang == k] // 64)
+        assert (row[mine[seen[mine]]] >= 64 * 64).all()
+    assert sum(model.predict(t)[0] == la for _, t, la, _ in rows[::7]) / len(rows[::7]) > 0.99
