@@ -29,6 +29,7 @@ import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -38,11 +39,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.checkpoint import app_root, materialize
-from starmart.llm.common import fresh, small_batches
+from starmart.llm.common import fresh, small_batches, smallest
 
-#: Documents (about) that prose statistics and contexts are taken from: the
-#: documented bound on the sample a model is fitted on.
+#: Documents that findings are planted into: the documented bound on the labelled
+#: sample the forest is fitted on. Prose statistics are counted over all documents.
 SAMPLE_DOCS = 2000
+#: Words a task holds before it passes their counts on.
+HELD_WORDS = 100_000
 #: Words of the dictionary, most frequent first.
 DICTIONARY = 5000
 #: Characters looked at before and after a candidate.
@@ -61,7 +64,8 @@ _KNOWN = re.compile("|".join(KNOWN))
 # For searches: web tokens from the first eyJ of a run only, so that time stays linear in the text.
 _KEYS = re.compile("|".join(KNOWN[:-1]))
 _WEB_TOKEN = re.compile(rf"(?<![0-9A-Za-z_\-])(?>[0-9A-Za-z_\-]*?(?=eyJ))({KNOWN[-1]})")
-_PEM = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----[\s\S]*?-----END [A-Z ]*PRIVATE KEY-----")
+_PEM_BEGIN = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----")
+_PEM_END = re.compile(r"-----END [A-Z ]*PRIVATE KEY-----")
 _ASSIGNED = re.compile(r"[:=]>?[ \t]{0,3}[\"'`]?([^\s\"'`;,<>(){}\[\]]{8,})")
 # Inside a chain of values: a whole parameter, and what stands between separators.
 _PARAM = re.compile(r"[&?#][\w.\-%]*=([^\s\"'`;,<>(){}\[\]&]{8,})")
@@ -79,6 +83,22 @@ FEATURES = (
 )
 
 
+def _key_blocks(text: str) -> Iterator[tuple[int, int]]:
+    """From each BEGIN line of a private key to the next END line, in one walk over
+    both kinds of lines; what begins inside a block is part of it."""
+    ends = _PEM_END.finditer(text)
+    end, at = next(ends, None), 0
+    for begin in _PEM_BEGIN.finditer(text):
+        if begin.start() < at:
+            continue
+        while end and end.start() < begin.end():
+            end = next(ends, None)
+        if not end:
+            return
+        at = end.end()
+        yield begin.start(), at
+
+
 def candidates(text: str | None) -> list[tuple[int, int, str]]:
     """(begin, end, pattern) of each candidate in a text, in code points, by
     begin, the longer first. Candidates may overlap; a span that several
@@ -87,7 +107,7 @@ def candidates(text: str | None) -> list[tuple[int, int, str]]:
         return []
     spans: dict[tuple[int, int], str] = {}
     if "-----BEGIN " in text:
-        spans |= {m.span(): "block" for m in _PEM.finditer(text)}
+        spans |= dict.fromkeys(_key_blocks(text), "block")
     for m in _KEYS.finditer(text):
         spans.setdefault(m.span(), "known")
     if "eyJ" in text:
@@ -152,7 +172,7 @@ def features(text: str, begin: int, end: int, prose: Prose) -> list[float]:
     beside = near + [w.lower() for w in _WORDS.findall(after)[:3]]
     flat = v.lower()
     return [
-        float(min(n, 4096)),
+        float(n),
         -sum(k / n * math.log2(k / n) for k in counts.values()),
         kinds.count("d") / n,
         kinds.count("u") / n,
@@ -234,34 +254,48 @@ def planted(context: str, rng: random.Random) -> list[tuple[str, int, int, int]]
 
 
 def sample_docs(docs: DataFrame, text: str = "text", n: int = SAMPLE_DOCS) -> DataFrame:
-    """About ``n`` of the documents (all, if there are fewer), by a hash of the text."""
-    some = docs.where(F.col(text).isNotNull()).select(F.col(text).alias("text"))
-    share = n / max(1, docs.count())
-    return some.where(F.pmod(F.xxhash64("text", F.lit(11)), F.lit(1 << 30)) < int(share * (1 << 30)))
+    """The texts of the ``n`` documents (all, if there are fewer) with the smallest
+    hashes of id and text: at most ``n`` rows, and none only if no document has a text."""
+    own = [c for c in ("doc_id",) if c in docs.columns]
+    some = docs.where(F.col(text).isNotNull()).select(*own, F.col(text).alias("text"))
+    return smallest(some, n, [*own, "text"]).select("text")
 
 
-def learn_prose(sample: DataFrame) -> Prose:
-    """Character transitions and the dictionary of the sampled texts, counted on
-    the executors; the driver gets 31 x 31 sums and ``DICTIONARY`` words."""
+@lru_cache(maxsize=1)
+def _classes() -> np.ndarray:
+    """The class of every code point."""
+    return np.array([_class(chr(c)) for c in range(0x110000)], dtype=np.uint16)
 
-    small_batches(sample.sparkSession)
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            pairs, words = Counter(), Counter()
-            for t in b["text"]:
-                c = [_class(x) for x in t]
-                pairs.update(p * 31 + q for p, q in zip(c, c[1:], strict=False))
-                words.update(w for w in (w.lower() for w in _WORDS.findall(t)) if 2 < len(w) <= 12)
-            yield pd.DataFrame(
-                [(str(k), True, n) for k, n in pairs.items()] + [(k, False, n) for k, n in words.items()],
-                columns=["k", "is_pair", "n"],
-            )
-
-    both = materialize(sample.mapInPandas(count, "k string, is_pair boolean, n long"), "secret-prose")
-    total = both.groupBy("is_pair", "k").agg(F.sum("n").alias("n"))
+def _count_prose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Pairs of classes and words of texts, in rows to be added up."""
+    pairs, words = np.zeros(31 * 31, dtype=np.int64), Counter()
+
+    def rows(some: Counter, is_pair: bool) -> pd.DataFrame:
+        return pd.DataFrame({"k": [str(k) for k in some], "is_pair": is_pair, "n": np.fromiter(some.values(), np.int64, len(some))})
+
+    for b in batches:
+        for t in b["text"]:
+            c = _classes()[np.frombuffer(t.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
+            pairs += np.bincount(c[:-1] * 31 + c[1:], minlength=31 * 31)
+            words.update(w for w in _WORDS.findall(t.lower()) if 2 < len(w) <= 12)
+            if len(words) > HELD_WORDS:
+                yield rows(words, False)
+                words.clear()
+    for some, is_pair in ((words, False), (Counter({k: int(n) for k, n in enumerate(pairs) if n}), True)):
+        if some:
+            yield rows(some, is_pair)
+
+
+def learn_prose(docs: DataFrame, text: str = "text") -> Prose:
+    """Character transitions and the dictionary of all texts, counted on
+    the executors; the driver gets 31 x 31 sums and ``DICTIONARY`` words."""
+    small_batches(docs.sparkSession)
+    texts = docs.where(F.col(text).isNotNull()).select(F.col(text).alias("text"))
+    both = texts.mapInPandas(_count_prose, "k string, is_pair boolean, n long").groupBy("is_pair", "k").agg(F.sum("n").alias("n"))
+    total = materialize(both.where("is_pair or n > 1"), "secret-prose")
     pairs = {int(r["k"]): r["n"] for r in total.where("is_pair").collect()}
-    words = total.where("not is_pair and n > 1").orderBy(F.desc("n"), "k").limit(DICTIONARY).collect()
+    words = total.where("not is_pair").orderBy(F.desc("n"), "k").limit(DICTIONARY).collect()
     return Prose.of(pairs, [r["k"] for r in words])
 
 
@@ -393,10 +427,15 @@ def train(labelled: DataFrame, prose: Prose, trees: int = 24, depth: int = 8, se
     )
     if x.select("label").distinct().count() < 2:
         return Scanner(prose, None)
-    fit = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featuresCol="v", labelCol="label",
-                                 featureSubsetStrategy="sqrt")
     spark = labelled.sparkSession
-    return Scanner(prose, Forest.of(fit.fit(x.select(array_to_vector("x").alias("v"), "label")), app_root(spark), spark))
+    return Scanner(prose, Forest.of(fitted(x, trees, depth, seed), app_root(spark), spark))
+
+
+def fitted(x: DataFrame, trees: int, depth: int, seed: int) -> RandomForestClassificationModel:
+    """Spark's forest for rows (``x`` features, ``label``)."""
+    forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featuresCol="v", labelCol="label",
+                                    featureSubsetStrategy="sqrt")
+    return forest.fit(x.select(array_to_vector("x").alias("v"), "label"))
 
 
 def scan(df: DataFrame, scanner: Scanner, text: str = "text", keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -449,6 +488,8 @@ def redact(df: DataFrame, scanner: Scanner, text: str = "text", mark: str = "[SE
 
 
 def scanner_for(docs: DataFrame, text: str = "text", seed: int = 42) -> Scanner:
-    """A scanner whose prose and contexts are those of a bounded sample of ``docs``."""
+    """A scanner whose prose statistics are those of all of ``docs``, and whose labelled
+    findings are planted into a bounded sample of them. Its forest is None only if no document
+    has a text, when there is nothing to find."""
     sample = materialize(sample_docs(docs, text), "secret-sample")
-    return train(labelled_findings(sample, seed), learn_prose(sample), seed=seed)
+    return train(labelled_findings(sample, seed), learn_prose(docs, text), seed=seed)

@@ -1,6 +1,9 @@
-import random
+import re
+import time
 
+import numpy as np
 import pytest
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 from starmart.llm import secret_scan as S
 from starmart.llm.queries import op6_secrets
@@ -37,12 +40,64 @@ def test_held_out_findings(spark, scanner):
     assert false / (right + false) < 0.05
 
 
-def test_forest_in_numpy_equals_the_fitted_model(spark, scanner):
-    rng = random.Random(1)
-    for text, i, j, label in S.planted("some words of the corpus here", rng) * 2:
-        scores = [s for a, b, _, s in scanner.find(text) if a <= i < b]
-        assert all(0 <= s <= 1 for s in scores)
-    assert len(scanner.forest.roots) == 24
+def test_forest_in_numpy_equals_the_fitted_model(spark, tmp_path):
+    """The arrays give Spark's own probabilities, row by row."""
+    rng = np.random.default_rng(1)
+    x = rng.random((1000, 5)).round(2)
+    label = ((x[:, 0] > 0.5) ^ (x[:, 1] + rng.normal(0, 0.2, 1000) > 0.6)).astype(float)
+    df = spark.createDataFrame([(r.tolist(), float(y)) for r, y in zip(x, label, strict=True)], "x array<double>, label double")
+    model = S.fitted(df, 24, 8, 3)
+    forest = S.Forest.of(model, str(tmp_path), spark)
+    told = model.transform(df.select("x", array_to_vector("x").alias("v"))).select("x", vector_to_array("probability").alias("p")).collect()
+    assert len(forest.roots) == 24 and len(told) == 1000
+    assert np.allclose(forest.predict(np.array([r["x"] for r in told])), [r["p"][1] for r in told], atol=1e-12)
+
+
+def test_query_equals_brute_force(spark, scanner, monkeypatch):
+    """Every candidate of every document, judged one by one."""
+    monkeypatch.setattr(S, "scanner_for", lambda docs: scanner)
+    got = sorted((r["doc_id"], r["begin"], r["end"], r["pattern"], r["value"], r["score"], r["is_secret"]) for r in op6_secrets(spark, SF).collect())
+    want = []
+    for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect():
+        for i, j, kind in S.candidates(r["text"]):
+            score = float(scanner.forest.predict(np.array([S.features(r["text"], i, j, scanner.prose)]))[0])
+            want.append((r["doc_id"], i, j, kind, r["text"][i:j], score))
+    # What is a secret but overlaps a better one is left out; nothing else is.
+    mine = {x[:6] for x in got}
+    assert len(mine) == len(got) > 20 and mine <= set(want)
+    for x in set(want) - mine:
+        assert x[5] > 0.5 and any(y[0] == x[0] and y[6] and y[1] < x[2] and x[1] < y[2] for y in got)
+    assert all(x[6] == (x[5] > 0.5) for x in got)
+
+
+def test_key_blocks_pair_up_in_one_walk():
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    text = f"{end} {begin} a {begin} b {end} c {end} {begin}x{end} {begin} tail"
+    whole = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----[\s\S]*?-----END [A-Z ]*PRIVATE KEY-----")
+    assert list(S._key_blocks(text)) == [m.span() for m in whole.finditer(text)]
+    for many in (f"{begin}\n", f"{end}\n", "-----BEGIN ", f"{begin}{end}"):
+        long = many * (2_000_000 // len(many))
+        began = time.process_time()
+        found = sum(1 for _ in S._key_blocks(long))
+        assert time.process_time() - began < 2 and found in (0, len(long) // len(many))
+
+
+def test_prose_counts_all_documents(spark, docs_of):
+    rows = [(i, f"alpha beta{'x' * (i % 3)} Gamma é1", "en", "s") for i in range(300)] + [(None, None, None, None), (1, "", "en", "s")]
+    prose = S.learn_prose(docs_of(rows))
+    assert prose.words == {"alpha", "beta", "betax", "betaxx", "gamma"}
+    n = np.ones((31, 31))
+    for _, t, _, _ in rows:
+        for a, b in zip(t or "", (t or "")[1:], strict=False):
+            n[S._class(a), S._class(b)] += 1
+    assert np.allclose(prose.bits, -np.log2(n / n.sum(1, keepdims=True)))
+
+
+def test_the_sample_is_exact_and_never_empty(spark, docs_of):
+    rows = [(i, "one text of many copies", "en", "s") for i in range(3000)] + [(9000, "another", "en", "s")] * 5
+    assert S.sample_docs(docs_of(rows), n=40).count() == 40
+    assert S.sample_docs(docs_of(rows[:7] + rows[:7]), n=40).count() == 7
+    assert S.sample_docs(docs_of([(1, None, "en", "s")]), n=40).count() == 0
 
 
 def test_all_tokens_of_the_corpus_are_found(spark, scanner):
