@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from starmart.checkpoint import materialize
+
 # A document's words for the word-shingle operators: runs without ASCII blanks.
 CHUNK_BITS = 12
 
@@ -75,12 +77,14 @@ def smallest(df: DataFrame, n: int, over: Sequence[str], by: Sequence[str] = (),
     """
     h, salt, place, cut = fresh(df, ["_h", "_salt", "_place", "_cut"])
     hashed = df.withColumn(h, F.xxhash64(*over, F.lit(seed)))
-    first = hashed.select(*by, h).distinct().withColumn(salt, F.pmod(F.col(h), F.lit(64)))
+    first = hashed.select(*by, h).distinct().withColumn(salt, F.pmod(F.col(h), F.lit(256)))
     for keys in ([*by, salt], list(by)):
         window = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy(h)
         first = first.withColumn(place, F.row_number().over(window)).where(F.col(place) <= n)
     if by:
-        picked = hashed.join(first.groupBy(*by).agg(F.max(h).alias(cut)), list(by)).where(F.col(h) <= F.col(cut))
+        # One row a group, stored: a join knows its size, and moves ``df`` only if there are very many.
+        cuts = materialize(first.groupBy(*by).agg(F.max(h).alias(cut)), "smallest")
+        picked = hashed.join(cuts, list(by)).where(F.col(h) <= F.col(cut))
     else:
         picked = hashed.where(F.col(h) <= first.agg(F.max(h)).scalar())
     return picked.dropDuplicates([*by, h]).select(*df.columns)

@@ -56,9 +56,15 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).when(least == 0, F.lit(0.0)).otherwise(both / least)
 
 
-def merge(df: DataFrame, keys: list[str], sketch: str) -> DataFrame:
-    """The sketch of the union of each key's documents, pre-aggregated map-side."""
-    return df.select(*keys, F.explode(sketch).alias(sketch)).groupBy(*keys).agg(F.sort_array(F.collect_set(sketch)).alias(sketch))
+def merge(df: DataFrame, keys: list[str], sketch: str, scale: int = SCALE) -> DataFrame:
+    """The sketch of the union of each key's documents, pre-aggregated map-side: the hashes
+    under the threshold of ``scale`` that any of them holds, and the least of all, as
+    ``with_sketch`` holds them. What another document held only as its least one goes."""
+    every = df.select(*keys, F.explode(sketch).alias(sketch)).groupBy(*keys).agg(F.collect_set(sketch).alias(sketch))
+    top = scale.bit_length() - 1
+    held = F.filter(sketch, lambda v: F.shiftrightunsigned(v, 64 - top) == 0) if top else F.col(sketch)
+    least = F.array_compact(F.array(F.array_min(sketch)))
+    return every.withColumn(sketch, F.sort_array(F.array_distinct(F.concat(held, least))))
 
 
 def as_text(sketch: Column) -> Column:

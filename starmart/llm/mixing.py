@@ -195,10 +195,3 @@ def mix(
     return numbered.withColumn(place, at(F.col(key), F.col(number))).select(
         *df.columns, *[F.col(f"{place}.{f}").alias(n) for f, n in zip(fields, names, strict=True)]
     )
-
-
-def mixable(mixed: DataFrame, phase: str = "mix_phase", weight: str = "mix_weight") -> DataFrame:
-    """The rows placed while two sources or more were left: beyond, no mix with
-    target weights is possible. A table of a single source stays whole. Rows
-    without a place are left out."""
-    return mixed.where((F.col(phase) == 0) | (F.col(weight) < 1))

@@ -25,11 +25,11 @@ import os
 import zlib
 from array import array
 from bisect import bisect_left, insort
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.checkpoint import materialize
@@ -128,11 +128,12 @@ _WORD_IDS: dict[str, WordIds] = {}
 
 def pieces(
     df: DataFrame, tokenizer: str, text: str = "text", doc_id: str = "doc_id",
-    size: int = SEQUENCE, end_id: int = 0, with_ids: bool = False,
+    size: int = SEQUENCE, end_id: int = 0, with_ids: bool = False, keep: Sequence[str] = (),
 ) -> DataFrame:
     """The documents' pieces: ``doc_id``, ``piece`` (from 0), ``start``,
     ``length``, ``ids_crc32`` and, if asked for, ``ids`` (little-endian
-    unsigned 32-bit numbers). ``tokenizer`` is a file's path on every executor.
+    unsigned 32-bit numbers). ``tokenizer`` is a file's path on every executor. Columns
+    named in ``keep`` come along, last.
 
     A document is its ids and then ``end_id``; a null or empty text is
     ``end_id`` alone. Only a document longer than ``size`` is cut, into pieces
@@ -140,8 +141,9 @@ def pieces(
     """
     small_batches(df.sparkSession)
     end = np.array([end_id], dtype="<u4").tobytes()
-    kind = dict(df.dtypes)[doc_id]
-    schema = f"`{doc_id}` {kind}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
+    kind = dict(df.dtypes)
+    schema = f"`{doc_id}` {kind[doc_id]}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
+    schema += "".join(f", `{c}` {kind[c]}" for c in keep)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if tokenizer not in _WORD_IDS:
@@ -157,12 +159,15 @@ def pieces(
                         out.append((row, k, at // 4, len(part) // 4, zlib.crc32(part), *([part] if with_ids else [])))
                 names = ["_row", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
                 x = pd.DataFrame(out, columns=names)
-                x.insert(0, doc_id, b[doc_id].to_numpy(dtype=object)[x.pop("_row").to_numpy()] if out else [])
+                row = x.pop("_row").to_numpy()
+                x.insert(0, doc_id, b[doc_id].to_numpy(dtype=object)[row] if out else [])
+                for c in keep:
+                    x[c] = b[c].to_numpy(dtype=object)[row] if out else []
                 yield x
         finally:
             words.forget()
 
-    return df.select(doc_id, text).mapInPandas(cut, schema)
+    return df.select(doc_id, text, *keep).mapInPandas(cut, schema)
 
 
 # --- the reduced instance -------------------------------------------------
@@ -313,11 +318,8 @@ def pack(df: DataFrame, length: str = "length", size: int = SEQUENCE) -> DataFra
         s, n = lengths.to_numpy(np.int64), numbers.to_numpy(np.int64)
         if not len(s):
             return pd.DataFrame({"sequence": [], "offset": []}, dtype=np.int64)
-        # Numbers stay below 2**50: the sort key joins length and number.
-        at = np.searchsorted((t[:, 0] << 50) | t[:, 1], (s << 50) | n, side="right") - 1
-        row = t[at]
-        beyond = n - row[:, 1]
-        return pd.DataFrame({"sequence": row[:, 3] + beyond // row[:, 2], "offset": row[:, 4] + beyond % row[:, 2] * s})
+        sequence, offset = _places(t, s, n)
+        return pd.DataFrame({"sequence": sequence, "offset": offset})
 
     numbered = number_within(stored.withColumn(order, F.xxhash64(mid)), [length], order, number)
     return numbered.withColumn(place, where(F.col(length).cast("long"), F.col(number))).select(
@@ -325,6 +327,47 @@ def pack(df: DataFrame, length: str = "length", size: int = SEQUENCE) -> DataFra
     )
 
 
+def _places(t: np.ndarray, s: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sequence and offset of the items of length ``s`` numbered ``n``, from ``_intervals``."""
+    # Numbers stay below 2**50: the sort key joins length and number.
+    row = t[np.searchsorted((t[:, 0] << 50) | t[:, 1], (s << 50) | n, side="right") - 1]
+    beyond = n - row[:, 1]
+    return row[:, 3] + beyond // row[:, 2], row[:, 4] + beyond % row[:, 2] * s
+
+
+def pack_windows(df: DataFrame, window: str, order: Sequence[str], length: str = "length", size: int = SEQUENCE) -> DataFrame:
+    """As ``pack``, but rows are packed with those of their ``window`` (a whole number) only,
+    and the sequences of a window come before those of the next: the packed rows keep the order
+    the windows stand for. Windows are to be small enough for a task (the caller cuts them).
+    Within a length, rows fill sequences in the order of the columns ``order``. Each
+    window may end with sequences that another one would have filled. Null windows are an error.
+    """
+    (local,) = fresh(df, ["_local"])
+    seq, off = fresh(df, ["sequence_id", "offset"])
+    kinds = dict(df.dtypes)
+    schema = ", ".join([*[f"`{c}` {kinds[c]}" for c in df.columns], f"`{local}` long", f"`{off}` long"])
+
+    def place(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(list(order), kind="stable")
+        s = group[length].to_numpy(np.int64)
+        if group[window].isna().any() or (s < 1).any() or (s > size).any():
+            raise ValueError(f"windows must not be null, and lengths be from 1 to {size}")
+        kinds_of, n = np.unique(s, return_counts=True)
+        table = _intervals(solve(dict(zip(kinds_of.tolist(), n.tolist(), strict=True)), size))
+        number = group.groupby(length).cumcount().to_numpy(np.int64)
+        group[local], group[off] = _places(table, s, number)
+        return group
+
+    stored = materialize(df.groupBy(window).applyInPandas(place, schema), "packing-windows")
+    # One number for each window.
+    used = stored.groupBy(window).agg((F.max(local) + 1).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy(window).rowsBetween(Window.unboundedPreceding, -1))
+    base = used.select(F.col(window).alias("_w"), F.coalesce(before, F.lit(0)).alias("_base"))
+    return stored.join(base, F.col(window) == F.col("_w")).select(
+        *df.columns, (F.col("_base") + F.col(local)).alias(seq), off
+    )
+
+
 def sequences(packed: DataFrame, ids: str = "ids") -> DataFrame:
     """The packed sequences themselves: ``sequence_id`` and ``ids`` in order of
     offset, from ``pack`` over ``pieces(..., with_ids=True)``. A group holds at

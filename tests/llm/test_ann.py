@@ -77,3 +77,36 @@ def test_blocks_split_a_large_cell(spark, monkeypatch):
 def test_empty(spark, tables):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert op8_ann(spark, tables(embeddings=df)).count() == 0
+
+
+def test_few_scattered_vectors_answer_in_full(spark):
+    """Tables of 5 vectors owe 20 answers each; one table after the other in one id space."""
+    rng = np.random.default_rng(9)
+    for n, dim in ((5, 64), (5, 8), (3, 64), (40, 300)):
+        rows = [(i, rng.normal(size=dim).tolist()) for i in range(n)]
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        got = answers(ann.nearest(df, df, 5))
+        want = brute(rows, rows)
+        assert sum(map(len, got.values())) == n * min(5, n - 1)
+        if n <= 5:
+            assert {q: [i for i, _ in a] for q, a in got.items()} == {q: [i for i, _ in a] for q, a in want.items()}
+
+
+def test_a_lonely_vector_is_asked_of_all_rows(spark):
+    rng = np.random.default_rng(10)
+    base = rng.normal(size=32)
+    rows = [(i, (base + rng.normal(size=32) * 1e-3).tolist()) for i in range(500)] + [(1000, (-base).tolist()), (1001, rng.normal(size=32).tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = answers(ann.nearest(df, df.where("vec_id >= 1000"), 5, probes=1))
+    assert got.keys() == {1000, 1001} and all(len(a) == 5 for a in got.values())
+    want = brute(rows, rows[500:])
+    assert all([i for i, _ in got[q]] == [i for i, _ in want[q]] for q in got)
+
+
+def test_crowds_of_queries_are_split(spark, monkeypatch):
+    monkeypatch.setattr(ann, "QUERIES", 16)
+    rng = np.random.default_rng(11)
+    rows = [(i, rng.normal(size=6).tolist()) for i in range(200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = answers(ann.nearest(df, df, 5))
+    assert all(len(a) == 5 for a in got.values()) and recall(got, brute(rows, rows)) >= 0.9

@@ -25,7 +25,7 @@ def test_sketches_hold_what_is_below_the_threshold(spark, docs_of):
 def test_merge_is_the_sketch_of_the_union(docs_of):
     docs = docs_of([(1, "a b c d e f g h i j", "en", "x"), (2, "k l m n o p q", "en", "x"), (3, "a b c d e f", "en", "y")])
     s = FP.with_sketch(docs, F.col("text"), "s", scale=1)
-    got = {r["source"]: r["s"] for r in FP.merge(s, ["source"], "s").collect()}
+    got = {r["source"]: r["s"] for r in FP.merge(s, ["source"], "s", scale=1).collect()}
     parts = {r["doc_id"]: r["s"] for r in s.collect()}
     assert got["x"] == sorted(set(parts[1]) | set(parts[2])) and got["y"] == parts[3]
 
@@ -83,3 +83,13 @@ def test_main_path_is_native(spark, capsys):
     op3_fingerprints(spark, "/root/testdata/sf0.001").explain("formatted")
     plan = capsys.readouterr().out
     assert "Window" in plan and not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_a_merged_sketch_holds_what_the_union_would(docs_of):
+    """Many short texts and a long one: only one hash above the threshold stays."""
+    rows = [(i, f"short text number {i} here", "en", "a") for i in range(40)] + [(99, " ".join(f"w{k}" for k in range(400)), "en", "a")]
+    docs = docs_of(rows)
+    every = {h for r in FP.with_sketch(docs, F.col("text"), "s", scale=1).collect() for h in r["s"]}
+    want = sorted({h for h in every if (h % 2**64) >> 62 == 0} | {min(every)})
+    (got,) = FP.merge(FP.with_sketch(docs, F.col("text"), "s", scale=4), ["source"], "s", scale=4).collect()
+    assert got["s"] == want and sum((h % 2**64) >> 62 > 0 for h in want) <= 1

@@ -86,19 +86,5 @@ def test_given_weights_zero_and_clashes(spark, docs_of):
     assert {r["source"] for r in rows if r["_mix_slot"] is None} == {"other"}
     head = [r["source"] for r in sorted((r for r in rows if r["_mix_slot"] is not None), key=lambda r: (r["_mix_slot"], r["mix_place"]))]
     assert Counter(head[:24]) == {"a": 18, "b": 6}
-    kept = mixing.mixable(out)
-    assert Counter(r["source"] for r in kept.collect()) == {"a": 20, "b": 6}
     with pytest.raises(ValueError):
         mixing.mix(docs, weights={"a": -1})
-
-
-def test_one_source_stays_whole(docs_of):
-    docs = docs_of([(i, "x", "en", "a") for i in range(10)])
-    assert mixing.mixable(mixing.mix(docs)).count() == 10
-
-
-def test_a_short_phase_is_still_a_mix(docs_of):
-    """A source with one block may fill a phase by itself while others wait."""
-    docs = docs_of([(i, "x", "en", "ab"[i % 2]) for i in range(40)] + [(99, "x", "en", None)])
-    kept = Counter(r["source"] for r in mixing.mixable(mixing.mix(docs, block_rows=1)).collect())
-    assert kept[None] == 1 and kept["a"] >= 19 and kept["b"] >= 19

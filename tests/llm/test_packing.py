@@ -7,6 +7,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from starmart.llm import packing
 from starmart.llm.queries import op2_packing
 from tokenizers import Tokenizer
@@ -139,3 +140,36 @@ def test_bad_lengths_and_clashes(spark):
     for bad in (0, 2049, None):
         with pytest.raises(ValueError):
             packing.pack(spark.createDataFrame([(bad,)], "length int"))
+
+
+def test_windows_are_packed_apart(spark):
+    import random
+
+    draw = random.Random(4)
+    rows = [(w, i, draw.choice([3, 7, 7, 7, 500, 1024, 2048])) for w in (0, 2, 5) for i in range(200)]
+    df = spark.createDataFrame(rows, "w long, i int, length long").withColumn("offset", F.lit("x")).repartition(5)
+    out = packing.pack_windows(df, "w", ["i"]).collect()
+    bins = defaultdict(list)
+    for r in out:
+        bins[r["sequence_id"]].append((r["_offset"], r["length"], r["w"], r["i"]))
+    assert sorted(bins) == list(range(len(bins))) and sorted((r["w"], r["i"], r["length"]) for r in out) == sorted(rows)
+    for b in bins.values():
+        assert len({w for _, _, w, _ in b}) == 1 and [o for o, _, _, _ in sorted(b)] == [sum(n for _, n, _, _ in sorted(b)[:k]) for k in range(len(b))]
+        assert sum(n for _, n, _, _ in b) <= 2048
+    first = [sorted(bins[k])[0][2] for k in sorted(bins)]
+    assert first == sorted(first)
+    for w in (0, 2, 5):
+        total = sum(n for x, _, n in rows if x == w)
+        assert len([1 for x in first if x == w]) <= -(-total // 2048) + 2
+        # Equal lengths take their places in order.
+        sevens = sorted((r["sequence_id"], r["_offset"], r["i"]) for r in out if r["w"] == w and r["length"] == 2048)
+        assert [i for _, _, i in sevens] == sorted(i for _, _, i in sevens)
+    with pytest.raises(Exception, match="windows must not be null"):
+        packing.pack_windows(spark.createDataFrame([(None, 1, 5)], "w long, i int, length long"), "w", ["i"]).count()
+    assert packing.pack_windows(df.limit(0), "w", ["i"]).count() == 0
+
+
+def test_kept_columns_come_along(spark, docs_of):
+    out = packing.pieces(docs_of([(1, "a " * 3000, "en", "s"), (2, None, None, None)]), PATH, keep=("source", "n_chars"))
+    assert out.columns[-2:] == ["source", "n_chars"]
+    assert Counter((r["doc_id"], r["source"], r["n_chars"]) for r in out.collect()) == {(1, "s", 6000): 2, (2, None, None): 1}

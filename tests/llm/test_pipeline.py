@@ -81,10 +81,53 @@ def test_mix_stage_keeps_every_row(spark, docs_of, tmp_path):
     assert 85 <= sum(r[3] is None for r in out[:200]) <= 110 and {r[3] for r in out[-600:]} == {"hot"}
 
 
+def test_the_mix_reaches_the_packed_rows(spark, docs_of, tmp_path, monkeypatch):
+    """Sequences read from the front hold the sources in the mix's shares, though half of all rows are of one."""
+    monkeypatch.setattr(P, "WINDOW", 40)
+    rows = [(i, f"hot {words(i, 30)}", "en", "hot") for i in range(500)] + [(1000 + i, f"{'bcd'[i % 3]} {words(i, 30)}", "en", "bcd"[i % 3]) for i in range(500)]
+    mixed = step(spark, docs_of, tmp_path, rows, P.mix)
+    mixed.write.parquet(f"{tmp_path}/mixed")
+    stored = spark.read.parquet(f"{tmp_path}/mixed")
+    slots = sorted((r["mix_slot"], r["doc_id"]) for r in P.placed(stored).collect())
+    assert [s for s, _ in slots] == list(range(len(rows)))
+    out = P.pack(spark, stored, "").collect()
+    assert {(r["mix_slot"], r["doc_id"]) for r in out} == set(slots)
+    source = {r[0]: r[3] for r in rows}
+    last = -1
+    for k in sorted({r["sequence_id"] for r in out}):
+        windows = {r["mix_slot"] // 40 for r in out if r["sequence_id"] == k}
+        assert len(windows) == 1 and min(windows) >= last
+        last = min(windows)
+    n = Counter()
+    for r in sorted(out, key=lambda r: (r["sequence_id"], r["offset"]))[:400]:
+        n[source[r["doc_id"]]] += 1
+    # The hot source's target is a third; the others share the rest alike.
+    assert 110 <= n["hot"] <= 160 and max(n[s] for s in "bcd") - min(n[s] for s in "bcd") <= 25
+
+
+def test_placed_rows_of_no_file(spark, docs_of):
+    df = docs_of([(i, "x", "en", "a") for i in range(20)]).withColumn("mix_slot", F.lit("x"))
+    out = P.placed(df)
+    assert out.columns == [*df.columns, "_mix_slot"] and sorted(r["_mix_slot"] for r in out.collect()) == list(range(20))
+
+
+def test_whole_run_equals_the_stages_one_by_one(spark, docs_of, tables, tmp_path, rows):
+    sf = tables(documents=docs_of(rows))
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for k, (_, stage) in enumerate(P.STAGES):
+        columns = docs.columns
+        stage(spark, docs, sf).write.parquet(f"{tmp_path}/by-hand-{k}")
+        docs = spark.read.parquet(f"{tmp_path}/by-hand-{k}")
+        assert k == len(P.STAGES) - 1 or docs.columns == columns
+    key = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    got = P.run(spark, sf)
+    assert Counter(map(tuple, got.select(*key).collect())) == Counter(map(tuple, docs.select(*key).collect()))
+
+
 def test_whole_run(spark, docs_of, tables, rows):
     sf = tables(documents=docs_of(rows).withColumn("_key", F.lit("x")))
     out = P.run(spark, sf)
-    assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "mix_slot"]
     ids = {r["doc_id"] for r in out.collect()}
     assert ids >= {0, 1, 2, 3, 4, 5, 300} and not ids & {101, 200, 201}
     assert P.run(spark, tables(documents=docs_of([]))).count() == 0
