@@ -9,7 +9,8 @@ secret scans   found secrets are replaced in the text
 mixing         sources are mixed to target shares (none above a third); the
                rows come in the order of the mix, all of them: the surplus of a source
                that is left alone at the end comes last
-packing        pieces of at most 2048 tokens with their place in a sequence
+packing        pieces of at most 2048 tokens with their place in a sequence; pieces that
+               are near in the mix are packed together, so sequences follow the mix
 
 A null text has no language and goes in the first stage; other nulls are kept.
 An empty table passes through as an empty table.
@@ -17,7 +18,8 @@ An empty table passes through as an empty table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starmart.checkpoint import materialize
@@ -79,9 +81,38 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keyed.join(places, key).repartitionByRange(F.col(slot)).sortWithinPartitions(slot).select(*docs.columns)
 
 
+#: Documents that stand next to each other in the mix and are packed together.
+WINDOW = 8192
+
+
+def placed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``mix_slot``: a row's place (from 0, without gaps) in the order in which the stage
+    before has written it, that is, by its part file's number and its row there. Rows
+    that don't come from such files keep the order they have."""
+    slot, part, row = fresh(docs, ["mix_slot", "_part", "_row"])
+    try:
+        file = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1)
+        x = docs.select(*docs.columns, F.coalesce(file.try_cast("int"), F.lit(0)).alias(part), F.col("_metadata.row_index").alias(row))
+    except AnalysisException:  # no files below: there is no such column
+        at = F.monotonically_increasing_id()
+        x = docs.withColumns({part: F.shiftright(at, 33).cast("int"), row: at.bitwiseAND(F.lit((1 << 33) - 1))})
+    # One number for each part file.
+    sizes = x.groupBy(part).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select(F.col(part).alias("_p"), F.coalesce(before, F.lit(0)).alias("_start"))
+    return x.join(starts, F.col(part).eqNullSafe(F.col("_p"))).select(*docs.columns, (F.col("_start") + F.col(row)).cast("long").alias(slot))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The packed pieces."""
-    return packing.pack(packing.pieces(docs, word_tokenizer()))
+    """The packed pieces, window by window of the mix: sequences follow its order, so
+    those read first hold the sources in their target shares."""
+    in_order = placed(docs)
+    slot = in_order.columns[-1]
+    rows = in_order.select("doc_id", "text", F.col(slot).alias("mix_slot"))
+    pieces = packing.pieces(rows, word_tokenizer(), keep=("mix_slot",))
+    cut = pieces.withColumn("_window", F.floor(F.col("mix_slot") / WINDOW).cast("long"))
+    out = packing.pack_windows(cut, "_window", ["mix_slot", "piece"])
+    return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "mix_slot")
 
 
 STAGES = [
