@@ -255,3 +255,27 @@ def test_summary_report_scans_the_fact_once(spark):
     fact_scans = [ln for ln in final.splitlines() if "FileScan parquet" in ln and "total_amount" in ln]
     assert len(fact_scans) == 1
     assert "Subquery" not in final
+
+
+def test_published_marts_read_the_fact_once(spark):
+    s = star(spark, SF_SMALL)
+    plan = _plan(M.grand_rollup(s))
+    # One scan for the fact, one for each dimension that is grouped by.
+    assert plan.count("FileScan") == 4 and plan.count("Expand") == 1
+    split = M.split_grand_rollup(M.grand_rollup(s))
+    for name, one in (("hourly", M.hourly(s.fact, s.datetime)), ("popular_locations", M.popular_locations(s.fact, s.location)),
+                      ("payment", M.payment(s.fact, s.payment)), ("daily", M.daily(s.fact, s.datetime))):
+        assert split[name].columns == one.columns
+        assert split[name].exceptAll(one).count() == 0 and one.exceptAll(split[name]).count() == 0
+    report, whole = M.rollup_report(M.grand_rollup(s)).first(), M.summary_report(s.fact, s.payment).first()
+    assert report == whole
+
+
+def test_a_fact_that_one_dimension_lacks_counts_in_the_others(spark):
+    s = star(spark, SF_SMALL)
+    lame = FT.Star(s.datetime, s.location, s.payment.where("payment_id > 1"), s.passenger, s.fact)
+    split = M.split_grand_rollup(M.grand_rollup(lame))
+    one = M.payment(lame.fact, lame.payment)
+    assert split["payment"].exceptAll(one).count() == 0 and one.count() == split["payment"].count()
+    assert split["hourly"].agg({"num_trips": "sum"}).first()[0] == s.fact.count()
+    assert M.rollup_report(M.grand_rollup(lame)).first() == M.summary_report(lame.fact, lame.payment).first()
