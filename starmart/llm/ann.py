@@ -11,8 +11,12 @@ by their exact cosine in double precision.
 Every vector is indexed in every table. Equal vectors are one class, so a
 vector that a third of the rows repeat is hashed once; a class keeps as many of
 its smallest ids as any answer can use. Large cells are split into blocks of
-bounded size, and a task multiplies a block's matrix with the queries that visit
-it, so no cell has to fit one task and no pairs are stored.
+bounded size, queries into batches, and a task multiplies a block's matrix with the queries of a
+batch that visit it, so no cell and no crowd of queries has to fit one task and no pairs are stored.
+
+A query for which the visited cells hold fewer candidates than it asks for (among few or
+scattered vectors) is asked again, of all blocks of one table, which hold every vector: it gets
+its exact answer, or all candidates there are.
 
 How many cells must be visited for a recall depends on the data: for nearly
 independent vectors the nearest are hardly nearer than others, and the default
@@ -41,6 +45,8 @@ WIDTH = 2.5
 BLOCK = 4096
 #: Vectors (of all tables) that one task's group holds, about.
 GROUP = 32_768
+#: Queries that meet a group at a time, about.
+QUERIES = 4096
 
 
 @lru_cache(maxsize=8)
@@ -121,7 +127,7 @@ def nearest(
     """For each row of ``queries`` (rows of ``df``, same columns) its ``k``
     nearest found among the other rows of ``df``: ``query_id``, ``rank`` (from
     1), ``vec_id``, ``score`` (the cosine), nearest first, ties to the smaller
-    id. Fewer than ``k`` if fewer were found.
+    id. All candidates, if there are fewer than ``k``.
 
     Vectors that are null, empty or zero, or hold a null or non-finite
     component, and rows with a null id take no part. Vectors of different
@@ -140,7 +146,7 @@ def nearest(
                 walls = np.floor(_projected(unit(x), tables, hashes, width, seed))
                 ids, raw = b["vid"].to_numpy()[at], [r.tobytes() for r in x]
                 for t in range(tables):
-                    yield pd.DataFrame({"cell": _cell(np.array(t), x.shape[1], walls[t]), "vid": ids, "raw": raw})
+                    yield pd.DataFrame({"cell": _cell(np.array(t), x.shape[1], walls[t]), "vid": ids, "raw": raw, "first": t == 0})
 
     def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         moves = _moves(hashes)
@@ -157,7 +163,7 @@ def nearest(
                         cells = _cell(np.array(t), x.shape[1], walls[t, n] + moves[first])
                         yield pd.DataFrame({"vid": b["vid"].iloc[i], "cell": np.unique(cells)})
 
-    indexed = materialize(classes.select("vid", "vector").mapInPandas(index, "cell long, vid long, raw binary"), "ann-index")
+    indexed = materialize(classes.select("vid", "vector").mapInPandas(index, "cell long, vid long, raw binary, first boolean"), "ann-index")
     sizes = materialize(
         indexed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
         .select("cell", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "ann-cells"
@@ -166,24 +172,23 @@ def nearest(
     group = F.pmod(F.xxhash64("cell", "block"), F.lit(groups)).cast("int").alias("g")
     stored = indexed.join(sizes, "cell").withColumn(
         "block", F.pmod(F.xxhash64("vid"), F.col("blocks")).cast("int")
-    ).select(group, "cell", "block", "vid", "raw")
+    ).select(group, "cell", "block", "vid", "raw", "first")
     hunted = classes.join(wanted.select("vid").distinct(), "vid", "left_semi").select("vid", "vector")
     visits = (
         hunted.mapInPandas(visit, "vid long, cell long").join(sizes, "cell")
         .select("vid", "cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
         .select("vid", group, F.struct("cell", "block").alias("at"))
     )
-    # A query goes to a group once, with all it visits there.
-    sent = visits.groupBy("g", "vid").agg(F.collect_list("at").alias("ats")).join(hunted, "vid")
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         best: dict[int, dict[int, float]] = {}
         if len(left) and len(right):
             vectors = [np.asarray(v, dtype=np.float64) for v in right["vector"]]
             asks: dict[tuple[int, int], list[int]] = {}
+            every = list(left.groupby(["cell", "block"]).groups)
             for n, ats in enumerate(right["ats"]):
-                for at in ats:
-                    asks.setdefault((at["cell"], at["block"]), []).append(n)
+                for at in every if ats is None else ((a["cell"], a["block"]) for a in ats):
+                    asks.setdefault(at, []).append(n)
             for at, part in left.groupby(["cell", "block"]):
                 for dim in {len(vectors[n]) for n in asks.get(at, ())}:
                     who = [n for n in asks[at] if len(vectors[n]) == dim]
@@ -206,22 +211,45 @@ def nearest(
             out += [(right["vid"].iloc[n], v, s) for v, s in top]
         return pd.DataFrame(out, columns=["q", "vid", "score"])
 
-    met = stored.groupBy("g").cogroup(sent.groupBy("g")).applyInPandas(search, "q long, vid long, score double")
-    once = met.groupBy("q", "vid").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("q").orderBy(F.desc("score"), "vid")
-    top = materialize(once.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1).drop("n"), "ann-top")
-
-    # Exact rerank of the merged candidates, then from classes to their rows.
-    both = top.join(classes.select(F.col("vid").alias("q"), F.col("vector").alias("qv")), "q").join(classes, "vid")
+    def hunt(rows: DataFrame, visits: DataFrame, n: int) -> DataFrame:
+        """The ``k`` + 1 best classes found for each of ``n`` classes of queries; ``visits``:
+        where each goes in a group (null: everywhere)."""
+        crowds = max(1, -(-n // QUERIES))
+        crowd = F.pmod(F.xxhash64("vid", F.lit(5)), F.lit(crowds)).cast("int").alias("crowd")
+        sent = visits.select("g", crowd, "vid", "ats", "vector")
+        offered = rows.drop("first").withColumn("crowd", F.explode(F.sequence(F.lit(0), F.lit(crowds - 1))))
+        met = offered.groupBy("g", "crowd").cogroup(sent.groupBy("g", "crowd")).applyInPandas(search, "q long, vid long, score double")
+        once = met.groupBy("q", "vid").agg(F.max("score").alias("score"))
+        order = Window.partitionBy("q").orderBy(F.desc("score"), "vid")
+        return once.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1).drop("n")
 
     @F.pandas_udf("double")
     def cosine(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([float(np.clip(_cosine(x, y), -1, 1)) for x, y in zip(a, b, strict=True)], dtype="float64")
 
-    scored = both.select("q", F.explode("ids").alias("id"), cosine("qv", "vector").alias("score"))
-    answers = wanted.withColumnRenamed("vid", "q").join(scored, "q").where(F.col("query_id") != F.col("id"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
-    return answers.select("query_id", rank.alias("rank"), F.col("id").alias("vec_id"), "score").where(F.col("rank") <= k)
+    def answered(top: DataFrame, wanted: DataFrame) -> DataFrame:
+        """Exact rerank of the merged candidates, then from classes to their rows."""
+        both = top.join(classes.select(F.col("vid").alias("q"), F.col("vector").alias("qv")), "q").join(classes, "vid")
+        scored = both.select("q", F.explode("ids").alias("id"), cosine("qv", "vector").alias("score"))
+        answers = wanted.withColumnRenamed("vid", "q").join(scored, "q").where(F.col("query_id") != F.col("id"))
+        rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
+        return answers.select("query_id", rank.alias("rank"), F.col("id").alias("vec_id"), "score").where(F.col("rank") <= k)
+
+    # A query goes to a group once, with all it visits there.
+    visits = visits.groupBy("g", "vid").agg(F.collect_list("at").alias("ats")).join(hunted, "vid")
+    found = materialize(answered(hunt(stored, visits, wanted.count()), wanted), "ann-found")
+    full = found.where(F.col("rank") == k).select("query_id")
+    short = materialize(wanted.join(full, "query_id", "left_anti"), "ann-short")
+    left = short.count()
+    if not left:
+        return found
+    # Every vector is in each table once: the first table's blocks are all rows.
+    everywhere = hunted.join(short.select("vid").distinct(), "vid", "left_semi").select(
+        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"), "vid", "vector",
+        F.lit(None).cast("array<struct<cell:bigint,block:int>>").alias("ats"),
+    )
+    rest = answered(hunt(stored.where("first"), everywhere, left), short)
+    return found.join(full, "query_id", "left_semi").unionByName(rest)
 
 
 def _cosine(a, b) -> float:
