@@ -56,7 +56,7 @@ def read_from_files(df: DataFrame) -> bool:
     return "FileScan" in plan and not any(x in plan for x in costly)
 
 
-def _delete(spark: SparkSession, folder: str) -> bool:
+def delete_folder(spark: SparkSession, folder: str) -> bool:
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(folder)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -75,4 +75,4 @@ def scratch_scope(spark: SparkSession, release: bool = True) -> Iterator[str]:
     finally:
         _SCOPE.reset(token)
         if release:
-            _delete(spark, folder)
+            delete_folder(spark, folder)

@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.checkpoint import app_root
+from starmart.checkpoint import app_root, delete_folder
 from starmart.operators import dims as D
 from starmart.operators import facts as FT
 from starmart.operators import marts as M
@@ -39,6 +39,19 @@ def _memo(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], object
     return _CACHE[key]
 
 
+def release(spark: SparkSession, sf_dir: str | None = None) -> int:
+    """Forget what this application's queries keep (of one folder, or of all), and
+    delete the application's intermediate tables once nothing is kept any more; how many things were
+    kept. DataFrames of earlier queries can't be read after that."""
+    app = spark.sparkContext.applicationId
+    mine = [k for k in _CACHE if k[0] == app and (sf_dir is None or k[1] == sf_dir.rstrip("/"))]
+    for k in mine:
+        del _CACHE[k]
+    if not any(k[0] == app for k in _CACHE):
+        delete_folder(spark, app_root(spark))
+    return len(mine)
+
+
 def _trips(spark: SparkSession, sf_dir: str, variant: str = "coords") -> DataFrame:
     """The staged trips of ``sf_dir`` (written once, read by every step)."""
     return _memo(spark, sf_dir, f"trips:{variant}", lambda: stage(trips_from_tables(spark, sf_dir, variant)))

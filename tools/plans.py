@@ -38,6 +38,8 @@ def main() -> None:
         "fact build: joins before the trip-id key": captured["pre_key_fact"],
         "mart: hourly": M.hourly(s.fact, s.datetime),
         "marts: hourly + daily by grouping sets": M.datetime_rollup(s.fact, s.datetime),
+        "all marts and the report: one scan of the fact (grand_rollup)": M.grand_rollup(s),
+        "facts: a projection of what the one range pass has stored": s.fact,
         "mart: popular locations": M.popular_locations(s.fact, s.location),
         "payment distribution (scalar subquery)": M.payment_distribution(s.fact, s.payment),
         "summary report (one scan of the fact)": M.summary_report(s.fact, s.payment),
@@ -66,6 +68,7 @@ def main() -> None:
         "at scale: fact build joins (datetime by sort-merge)": captured["pre_key_fact"],
         "at scale: trip-id numbering written by dense_key (range exchange, local sorts)":
             numbered(captured["pre_key_fact"], fact_order, unique=False),
+        "at scale: all marts from one scan (grand_rollup)": M.grand_rollup(s),
         "at scale: hourly + daily by grouping sets": M.datetime_rollup(s.fact, s.datetime),
         "at scale: check orphans": Q.check_orphans(s.fact, s.tables()),
     }
