@@ -12,8 +12,11 @@ that band. So bands are evaluated only for windows around such shingles, which
 are few; the result is that of evaluating all windows.
 
 A retrieved window (and a quarter more on both sides) is verified: the share of the
-template's distinct shingles in it must reach ``CONTAINMENT``. Everything is DataFrame
-functions on arrays within a row; only the matches are grouped.
+template's distinct shingles in it must reach ``CONTAINMENT``. Notices of related
+licenses share most of their words, so of two licenses found in the same words (one has
+half of the other's or more) the one with the larger containment stays. Everything is DataFrame
+functions on arrays within a row, cut to a few template lengths around a hit; only the
+matches are grouped.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from starmart.checkpoint import materialize
 from starmart.llm.common import fresh
 
 SHINGLE = 5
@@ -44,6 +48,24 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
                 "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
                 "option) any later version."),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+                "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+                "option) any later version."),
+    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+                 "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
+                 "(at your option) any later version."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+                 "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or "
+                 "(at your option) any later version."),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+                 "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
+                 "(at your option) any later version."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"),
+    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
     ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
             "following conditions are met"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
@@ -104,6 +126,8 @@ def scan_licenses(
     ``begin_word`` and ``end_word`` (exclusive; words are runs of letters and digits,
     from 0), ``containment`` (the largest there) and ``matched``, the words.
 
+    Of rival licenses in the same words the best one is given.
+
     Null, empty and short texts have none; every row is scanned for itself, so
     repeated rows give repeated matches. Templates need 5 words or more;
     others are never found. ``templates`` is meant to be a hand-kept list: it is broadcast.
@@ -114,14 +138,21 @@ def scan_licenses(
     wanted = [r["key"] for r in keys.select("key").distinct().collect()]
     x = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).withColumn("row", F.monotonically_increasing_id())
     x = _shingled(x, F.col("text"), "words", "hashes").select("row", "doc_id", "words", "hashes")
-    hit = F.transform("hashes", lambda h, i: F.when(h.isin(wanted), F.struct(i.alias("at"), h.alias("key"))))
-    hits = F.array_compact(hit) if wanted else F.array().cast("array<struct<at:int,key:bigint>>")
+    # What a hit may need of a long text: two template lengths on both sides.
+    reach = 2 * (keys.agg(F.max(F.size("shingles"))).first()[0] or 1)
+    first = lambda i: F.greatest(i - reach, F.lit(0))
+    hit = F.transform("hashes", lambda h, i: F.when(h.isin(wanted), F.struct(
+        (i - first(i)).alias("at"), h.alias("key"), first(i).alias("first"), F.size("hashes").alias("total"),
+        F.slice("hashes", first(i) + 1, F.lit(2 * reach)).alias("hashes"), F.slice("words", first(i) + 1, F.lit(2 * reach + SHINGLE)).alias("words"),
+    )))
+    hits = F.array_compact(hit) if wanted else F.array().cast("array<struct<at:int,key:bigint,first:int,total:int,hashes:array<bigint>,words:array<string>>>")
     # explode_outer: a plain explode lets the optimizer compute ``hits`` twice.
-    x = x.withColumn("hit", F.explode_outer(hits)).where("hit is not null").select("row", "doc_id", "words", "hashes", "hit.*")
+    x = x.withColumn("hit", F.explode_outer(hits)).where("hit is not null").select("row", "doc_id", "hit.*")
     x = x.join(F.broadcast(keys), "key")
 
+    # Places are counted from the piece's first shingle up to ``matched``, then in the text.
     n = F.size("shingles")
-    last = F.greatest(F.size("hashes") - n, F.lit(0))
+    last = F.greatest(F.col("total") - n - F.col("first"), F.lit(0))
     low, high = F.greatest(F.col("at") - n + 1, F.lit(0)), F.least(F.col("at"), last)
     starts = F.filter(F.sequence(low, high), lambda s: _band(F.slice("hashes", s + 1, n), F.col("band")) == F.col("value"))
     slack = F.ceil(n / 4).cast("int")
@@ -139,9 +170,10 @@ def scan_licenses(
 
     x = x.withColumn("starts", F.when(low <= high, starts))
     x = x.withColumn("best", F.array_max(F.transform("starts", verified))).where(F.col("best.containment") >= containment)
+    begin, end = -F.col("best.minus_begin"), F.col("best.end_word")
     found = x.select(
-        "row", "doc_id", "license", "template", (-F.col("best.minus_begin")).alias("begin_word"), "best.end_word", "best.containment",
-        F.array_join(F.slice("words", 1 - F.col("best.minus_begin"), F.col("best.end_word") + F.col("best.minus_begin")), " ").alias("matched"),
+        "row", "doc_id", "license", "template", (F.col("first") + begin).alias("begin_word"), (F.col("first") + end).alias("end_word"),
+        "best.containment", F.array_join(F.slice("words", begin + 1, end - begin), " ").alias("matched"),
     )
     # Hits of one place (one for each band, and near windows) become one match.
     line = Window.partitionBy("row", "license").orderBy("begin_word", F.desc("end_word"), "template")
@@ -151,5 +183,24 @@ def scan_licenses(
     # The most complete wording names the place; of equals the longest, then the first.
     rank = F.struct("containment", F.col("end_word") - F.col("begin_word"), -F.col("begin_word"), -F.col("template"))
     row = F.struct("doc_id", "template", "begin_word", "end_word", "containment", "matched")
-    best = placed.groupBy("row", "license", "place").agg(F.max_by(row, rank).alias("b"))
-    return best.select("b.doc_id", "license", "b.template", "b.begin_word", "b.end_word", "b.containment", "b.matched")
+    best = placed.groupBy("row", "license", "place").agg(F.max_by(row, rank).alias("b")).select("row", "license", "b.*")
+    return _without_rivals(best, 2 * reach).select(
+        "doc_id", "license", "template", "begin_word", "end_word", "containment", "matched"
+    )
+
+
+def _without_rivals(found: DataFrame, longest: int) -> DataFrame:
+    """The matches without those of which half or more lies in a better one of another license:
+    a larger containment, or the longer, or the first template of equals. Matches are at most ``longest``
+    words long, so only those in the same stretch of a text are compared."""
+    stored = materialize(found.withColumn("match", F.monotonically_increasing_id()), "licenses")
+    first, last = F.floor(F.col("begin_word") / longest), F.floor((F.col("end_word") - 1) / longest)
+    size = F.col("end_word") - F.col("begin_word")
+    rank = F.struct("containment", size.alias("size"), (-F.col("template")).alias("order"))
+    spread = stored.select("row", "license", "match", "begin_word", "end_word", rank.alias("rank"), F.explode(F.sequence(first, last)).alias("stretch"))
+    other = spread.select("row", "stretch", *[F.col(c).alias(f"o_{c}") for c in ("license", "begin_word", "end_word", "rank")])
+    shared = F.least("end_word", "o_end_word") - F.greatest("begin_word", "o_begin_word")
+    beaten = spread.join(other, ["row", "stretch"]).where(
+        (F.col("license") != F.col("o_license")) & (F.col("o_rank") > F.col("rank")) & (2 * shared >= F.col("end_word") - F.col("begin_word"))
+    )
+    return stored.join(beaten.select("match").distinct(), "match", "left_anti")

@@ -1,4 +1,5 @@
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -17,15 +18,19 @@ def brute(text):
     """Licenses with a window of template size, a quarter more on both sides,
     that holds 80 % of the template's shingles, over all windows."""
     w = sh(WORDS.findall((text or "").lower()))
-    out = set()
+    out = {}
     for name, wording in L.TEMPLATES:
         t = set(sh(WORDS.findall(wording.lower())))
         n = len(sh(WORDS.findall(wording.lower())))
         slack = -(-n // 4)
         for s in range(max(1, len(w) - n + 1)):
-            if len(t & set(w[max(0, s - slack) : s + n + slack])) >= 0.8 * len(t):
-                out.add(name)
-    return out
+            share = len(t & set(w[max(0, s - slack) : s + n + slack])) / len(t)
+            if share >= 0.8:
+                out.setdefault(name, []).append((share, s, s + n))
+    # Of licenses found in the same place the best one counts.
+    best = {k: max(v) for k, v in out.items()}
+    return {k for k, (share, a, z) in best.items()
+            if not any(o != k and share2 > share and min(z, z2) > max(a, a2) for o, (share2, a2, z2) in best.items())}
 
 
 LONG = dict((k, v) for k, v in L.TEMPLATES if len(v) > 120)
@@ -93,3 +98,23 @@ def test_main_path_is_native(spark, capsys):
     op5_licenses(spark, "/root/testdata/sf0.001").explain("formatted")
     plan = capsys.readouterr().out
     assert "BroadcastHashJoin" in plan and not any(x in plan for x in ("Python", "Pandas", "Arrow", "ExistingRDD"))
+
+
+def test_related_licenses_are_told_apart(spark, docs_of):
+    rows = [(i, f"Some words before. {wording} And some after it.", "en", "a") for i, (_, wording) in enumerate(L.TEMPLATES)]
+    between = " and other words that stand between one notice and the next one " * 4
+    rows.append((99, between.join(w for _, w in L.TEMPLATES[4:13]), "en", "a"))
+    out = L.scan_licenses(docs_of(rows)).collect()
+    for i, (name, _) in enumerate(L.TEMPLATES):
+        assert [r["license"] for r in out if r["doc_id"] == i] == [name]
+    assert {r["license"] for r in out if r["doc_id"] == 99} == {n for n, _ in L.TEMPLATES[4:13]}
+
+
+def test_many_hits_of_a_long_text(spark, docs_of):
+    """Rows hold a few template lengths each, not the whole text."""
+    text = " ".join(f"Released under the MIT License. line {i}" for i in range(20_000))
+    out = L.scan_licenses(docs_of([(1, text, "en", "a")], 1))
+    wall = time.time()
+    got = out.select("begin_word").collect()
+    assert sorted(r["begin_word"] for r in got) == [7 * i for i in range(20_000)]
+    assert time.time() - wall < 60
