@@ -99,7 +99,8 @@ def placed(docs: DataFrame) -> DataFrame:
     # One number for each part file.
     sizes = x.groupBy(part).agg(F.count(F.lit(1)).alias("_n"))
     before = F.sum("_n").over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1))
-    starts = sizes.select(F.col(part).alias("_p"), F.coalesce(before, F.lit(0)).alias("_start"))
+    # Stored, so that the join knows how small it is and leaves the texts where they are.
+    starts = materialize(sizes.select(F.col(part).alias("_p"), F.coalesce(before, F.lit(0)).alias("_start")), "pipeline-starts")
     return x.join(starts, F.col(part).eqNullSafe(F.col("_p"))).select(*docs.columns, (F.col("_start") + F.col(row)).cast("long").alias(slot))
 
 
