@@ -25,7 +25,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.checkpoint import materialize
@@ -34,7 +34,7 @@ from starmart.jobs import concurrently
 from starmart.operators import dims as D
 from starmart.operators.joins import lookup_join
 from starmart.operators.keys import dense_key
-from starmart.operators.onepass import SEQUENCE, number_both, with_sequence
+from starmart.operators.onepass import SEQUENCE, number_both, ranges_of, with_sequence
 from starmart.schema import COORD_COLUMNS, FACT, FACT_ZONE, TRIPS_COORD, TRIPS_ZONE
 from starmart.sources.staging import stage
 
@@ -88,7 +88,10 @@ def build(
     """
     how, null_safe = _policy(null_keys)
     staging = TRIPS_COORD.fieldNames()
-    x = trips.select(*staging, duration_seconds("pickup_datetime", "dropoff_datetime", duration_unit).alias("trip_duration"))
+    # Trips are told apart where they are read, so that nothing is sorted for it behind the joins.
+    x = trips.select(*staging)
+    ranges = ranges_of(x)
+    x = with_sequence(x, staging) if order_ids else x
 
     dt = dim_datetime.select(
         "datetime_id", F.col("pickup_datetime").alias("_k_pickup"), F.col("dropoff_datetime").alias("_k_dropoff")
@@ -96,10 +99,17 @@ def build(
     x = _with_small_keys(x, dim_location, dim_payment, dim_passenger, how, null_safe)
     x = lookup_join(x, dt, [("pickup_datetime", "_k_pickup"), ("dropoff_datetime", "_k_dropoff")], how, null_safe)
 
-    x = x.select(*staging, "datetime_id", "location_id", "payment_id", "passenger_id", "trip_duration")
-    order = [*staging, "datetime_id"] if order_ids else None
-    keyed = dense_key(x, order, name="trip_id", first_id=first_id, unique=False)
-    return keyed.select(*FACT.fieldNames())
+    order = [*staging, "datetime_id", SEQUENCE] if order_ids else None
+    x = x.select(*(order or [*staging, "datetime_id"]), "location_id", "payment_id", "passenger_id")
+    return dense_key(x, order, name="trip_id", first_id=first_id, num_partitions=ranges, keep=_own(duration_unit)).select(
+        *FACT.fieldNames()
+    )
+
+
+def _own(duration_unit: str) -> list[Column]:
+    """A fact's columns but its id, the duration made of the trip's times."""
+    made = {"trip_duration": duration_seconds("pickup_datetime", "dropoff_datetime", duration_unit).alias("trip_duration")}
+    return [made.get(c, F.col(c)) for c in FACT.fieldNames() if c != "trip_id"]
 
 
 def _with_small_keys(
@@ -125,19 +135,30 @@ def build_both(
     first_id: int = 1,
 ) -> tuple[DataFrame, DataFrame]:
     """(datetime dimension, facts) of the distinct grain from one range pass:
-    what ``datetime_dim`` and ``build`` give, without joining one to the other."""
+    what ``datetime_dim`` and ``build`` give, without joining one to the other.
+
+    The dimensions are those ``dims`` makes of these trips: their ids are in key order, so
+    the facts are sorted by ids in the keys' stead, and only ids, times and measures are shuffled.
+    """
     null_safe = _policy(null_keys)[1]
     staging = TRIPS_COORD.fieldNames()
     pair = ["pickup_datetime", "dropoff_datetime"]
     ids = ["location_id", "payment_id", "passenger_id"]
-    x = trips.select(*staging, duration_seconds(*pair, duration_unit).alias("trip_duration"))
     # Left joins: a trip that is no fact still has a timestamp pair.
-    x = _with_small_keys(with_sequence(x, staging), dim_location, dim_payment, dim_passenger, "left", null_safe)
+    x = trips.select(*staging)
+    ranges = ranges_of(x)
+    x = with_sequence(x, staging)
+    x = _with_small_keys(x, dim_location, dim_payment, dim_passenger, "left", null_safe).select(*BY_IDS, SEQUENCE)
     known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*pair, *ids]])
-    x = x.withColumn("_counts", F.lit(True) if null_safe else known)
-    keep = [c for c in FACT.fieldNames() if c not in ("trip_id", "datetime_id")]
-    fact, pairs = number_both(x, pair, staging, "_counts", keep, "datetime_id", "trip_id", first_id)
-    return D.datetime_columns(pairs, week_start), fact.select(*FACT.fieldNames())
+    fact, pairs = number_both(x, pair, BY_IDS, F.lit(True) if null_safe else known, BY_IDS, "datetime_id", "trip_id", first_id, ranges)
+    return D.datetime_columns(pairs, week_start), fact.select("trip_id", *_own(duration_unit))
+
+
+#: The staging order with the ids of a trip's members in the place of their keys.
+BY_IDS = list(dict.fromkeys(
+    {**dict.fromkeys(COORD_COLUMNS, "location_id"), "passenger_count": "passenger_id", "payment_type": "payment_id"}.get(c, c)
+    for c in TRIPS_COORD.fieldNames()
+))
 
 
 def _unfolded(x: DataFrame) -> DataFrame:
@@ -174,7 +195,8 @@ def build_per_row(
     A pair is therefore one row here, its first id and k, and no k x k join is made: a trip meets
     its pair once, its k ids are cut into ranges of ``RANGE``, the (trip, range) rows are
     dealt evenly whatever their pair, and only then unfolded to facts. So the facts of a pair
-    with a third of all trips are made by all tasks.
+    with a third of all trips are made by all tasks. The other dimensions are those ``dims`` makes of these
+    trips (ids in key order): from their joins on a row has ids in the keys' place.
     """
     how, null_safe = _policy(null_keys)
     staging = TRIPS_COORD.fieldNames()
@@ -185,15 +207,15 @@ def build_per_row(
         F.min("datetime_id").alias("_low"),
         F.when(in_a_row, found).otherwise(F.raise_error(F.lit("a pair's ids are not in a row"))).alias("_k"),
     )
-    x = with_sequence(trips.select(*staging, duration_seconds(*pair, duration_unit).alias("trip_duration")), staging)
-    x = _with_small_keys(x, dim_location, dim_payment, dim_passenger, how, null_safe)
-    x = lookup_join(x, pairs, [(c, f"_k_{c}") for c in pair], how, null_safe)
-    x = _unfolded(x)
-    x = x.select(*staging, "datetime_id", "location_id", "payment_id", "passenger_id", "trip_duration")
+    x = with_sequence(trips.select(*staging), staging)
+    x = _with_small_keys(x, dim_location, dim_payment, dim_passenger, how, null_safe).select(*BY_IDS, SEQUENCE)
+    x = lookup_join(x, pairs, [(c, f"_k_{c}") for c in pair], how, null_safe).select(*BY_IDS, SEQUENCE, "_low", "_k")
     # (staging, datetime id) repeats for equal trips, which are told apart by a number.
-    return dense_key(x, [*staging, "datetime_id"] if order_ids else None, name="trip_id", first_id=first_id, unique=False).select(
-        *FACT.fieldNames()
-    )
+    order = [*BY_IDS, "datetime_id", SEQUENCE]
+    x = _unfolded(x).select(*order)
+    return dense_key(
+        x, order if order_ids else None, name="trip_id", first_id=first_id, keep=_own(duration_unit)
+    ).select(*FACT.fieldNames())
 
 
 def weigh(fact: DataFrame, dim_datetime: DataFrame, trips: DataFrame) -> DataFrame:
@@ -311,11 +333,12 @@ def resolve_batch(
     coords = variant == "coords"
 
     def member(name: str, keys: list[str], id_name: str, own: list[str], rows) -> tuple[DataFrame, DataFrame]:
-        wanted = materialize(trips.select(*keys).distinct(), f"batch-{name}")
+        wanted = materialize(trips.select(*keys).distinct(), f"batch-{name}", compact=True)
         pairs = list(zip(keys, [f"_k_{k}" for k in keys], strict=True))
         dim = stored[name].select(F.col(id_name), *[F.col(o).cast(wanted.schema[k].dataType).alias(f"_k_{k}") for k, o in zip(keys, own, strict=True)])
         known = materialize(
-            lookup_join(dim, wanted, [(b, a) for a, b in pairs], "inner", null_safe=True).select(id_name, *keys), f"known-{name}"
+            lookup_join(dim, wanted, [(b, a) for a, b in pairs], "inner", null_safe=True).select(id_name, *keys),
+            f"known-{name}", compact=True,
         )
         had = known.select(*[F.col(a).alias(b) for a, b in pairs])
         fresh = lookup_join(wanted, had, pairs, "left_anti", null_safe=True)

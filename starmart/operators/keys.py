@@ -16,9 +16,9 @@ partition. ``dense_key`` instead numbers rows the way a distributed
 
 When the sort key is not unique a hidden sequence number is appended, so even
 a group of identical rows holding a third of the table is spread over many
-range partitions instead of landing in one task. The number is taken after a
-local sort of each input partition (no shuffle), which makes it the same on
-a task re-run.
+range partitions instead of landing in one task. The number follows the files where
+rows are read straight from them, else a local sort of each input partition
+(no shuffle), which makes it the same on a task re-run.
 """
 
 from __future__ import annotations
@@ -30,9 +30,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.checkpoint import materialize
+from starmart.operators.onepass import SEQUENCE, ranges_of, with_sequence
 
 _MID = "_sm_mid"
-_SEQ = "_sm_seq"
 _PID = "_sm_pid"
 _POS_BITS = 33
 
@@ -44,6 +44,7 @@ def dense_key(
     first_id: int = 1,
     unique: bool = True,
     num_partitions: int | None = None,
+    keep: Sequence[str | Column] | None = None,
 ) -> DataFrame:
     """Add a gap-free ``bigint`` key ``name`` numbering ``df``'s rows.
 
@@ -51,11 +52,12 @@ def dense_key(
     ``order_by=None`` the rows are numbered in their current partition order,
     which needs no shuffle at all. ``unique=False`` declares that the key may
     repeat: tied rows then get consecutive ids in an unspecified order.
-    The new column comes first.
+    The new column comes first. ``keep`` names the columns that are stored and returned (by
+    default all); others are only sorted by.
     """
-    original = df.columns
-    staged = numbered(df, order_by, unique, num_partitions)
-    stored = materialize(staged, "dense-key")
+    staged = numbered(df, order_by, unique, num_partitions, keep)
+    original = [c for c in staged.columns if c != _MID]
+    stored = materialize(staged, "dense-key", compact=True)
 
     # Rows per written partition: one small column is scanned, and the result
     # has one row per partition (bounded by the partition count, never by the
@@ -81,6 +83,7 @@ def numbered(
     order_by: Sequence[str | Column] | None,
     unique: bool = True,
     num_partitions: int | None = None,
+    keep: Sequence[str | Column] | None = None,
 ) -> DataFrame:
     """The rows of ``df`` in key order across partitions, each tagged with
     ``monotonically_increasing_id()`` (partition index, position): what
@@ -88,13 +91,14 @@ def numbered(
     original = df.columns
     staged = df
     if order_by:
+        num_partitions = num_partitions or ranges_of(df)
         keys: list[str | Column] = list(order_by)
         if not unique:
-            # Number rows inside each input partition after a local sort by
-            # every column: a re-run task (lost executor) then assigns the
-            # same (row, number) pairs, since equal rows are interchangeable.
-            staged = staged.sortWithinPartitions(*original).withColumn(_SEQ, F.monotonically_increasing_id())
-            keys.append(_SEQ)
+            # Number rows inside each input partition, in the order of the files or after a
+            # local sort by every column: a re-run task (lost executor) then assigns
+            # the same (row, number) pairs, since equal rows are interchangeable.
+            staged = with_sequence(staged, original)
+            keys.append(SEQUENCE)
         staged = (
             staged.repartitionByRange(num_partitions, *keys)
             if num_partitions
@@ -103,5 +107,5 @@ def numbered(
     else:
         # Positions follow a local sort, so a re-run task numbers alike.
         staged = staged.sortWithinPartitions(*original)
-    staged = staged.select(*original, F.monotonically_increasing_id().alias(_MID))
+    staged = staged.select(*(keep or original), F.monotonically_increasing_id().alias(_MID))
     return staged

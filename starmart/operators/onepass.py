@@ -22,14 +22,14 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmart.checkpoint import materialize, read_from_files
 
 SEQUENCE = "_sm_seq"
-_PID, _GROUP, _OPENS, _ROW = "_sm_pid", "_sm_group", "_sm_opens", "_sm_row"
+_PID, _GROUP, _OPENS, _ROW, _COUNTS = "_sm_pid", "_sm_group", "_sm_opens", "_sm_row", "_sm_counts"
 
 
 def with_sequence(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -39,6 +39,21 @@ def with_sequence(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return (df if read_from_files(df) else df.sortWithinPartitions(*columns)).withColumn(SEQUENCE, F.monotonically_increasing_id())
 
 
+#: Bytes of the files that are read, as Parquet holds them, that one range of a sort stands for.
+RANGE_BYTES = 16 << 20
+
+
+def ranges_of(df: DataFrame) -> int | None:
+    """How many ranges the rows of ``df`` are sorted in, so that a sorted range stays small
+    however long the input is; None where the session's number of partitions (which adaptive execution
+    may merge) will do, and where ``df`` is more than a scan of files."""
+    if not read_from_files(df):
+        return None
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    wanted = min(-(-size // RANGE_BYTES), 20_000)
+    return wanted if wanted > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
+
+
 def _numbered(group: Sequence[str], counts: str):
     """The map over a sorted partition: adds the number of the row's group, whether
     it opens it here, and the row's number among those that count (null: it doesn't)."""
@@ -76,7 +91,7 @@ def number_both(
     df: DataFrame,
     group: Sequence[str],
     order: Sequence[str],
-    counts: str,
+    counts: str | Column,
     keep: Sequence[str],
     group_id: str,
     row_id: str,
@@ -86,7 +101,7 @@ def number_both(
     """(rows, groups): ``df`` in the order of ``order`` (which begins with the
     columns ``group``; ascending, NULLs first), ``group_id`` the dense rank of each row's
     group among all rows, ``row_id`` a gap-free number over the rows for which the
-    boolean column ``counts`` holds. ``rows`` has the rows that count; ``groups`` has
+    boolean ``counts`` holds (an expression is evaluated behind the shuffle). ``rows`` has the rows that count; ``groups`` has
     one row (``group_id`` and the columns ``group``) for each group of all rows. Rows equal
     in ``order`` get consecutive ids. ``keep`` names the columns ``rows`` has besides the
     ids; others are only sorted by. ``df`` must have the column of ``with_sequence``.
@@ -96,11 +111,11 @@ def number_both(
     keys = [*order, SEQUENCE]
     ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
     wanted = list(dict.fromkeys([*group, *keep]))
-    ranged = ranged.sortWithinPartitions(*keys).select(*wanted, counts)
+    ranged = ranged.sortWithinPartitions(*keys).select(*wanted, (F.col(counts) if isinstance(counts, str) else counts).alias(_COUNTS))
     kept = [ranged.schema[c] for c in wanted]
     schema = T.StructType([*kept, T.StructField(_GROUP, T.LongType()), T.StructField(_OPENS, T.BooleanType()), T.StructField(_ROW, T.LongType())])
-    walked = ranged.mapInArrow(_numbered(group, counts), schema)
-    stored = materialize(walked.withColumn(_PID, F.spark_partition_id()), "one-pass")
+    walked = ranged.mapInArrow(_numbered(group, _COUNTS), schema)
+    stored = materialize(walked.withColumn(_PID, F.spark_partition_id()), "one-pass", compact=True)
 
     # Borders: one row for each written partition.
     pair = F.struct(*group)

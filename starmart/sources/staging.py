@@ -22,4 +22,4 @@ def stage(trips: DataFrame, label: str = "staging", partitions: int | None = Non
     """
     if partitions:
         trips = trips.repartition(partitions)
-    return materialize(trips, label)
+    return materialize(trips, label, compact=True)
