@@ -116,6 +116,20 @@ def check_unique(df: DataFrame, key: str, table: str | None = None) -> DataFrame
     ).select(F.inline("_r"))
 
 
+def _unmatched(fact: DataFrame, fk: str, ids: DataFrame, key: str) -> DataFrame:
+    """One row: ``unproven``, false if borders show that every ``fk`` has a row in ``ids``: the
+    runs of ``key`` follow each other without a gap, and all of ``fk`` lies between their ends."""
+    before = Window.orderBy("low", "high")
+    gap = F.coalesce(F.lag("high").over(before) + 1 != F.col("low"), F.lit(False))
+    whole = F.col("run") & (F.col("high") - F.col("low") + 1 == F.col("n"))
+    # One row for each file and task that reads it.
+    runs = key_runs(ids, key).where("n > 0").withColumn("broken", gap | ~whole)
+    have = runs.agg(F.min("low").alias("low"), F.max("high").alias("high"), F.count_if("broken").alias("broken"))
+    asked = fact.agg(F.min(fk).alias("first"), F.max(fk).alias("last"))
+    held = (F.col("broken") == 0) & (F.col("low") <= F.col("first")) & (F.col("last") <= F.col("high"))
+    return asked.crossJoin(have).select((F.col("first").isNotNull() & ~F.coalesce(held, F.lit(False))).alias("unproven"))
+
+
 def check_orphans(
     fact: DataFrame,
     dims: Mapping[str, DataFrame],
@@ -127,13 +141,21 @@ def check_orphans(
     The keys not in ``large`` are counted together in one scan of the fact (a
     map-side pre-aggregate by their combinations); each large one is counted
     per value in a scan of its own. Only distinct values are anti-joined.
+
+    For a large key whose dimension was numbered where it stands, borders prove that no fact is an
+    orphan (``_unmatched``); only if they don't are values and ids shuffled.
     """
     own = [k for k in foreign_keys if k in large]
     together = [k for k in foreign_keys if k not in large]
     parts = []
     for fk in own:
-        per_value = fact.where(F.col(fk).isNotNull()).groupBy(fk).agg(F.count(F.lit(1)).alias("_n"))
         ids = dims[foreign_keys[fk]].select(F.col(fk).alias("_k_id"))
+        doubtful = fact.select(fk).where(F.col(fk).isNotNull())
+        whole = (T.LongType, T.IntegerType)
+        if isinstance(ids.schema["_k_id"].dataType, whole) and isinstance(fact.schema[fk].dataType, whole) and read_from_files(ids) and read_from_files(fact):
+            unproven = _unmatched(fact, fk, ids, "_k_id")
+            doubtful, ids = doubtful.where(unproven.scalar()), ids.where(unproven.scalar())
+        per_value = doubtful.groupBy(fk).agg(F.count(F.lit(1)).alias("_n"))
         orphans = lookup_join(per_value, ids, [(fk, "_k_id")], "left_anti")
         parts.append(orphans.agg(F.sum("_n").alias("n")).select(F.lit(fk).alias("fk"), "n"))
     if together:
