@@ -25,8 +25,8 @@ still may repeat, with left parts first, gives the longest left match. The windo
 that the best neighbours repeat are certain, those beyond both maxima are
 certainly unique. What may remain between them (windows for which the
 best right and the best left neighbour differ) is listed window by window and
-counted exactly. Each part also carries its run's neighbours of the bucket, so
-common prefixes across bucket borders are exact.
+counted exactly, with the windows that may equal one of them. Each part also carries its run's
+neighbours of the bucket where they may match something in it, so matches across bucket borders are exact.
 """
 
 from __future__ import annotations
@@ -43,7 +43,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.checkpoint import app_root, materialize
+from starmart.checkpoint import app_root, scratch_scope
 from starmart.llm.common import small_batches
 
 LENGTH = 200
@@ -55,6 +55,10 @@ BUCKET_BYTES = 32 << 20
 SAMPLES = 40
 #: Windows of a piece of text that is drawn for the first sample.
 PIECE = 1024
+#: Open windows of a context that are looked up together, as bits of a long.
+SLOT = 50
+#: Spark's setting that removes a query's shuffle files when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 _SLICE = 1 << 17
 _SEPARATOR, _PAD = b"\xff", b"\xfe"  # bytes that UTF-8 never has
@@ -267,18 +271,21 @@ def _holes(low: int, high: int, spans: list[tuple[int, int]]) -> list[tuple[int,
 
 
 SINGLE, MANY, GHOST, SETTLED = 0, 1, 2, 3  # flags of a key in a run
-BLOCK, WINDOWS, NEXT, OPEN = 0, 1, 2, 3  # kinds of rows
+BLOCK, WINDOWS, NEXT, OPEN, NEAR = 0, 1, 2, 3, 4  # kinds of rows
 
 _PART = "bucket int, kind int, payload binary"
 _ROW = "kind int, k1 long, k2 int, low int, high int, anchor int, suffix binary, before binary, known long, settled boolean"
 _NAMES = ["kind", "k1", "k2", "low", "high", "anchor", "suffix", "before", "known", "settled"]
 
 
-def _parts(keys: list[bytes], flags: list[int], ids: np.ndarray, splitters: list[bytes]) -> Iterator[tuple[int, int, bytes]]:
-    """A run cut at the splitters; each part has the run's neighbours of the bucket as ghosts."""
+def _parts(keys: list[bytes], flags: list[int], ids: np.ndarray, splitters: list[bytes], least: int) -> Iterator[tuple[int, int, bytes]]:
+    """A run cut at the splitters; each part has the run's neighbours of the bucket as ghosts. What is beyond
+    a border shares no more with the bucket's keys than with the border, so no ghost is needed that shares
+    fewer than ``least`` bytes with it, the fewest that contexts with a common window share."""
     cuts = [0, *(bisect_left(keys, s) for s in splitters), len(keys)]
     for b, (i, j) in enumerate(zip(cuts, cuts[1:], strict=False)):
-        low, high = max(0, i - 1), min(len(keys), j + 1)
+        low = i - 1 if i and common(keys[i - 1], splitters[b - 1]) >= least else i
+        high = j + 1 if j < len(keys) and common(keys[j], splitters[b]) >= least else j
         mark = [GHOST] * (i - low) + flags[i:j] + [GHOST] * (high - j)
         if mark:
             yield b, BLOCK, encode(keys[low:high], mark, ids[low:high])
@@ -293,7 +300,7 @@ def _joined(spans: np.ndarray) -> np.ndarray:
     return np.column_stack([x[start, :3], np.maximum.reduceat(x[:, 3], start)])
 
 
-def _run(rows: list[tuple], length: int, splitters: list[bytes]) -> Iterator[tuple[int, int, bytes]]:
+def _run(rows: list[tuple], length: int, splitters: list[bytes], least: int) -> Iterator[tuple[int, int, bytes]]:
     """A run of (key, k1, k2, anchor, known, flag), sorted and cut. Equal unflagged keys become
     one: their windows repeat each other, which is settled here."""
     rows.sort()
@@ -310,23 +317,23 @@ def _run(rows: list[tuple], length: int, splitters: list[bytes]) -> Iterator[tup
             keys.append(key)
             flags.append(MANY if many else flag)
             ids.append((k1, k2, a, known))
-    yield from _parts(keys, flags, np.array(ids, dtype=np.int64).reshape(-1, 4), splitters)
+    yield from _parts(keys, flags, np.array(ids, dtype=np.int64).reshape(-1, 4), splitters, least)
     if done:
         x = _joined(np.array(done, dtype=np.int64))
         yield int(x[0, 0]) % (len(splitters) + 1), WINDOWS, zstandard.ZstdCompressor().compress(x.astype("<i8").tobytes())
 
 
-def _runs(rows: Iterator[tuple], length: int, splitters: list[bytes]) -> Iterator[pd.DataFrame]:
+def _runs(rows: Iterator[tuple], length: int, splitters: list[bytes], least: int) -> Iterator[pd.DataFrame]:
     """Cut a stream of rows into runs of bounded size."""
     part, size = [], 0
     for r in rows:
         part.append(r)
         size += len(r[0]) + 100
         if size >= RUN_BYTES:
-            yield pd.DataFrame(_run(part, length, splitters), columns=["bucket", "kind", "payload"])
+            yield pd.DataFrame(_run(part, length, splitters, least), columns=["bucket", "kind", "payload"])
             part, size = [], 0
     if part:
-        yield pd.DataFrame(_run(part, length, splitters), columns=["bucket", "kind", "payload"])
+        yield pd.DataFrame(_run(part, length, splitters, least), columns=["bucket", "kind", "payload"])
 
 
 def _neighbours(parts: list[bytes], length: int, right_first: bool) -> Iterator[list]:
@@ -382,11 +389,15 @@ def _by_right(parts: list[bytes], length: int) -> Iterator[tuple]:
 
 
 def _by_left(parts: list[bytes], length: int) -> Iterator[tuple]:
-    """The second sort's: more windows that repeat, and those still open."""
+    """The second sort's: more windows that repeat, those still open, and for each context
+    the windows that may equal one of another, as far as its longest matches reach."""
     for key, flag, (k1, k2, a, known), f, longest, spans, _ in _neighbours(parts, length, False):
+        right, before = _unpack(int(known))
+        if length - right > longest:
+            continue
+        yield NEAR, k1, k2, length - right, longest, a, key[f + 1 :], key[:f], None, None
         if flag == SETTLED:
             continue
-        right, before = _unpack(int(known))
         spans = _union(spans + before)
         for low, high in spans:
             yield WINDOWS, k1, k2, a - high, a - low, None, None, None, None, None
@@ -422,11 +433,20 @@ def _merge_buckets(parts: DataFrame, buckets: int, outcome, length: int) -> Data
     return parts.repartitionById(buckets, "bucket").mapInPandas(work, _ROW)
 
 
-def _stored(df: DataFrame, label: str) -> DataFrame:
-    """``materialize`` with a denser codec, for rows that hold much text."""
+def _stored(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
+    """``materialize`` with a denser codec, for rows that hold much text. The shuffle files, larger than the
+    table, go as soon as it is written, not when the driver happens to collect its garbage."""
     spark = df.sparkSession
-    path = f"{app_root(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    path = f"{folder or app_root(spark)}/{label}-{uuid.uuid4().hex}"
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, True)
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -471,15 +491,15 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 some = [x + _SEPARATOR + y for a, x, y in contexts(data, length) if a % 4 == 0]
                 yield pd.DataFrame({"key": some})
 
-    def cut_runs(splitters: list[bytes], stream, frame: DataFrame) -> DataFrame:
+    def cut_runs(splitters: list[bytes], stream, frame: DataFrame, least: int) -> DataFrame:
         shared = spark.sparkContext.broadcast(splitters)
-        return frame.mapInPandas(lambda batches: _runs(stream(batches), length, shared.value), _PART)
+        return frame.mapInPandas(lambda batches: _runs(stream(batches), length, shared.value, least), _PART)
 
     # About 3.4 bytes of contexts for each byte, in pieces of 80 bytes of text.
     buckets = max(2 * cores, int(3.4 * volume) // BUCKET_BYTES + 1)
     share = min(1.0, 4 * SAMPLES * buckets * 80 / max(1, volume))
     splitters = _splitters(_pieces(long, share, length).mapInPandas(sampled, "key binary"), buckets)
-    runs = cut_runs(splitters, rows, long.select("k1", "k2", "data"))
+    runs = cut_runs(splitters, rows, long.select("k1", "k2", "data"), min(GRAM, length))  # with a window, contexts share its gram
     first = _stored(_merge_buckets(runs, len(splitters) + 1, _by_right, length), "suffix-right")
 
     going = first.where(F.col("kind") == NEXT)
@@ -497,37 +517,58 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     lot = F.pmod(F.xxhash64("k1", "k2", "anchor"), F.lit(1 << 20)) < int(min(1.0, SAMPLES * buckets / count) * (1 << 20)) + 1
     key = F.concat("before", F.lit(_SEPARATOR), "suffix").alias("key")
     splitters = _splitters(going.where(lot).select(key), buckets)
-    runs = cut_runs(splitters, reversed_rows, going.select("k1", "k2", "anchor", "suffix", "before", "known", "settled"))
-    second = materialize(_merge_buckets(runs, len(splitters) + 1, _by_left, length), "suffix-left")
+    runs = cut_runs(splitters, reversed_rows, going.select("k1", "k2", "anchor", "suffix", "before", "known", "settled"), 1)  # a window from the anchor on is settled by then
+    second = _stored(_merge_buckets(runs, len(splitters) + 1, _by_left, length), "suffix-left")
     windows = windows.unionByName(second.where(F.col("kind") == WINDOWS).select("k1", "k2", "low", "high"))
     still = second.where(F.col("kind") == OPEN)
-    return windows if still.isEmpty() else windows.unionByName(_listed(going, still, length))
+    return windows if still.isEmpty() else windows.unionByName(_listed(second.where(F.col("kind") == NEAR), still, length))
+
+
+def _slots(rows: DataFrame, length: int) -> DataFrame:
+    """Each row once for each slot of ``SLOT`` windows that its windows low..high reach, cut to the slot. ``core``
+    is a hash of the text around the anchor that lies in all windows of the slot, so equal windows have equal cores."""
+    start, least = F.col("slot") * SLOT, min(GRAM, length)
+    core = F.xxhash64("slot", F.substring("before", F.lit(1), start), F.substring("suffix", F.lit(1), F.greatest(F.lit(least), length + 1 - SLOT - start)))
+    x = rows.withColumn("slot", F.explode(F.sequence(F.floor(F.col("low") / SLOT).cast("int"), F.floor(F.col("high") / SLOT).cast("int"))))
+    return x.withColumns({"core": core, "low": F.greatest("low", start), "high": F.least("high", start + (SLOT - 1))})
+
 
+_ASKED = ["k1", "k2", "anchor", "suffix", "before", "low", "high", "open"]
 
-def _listed(going: DataFrame, still: DataFrame, length: int) -> DataFrame:
-    """The open windows one by one: each context with an open context's gram lists
-    its windows in the open range as strings, and equal strings are counted."""
-    gram = F.substring("suffix", 1, min(GRAM, length)).alias("gram")
-    ranges = still.select(gram, "low", "high").groupBy("gram").agg(F.min("low").alias("from_d"), F.max("high").alias("to_d"))
-    near = going.select("k1", "k2", "anchor", "suffix", "before", gram).join(ranges, "gram")
 
-    def strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _strings(rows: DataFrame, length: int) -> DataFrame:
+    """(k1, k2, low, window): the windows low..high, as strings, whose bits are set in ``open``."""
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = ["k1", "k2", "low", "window"]
         rows: list[tuple] = []
         for b in batches:
-            columns = [b[c] for c in ("k1", "k2", "anchor", "suffix", "before", "from_d", "to_d")]
-            for k1, k2, anchor, suffix, before, from_d, to_d in zip(*columns, strict=True):
+            for k1, k2, anchor, suffix, before, low, high, wanted in zip(*(b[c] for c in _ASKED), strict=True):
                 text, at = before[::-1] + suffix, len(before)
-                for d in range(max(from_d, length - len(suffix)), min(to_d, at) + 1):
-                    rows.append((k1, k2, anchor - d, text[at - d : at - d + length]))
+                for d in range(low, high + 1):
+                    if wanted >> d % SLOT & 1:
+                        rows.append((k1, k2, anchor - d, text[at - d : at - d + length]))
                 if len(rows) > 10_000:
                     yield pd.DataFrame(rows, columns=names)
                     rows = []
         yield pd.DataFrame(rows, columns=names)
 
-    listed = materialize(near.mapInPandas(strings, "k1 long, k2 int, low int, window binary"), "suffix-open")
-    twice = listed.groupBy("window").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("window")
-    return listed.join(twice, "window", "left_semi").select("k1", "k2", "low", F.col("low").alias("high"))
+    return rows.select(_ASKED).mapInPandas(work, "k1 long, k2 int, low int, window binary")
+
+
+def _rivals(near: DataFrame, still: DataFrame, length: int) -> DataFrame:
+    """The windows of ``near``, as strings, that have the place and the core of an open one."""
+    bits = F.expr(f"shiftleft(shiftleft(1L, high - low + 1) - 1L, low - slot * {SLOT})")
+    wanted = _slots(still, length).groupBy("core").agg(F.bit_or(bits).alias("open"))
+    return _strings(_slots(near, length).join(wanted, "core"), length)
+
+
+def _listed(near: DataFrame, still: DataFrame, length: int) -> DataFrame:
+    """The open windows one by one: they and all that may equal one of them are listed as
+    strings (``near`` has both), and equal strings are counted."""
+    twice = _rivals(near, still, length).groupBy("window").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("window")
+    asked = _strings(still.withColumn("open", F.lit(-1).cast("long")), length)
+    return asked.join(twice, "window", "left_semi").select("k1", "k2", "low", F.col("low").alias("high"))
 
 
 def remove_repeats(df: DataFrame, text: str = "text", doc_id: str = "doc_id", length: int = LENGTH, with_text: bool = False) -> DataFrame:
@@ -544,7 +585,9 @@ def remove_repeats(df: DataFrame, text: str = "text", doc_id: str = "doc_id", le
     docs = df.select(F.col(doc_id).alias("doc_id"), data.alias("data")).withColumns(
         {"k1": F.xxhash64("doc_id", "data"), "k2": F.shiftright(F.xxhash64("data", F.lit(1)), 32).cast("int")}
     )
-    found = materialize(repeated_windows(docs.select("k1", "k2", "data"), length), "suffix-windows")
+    folder = app_root(df.sparkSession)
+    with scratch_scope(df.sparkSession):  # the sorts' tables go as soon as their outcome is stored
+        found = _stored(repeated_windows(docs.select("k1", "k2", "data"), length), "suffix-windows", folder)
     spans = found.groupBy("k1", "k2").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
     schema = f"`{doc_id}` {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     names = [doc_id, "n_bytes", "n_removed", "n_spans", "kept_sha256"]

@@ -1,11 +1,14 @@
 import bisect
 import hashlib
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from starmart.checkpoint import app_root, scratch_scope
 from starmart.llm import suffix_dedup as S
 from starmart.llm.queries import op9_suffix_dedup
 
@@ -174,3 +177,74 @@ def test_few_long_documents_are_dealt_evenly(spark, docs_of, monkeypatch):
     keys = [x for t in texts for _, x, _ in S.contexts(t.encode())]
     sizes = np.bincount([bisect.bisect(splitters, k) for k in keys], minlength=buckets)
     assert sizes.max() < 3 * sizes.mean()
+
+
+def test_parts_go_to_buckets_that_they_can_match():
+    """A run of few keys makes few parts, however many buckets there are; keys beyond a border go along where they match it."""
+    rng = random.Random(6)
+    word = lambda n: bytes(rng.choice(b"abcdefgh") for _ in range(n))
+    keys = sorted(word(60) + b"\xff" + word(40) for _ in range(10))
+    ids = np.zeros((10, 4), dtype=np.int64)
+    splitters = sorted(word(60) for _ in range(2000))
+    parts = list(S._parts(keys, [0] * 10, ids, splitters, 16))
+    assert [k for p in parts for k in S.decode(p[2])[0]] == keys and len(parts) <= 10
+    for cut in (15, 16):
+        near = sorted([keys[3][:cut] + b"a" * 10, keys[3][:cut] + b"i" * 10])
+        flags = {b: S.decode(p)[2] for b, _, p in S._parts(keys, [0] * 10, ids, near, 16)}
+        assert sum(f.count(S.GHOST) for f in flags.values()) == (2 if cut == 16 else 0)
+        assert sum(len(f) - f.count(S.GHOST) for f in flags.values()) == 10
+
+
+def test_rivals_share_more_than_the_gram(spark):
+    """Of contexts with one gram, only those list windows that have an open one's place and core."""
+    rng = random.Random(8)
+    word = lambda n: bytes(rng.choice(b"abcdefgh") for _ in range(n))
+    gram, length = word(16), 200
+    texts = [(word(150), gram + word(130)) for _ in range(300)]
+    texts += [(texts[0][0][:100] + word(50), texts[0][1])]
+    schema = "k1 long, k2 int, low int, high int, anchor int, suffix binary, before binary"
+    near = spark.createDataFrame([(n, 0, length - len(y), len(x), 500, y, x) for n, (x, y) in enumerate(texts)], schema)
+    still = near.where("k1 = 0").withColumns({"low": F.lit(90), "high": F.lit(104)})
+    got = S._rivals(near, still, length).collect()
+    assert sorted({(r["k1"], r["low"]) for r in got}) == sorted((k, 500 - d) for k in (0, 300) for d in range(90, 105)) and len(got) == 30
+    for r in got:
+        x, y = texts[r["k1"]]
+        d = 500 - r["low"]
+        assert bytes(r["window"]) == x[:d][::-1] + y[: length - d]
+    assert sorted(r["low"] for r in S._listed(near, still, length).collect()) == [500 - d for d in range(100, 89, -1)]
+
+
+@pytest.mark.parametrize(("length", "slot"), [(200, 50), (60, 7), (30, 4)])
+def test_open_windows_of_many_slots(spark, monkeypatch, length, slot):
+    monkeypatch.setattr(S, "SLOT", slot)
+    seen, plain = [], S._listed
+    monkeypatch.setattr(S, "_listed", lambda near, still, n: seen.append(still.count()) or plain(near, still, n))
+    rng = random.Random(12)
+    word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    x = word(3 * length)
+    texts = [x, x[: 2 * length] + word(9)]
+    for cut in range(length // 10, 3 * length, max(3, length // 9)):
+        low = max(0, cut - length // 2 - length // 7)
+        texts += [word(30) + x[:cut] + word(30), word(30) + x[cut:] + word(30), word(20) + x[low : low + length + 2] + word(20)]
+    assert run(spark, texts, length) == brute(texts, length)
+    parts = [word(30) + x[a : a + n] + word(30) for a, n in ((rng.randrange(2 * length), rng.randrange(length // 2, 2 * length)) for _ in range(60))]
+    assert run(spark, parts, length) == brute(parts, length)
+    assert sum(seen) > 0
+
+
+def test_sorts_leave_nothing_on_disk(spark, docs_of, tables):
+    """When the spans are known, the sorts' tables and their shuffle files are gone."""
+    rng = random.Random(13)
+    texts = ["".join(rng.choices("abcdefghij ", k=400_000)) for _ in range(3)]
+    x = texts[0][:1000]
+    texts += ["y" * 9 + x[:cut] + "z" * 9 + x[cut - 90 :] for cut in range(100, 1000, 50)]
+    stored = tables(documents=docs_of([(i, t, "en", "a") for i, t in enumerate(texts)]))
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {p: p.stat().st_size for d in disk.localDirs() for p in Path(d.getPath()).rglob("shuffle_*")}
+    with scratch_scope(spark):
+        before = shuffled()
+        op9_suffix_dedup(spark, stored)
+        left = sum(n for p, n in shuffled().items() if p not in before)
+        tables = [p for p in Path(app_root(spark).removeprefix("file:")).rglob("*") if p.suffix == ".parquet"]
+    assert left < 50_000
+    assert tables and {p.parent.name.rsplit("-", 1)[0] for p in tables} == {"suffix-windows"}
